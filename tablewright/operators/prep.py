@@ -34,8 +34,8 @@ def filter_outliers(df: DataFrame, columns: Sequence[str], k: float = 1.5, *,
     """Filter column after column; each one's quartiles come from the rows still kept.
 
     Columns that are absent, not numeric or without spread are skipped. Where a filter
-    applies, rows missing that value go too. Each step is a plain range predicate, so the
-    result is a scan with pushed-down filters.
+    applies, rows missing that value go too (NaN orders above every limit and goes as
+    well). Each step is a plain range predicate that reaches the scan.
     """
     for column in columns:
         if not is_numeric(df, column):
@@ -43,7 +43,7 @@ def filter_outliers(df: DataFrame, columns: Sequence[str], k: float = 1.5, *,
             continue
         limits = iqr_bounds(df, column, k, skip_zero_iqr=skip_zero_iqr, accuracy=accuracy)
         if limits is not None:
-            df = df.filter(number(df, column).between(F.lit(limits[0]), F.lit(limits[1])))
+            df = df.filter(quoted(column).between(F.lit(limits[0]), F.lit(limits[1])))
     return df
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def tuned_session(app: str = "tablewright", master: str | None = None,
@@ -44,3 +44,14 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="tablewright-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, purpose: str = "table") -> DataFrame:
+    """Write a derived table to the shared folder and go on from the written copy.
+
+    For tables that several passes read: the work behind them is done once, later passes
+    read only the columns they use, and a lost executor costs a re-read, not a re-run.
+    """
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
