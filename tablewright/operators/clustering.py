@@ -7,10 +7,12 @@ from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +23,8 @@ from .regression import _sum_cells
 
 #: Rows the starting centres are drawn from; every later step uses the whole table.
 SEEDING_ROWS = 10_000
+#: Squared differences up to which nearest-centre assignment is a generated expression.
+NARROW_TERMS = 60
 
 
 def _is_array(df: DataFrame, columns: Sequence[str]) -> bool:
@@ -152,38 +156,54 @@ def _assignment_pass(points: DataFrame, runs: Sequence[np.ndarray], shift: np.nd
 
 def assign_nearest(df: DataFrame, columns: Sequence[str], centres: Sequence[Sequence[float]],
                    name: str = "cluster") -> DataFrame:
-    """Index of the nearest centre (the first of equally near ones), as one projection."""
-    if _is_array(df, columns):
-        coordinates = [F.get(quoted(columns[0]), F.lit(i)).cast("double")
-                       for i in range(len(centres[0]))]
-    else:
-        coordinates = [number(df, c) for c in columns]
-    distances = F.array(*[
-        total([(x - F.lit(float(v))) * (x - F.lit(float(v))) for x, v in zip(coordinates, centre)])
-        for centre in centres])
+    """Index of the nearest centre (the first of equally near ones), as one projection.
+
+    Few distance terms become a generated expression. Many would outgrow what the JVM
+    compiles, so they are a matrix operation on Arrow batches of the point column alone.
+    """
+    fixed = np.asarray(centres, dtype=float)
+    if fixed.size > NARROW_TERMS or _is_array(df, columns):
+        return df.withColumn(name, _nearest_udf(fixed)(_point(df, columns)))
+    gaps = [[number(df, c) - F.lit(float(v)) for c, v in zip(columns, centre)] for centre in fixed]
+    distances = F.array(*[total([g * g for g in row]) for row in gaps])
     return (df.withColumn("__distances", distances)
             .withColumn(name, (F.array_position(
                 "__distances", F.array_min("__distances")) - 1).cast("int"))
             .drop("__distances"))
 
 
-def inertia(df: DataFrame, columns: Sequence[str], cluster: str = "cluster", *,
-            width: int | None = None) -> DataFrame:
+def _nearest_udf(centres: np.ndarray):
+    width = centres.shape[1]
+
+    @F.arrow_udf("int")
+    def nearest(points: pa.Array) -> pa.Array:
+        import numpy as np
+        import pyarrow as pa
+        usable = np.asarray(points.is_valid())
+        flat = points.drop_null().flatten().to_numpy(zero_copy_only=False)
+        x = flat.reshape(-1, width)
+        out = np.full(len(usable), -1, dtype=np.int32)
+        if len(x):
+            gaps = np.stack([((x - c) ** 2).sum(axis=1) for c in centres], axis=1)
+            known = ~np.isnan(gaps).any(axis=1)
+            out[np.flatnonzero(usable)[known]] = gaps[known].argmin(axis=1)
+        return pa.array(out, mask=out < 0)
+
+    return nearest
+
+
+def inertia(df: DataFrame, columns: Sequence[str], cluster: str = "cluster") -> DataFrame:
     """One row: sum of squared distances to the mean of each row's cluster.
 
     Equals count times population variance added over clusters and dimensions, so no
-    centre has to be joined back. For an array column give its ``width`` if it is known;
-    else the table is read once more to find the longest array.
+    centre has to be joined back; the variances of all dimensions are one aggregate.
     """
-    if _is_array(df, columns):
-        width = width or df.agg(F.max(F.size(quoted(columns[0])))).first()[0] or 0
-        values = [F.get(quoted(columns[0]), F.lit(i)).cast("double") for i in range(width)]
-    else:
-        values = [number(df, c) for c in columns]
-    per_cluster = df.groupBy(quoted(cluster)).agg(
-        *[(F.var_pop(v) * F.count(v)).alias(f"w{i}") for i, v in enumerate(values)])
-    return per_cluster.agg(F.sum(total([F.coalesce(F.col(f"w{i}"), F.lit(0.0))
-                                        for i in range(len(values))])).alias("inertia"))
+    vectors = _with_vector(df, columns, "__point").select(quoted(cluster).alias("c"), "__point")
+    spread = Summarizer.metrics("count", "variance").summary(F.col("__point"))
+    per_cluster = vectors.groupBy("c").agg(spread.alias("s")).select(
+        (F.col("s.count") - 1).alias("free"), vector_to_array("s.variance").alias("v"))
+    squares = F.aggregate("v", F.lit(0.0), lambda a, v: a + v) * F.col("free")
+    return per_cluster.agg(F.sum(squares).alias("inertia"))
 
 
 def silhouette(df: DataFrame, columns: Sequence[str], cluster: str = "cluster") -> float:

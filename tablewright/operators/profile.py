@@ -67,12 +67,17 @@ def null_audit(df: DataFrame) -> DataFrame:
 
 def value_frequencies(df: DataFrame, columns: Sequence[str], as_type: str = "string") -> DataFrame:
     """``(column, value, freq)`` of the non-null values of several columns in one scan."""
-    pairs = F.array(*[
-        F.struct(F.lit(c).alias("column"),
-                 (number(df, c) if as_type == "double" else quoted(c).cast(as_type)).alias("value"))
+    values = df.select(*[
+        (number(df, c) if as_type == "double" else quoted(c).cast(as_type)).alias(c)
         for c in columns])
-    return (df.select(F.inline(F.filter(pairs, lambda e: e["value"].isNotNull())))
-            .groupBy("column", "value").agg(F.count(F.lit(1)).alias("freq")))
+    return (_long(values, "value").groupBy("column", "value")
+            .agg(F.count(F.lit(1)).alias("freq")))
+
+
+def _long(values: DataFrame, name: str) -> DataFrame:
+    """Columns of one type as ``(column, <name>)`` rows without NULLs, inside generated code."""
+    return (values.unpivot([], [quoted(c) for c in values.columns], "column", name)
+            .filter(F.col(name).isNotNull()))
 
 
 def top_values(df: DataFrame, columns: Sequence[str], as_type: str = "string") -> DataFrame:
@@ -145,14 +150,14 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 2
         return df.sparkSession.createDataFrame(
             [], "column string, bin int, lower double, upper double, count long")
 
-    tagged = []
+    slots = []
     for c, (lo, hi) in spans.items():
         v = values[c]
         slot = F.least(F.floor((v - F.lit(lo)) / F.lit((hi - lo) / bins)) + 1, F.lit(bins))
         inside = v.between(F.lit(lo), F.lit(hi))
-        tagged.append(F.struct(F.lit(c).alias("column"), F.when(inside, slot.cast("int")).alias("bin")))
-    counts = (df.select(F.inline(F.filter(F.array(*tagged), lambda e: e["bin"].isNotNull())))
-              .groupBy("column", "bin").agg(F.count(F.lit(1)).alias("count")))
+        slots.append(F.when(inside, slot.cast("int")).alias(c))
+    counts = (_long(df.select(*slots), "bin").groupBy("column", "bin")
+              .agg(F.count(F.lit(1)).alias("count")))
     # The grid has bins x columns rows: its size is set by the schema, not by the data.
     grid = df.sparkSession.createDataFrame(
         [(c, b, lo + (hi - lo) / bins * (b - 1), lo + (hi - lo) / bins * b if b < bins else hi)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..schema import number
 
 #: Values up to which one buffer may hold a whole column (the built-in ``percentile``).
-BUFFER_LIMIT = 1_000_000
+BUFFER_LIMIT = 200_000
 #: Rows an interval may still hold when its values are fetched.
 GATHER_LIMIT = 100_000
 SKETCH_ACCURACY = 10_000
