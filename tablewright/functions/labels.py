@@ -40,8 +40,10 @@ EXPLORATION_PATTERNS: dict[str, str] = {
 }
 
 
-def flag_name(label: str, prefix: str = "genre_") -> str:
-    """Column name of a label flag."""
+def flag_name(label: str, prefix: str | None = "genre_") -> str:
+    """Column name of a label flag; without a prefix (None) it is the label itself."""
+    if prefix is None:
+        return label
     return prefix + label.translate(str.maketrans({"&": "and", "-": "_"}))
 
 
@@ -51,7 +53,7 @@ def label_flag(text: Column, pattern: str) -> Column:
 
 
 def label_flags(text: Column, patterns: Mapping[str, str],
-                prefix: str = "genre_") -> dict[str, Column]:
+                prefix: str | None = "genre_") -> dict[str, Column]:
     return {flag_name(k, prefix): label_flag(text, p) for k, p in patterns.items()}
 
 

@@ -21,7 +21,7 @@ from ..functions.response import total
 from ..schema import number, quoted
 from .regression import _sum_cells
 
-#: Rows the starting centres are drawn from; every later step uses the whole table.
+#: Rows (about) the starting centres are drawn from; every later step uses the whole table.
 SEEDING_ROWS = 10_000
 #: Squared differences up to which nearest-centre assignment is a generated expression.
 NARROW_TERMS = 60
@@ -69,7 +69,9 @@ def kmeans_sweep(df: DataFrame, columns: Sequence[str], k_values: Sequence[int]
     """
     points = df.select(_point(df, columns).alias("p")).filter(
         F.col("p").isNotNull() & ~F.exists("p", lambda v: v.isNull()))
-    start = points.orderBy(F.xxhash64("p", F.lit(seed))).limit(SEEDING_ROWS)
+    n = points.count()
+    share = min(1.0, SEEDING_ROWS / max(n, 1))
+    start = (points.sample(share, seed) if share < 1.0 else points).limit(2 * SEEDING_ROWS)
     sample = np.array([r["p"] for r in start.collect()])
     if len(sample) == 0:
         raise ValueError("No complete rows to cluster.")

@@ -57,7 +57,7 @@ def missing_columns(df: DataFrame, required: Iterable[str]) -> list[str]:
 def require_columns(df: DataFrame, required: Iterable[str]) -> DataFrame:
     absent = missing_columns(df, required)
     if absent:
-        raise ValueError(f"Missing required features: {absent}")
+        raise ValueError(f"table lacks columns {absent}")
     return df
 
 
@@ -101,7 +101,8 @@ def align_inner(left: DataFrame, right: DataFrame, key: str | Sequence[str]) ->
 def unmatched(left: DataFrame, right: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Rows of ``left`` that an inner alignment drops."""
     keys = [key] if isinstance(key, str) else list(key)
-    return left.join(right.select(*keys), keys, "left_anti")
+    # Distinct first: copies of one key collapse before the shuffle.
+    return left.join(right.select(*keys).distinct(), keys, "left_anti")
 
 
 def attach_left(base: DataFrame, extra: DataFrame, key: str | Sequence[str]) -> DataFrame:

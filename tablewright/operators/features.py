@@ -16,8 +16,8 @@ from .columns import add_columns, drop_columns, select_numeric
 
 
 def add_label_flags(df: DataFrame, column: str = "artist_genres",
-                    patterns: Mapping[str, str] = GENRE_PATTERNS, *, prefix: str = "genre_",
-                    on_missing: str = "skip") -> DataFrame:
+                    patterns: Mapping[str, str] = GENRE_PATTERNS, *,
+                    prefix: str | None = "genre_", on_missing: str = "skip") -> DataFrame:
     """One 0/1 column per label, from keyword patterns over a text column.
 
     Without the text column the table stays as it is, or with ``on_missing="zeros"`` gets

@@ -98,6 +98,7 @@ def validate(df: DataFrame, expectations: Sequence[Expectation]) -> QualityRepor
     return report
 
 
+# The wording of the messages, which reports are compared by.
 def _record(report: QualityReport, e: Expectation, kind: str, n: int) -> None:
     detail = report.details[e.name]
     detail[kind] = n

@@ -14,6 +14,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,8 +22,8 @@ from ..schema import number
 
 #: Values up to which one buffer may hold a whole column (the built-in ``percentile``).
 BUFFER_LIMIT = 200_000
-#: Rows an interval may still hold when its values are fetched.
-GATHER_LIMIT = 100_000
+#: Rows that may be fetched in the last step, over all intervals together.
+GATHER_LIMIT = 1_000_000
 SKETCH_ACCURACY = 10_000
 _GRID = 1024
 
@@ -116,6 +117,8 @@ def _between(value: Column, low: float | None, high: float | None) -> Column:
 def _locate(df: DataFrame, values: dict[str, Column], searches: dict[tuple[str, int], _Search],
             gather_limit: int, accuracy: int) -> dict[tuple[str, int], float]:
     found: dict[tuple[str, int], float] = {}
+    # The limit holds for all intervals together: what is fetched does not grow with columns.
+    gather_limit = max(1, gather_limit // len(searches))
     while searches:
         found.update(_narrow(df, values, searches, gather_limit, accuracy))
         few = {k: s for k, s in searches.items() if k not in found and s.inside <= gather_limit}
@@ -191,17 +194,13 @@ def _fetch(df: DataFrame, values: dict[str, Column],
     tagged = F.array(*[
         F.struct(F.lit(i).alias("interval"), _between(values[c], low, high).alias("value"))
         for i, (c, low, high) in enumerate(intervals)])
-    rows = (df.select(F.inline(F.filter(tagged, lambda e: e["value"].isNotNull())))
-            .groupBy("interval", "value").count().collect())
-    ordered: dict[int, list[tuple[float, int]]] = {i: [] for i in range(len(intervals))}
-    for r in rows:
-        ordered[r["interval"]].append((r["value"], r["count"]))
+    table = (df.select(F.inline(F.filter(tagged, lambda e: e["value"].isNotNull())))
+             .groupBy("interval", "value").agg(F.count(F.lit(1)).alias("copies")).toArrow()
+             .sort_by([("interval", "ascending"), ("value", "ascending")]))
+    which, value, copies = (table[c].to_numpy() for c in ("interval", "value", "copies"))
     found = {}
     for key, s in searches.items():
-        seen = s.below
-        for value, count in sorted(ordered[intervals.index(s.interval())]):
-            seen += count
-            if s.rank < seen:
-                found[key] = value
-                break
+        mine = which == intervals.index(s.interval())
+        place = np.searchsorted(s.below + np.cumsum(copies[mine]), s.rank, side="right")
+        found[key] = float(value[mine][place])
     return found

@@ -231,7 +231,7 @@ def fit(found: Moments, target: str, features: Sequence[str]) -> LinearModel:
     if found.n == 0:
         raise ValueError("No complete rows to fit on.")
     if target not in found.columns:
-        raise ValueError(f"Target column '{target}' not found.")
+        raise ValueError(f"no target column '{target}'")
     ix, iy = found.index(features), found.columns.index(target)
     centre = found.mean[ix]
     cross = found.comoment[np.ix_(ix, ix)]
@@ -354,7 +354,7 @@ def train(found: Moments, target: str, candidates: Sequence[str], *, select: boo
     """Fit on the stepwise selection, or on all columns if it is off or selects nothing."""
     usable = [c for c in candidates if c != target and not found.constant(c)]
     if not usable:
-        raise ValueError("No features available for training.")
+        raise ValueError("no usable feature columns to train on")
     picked = stepwise(found, target, usable, initial=initial, threshold_in=threshold_in,
                       threshold_out=threshold_out) if select else usable
     return fit(found, target, picked or usable)
@@ -438,7 +438,7 @@ def predict(df: DataFrame, model: LinearModel, *, interval: bool = True,
     """Append the prediction columns; one narrow projection."""
     absent = [f for f in model.features if f not in df.columns]
     if absent:
-        raise ValueError(f"Missing required features: {absent}")
+        raise ValueError(f"table lacks model features {absent}")
     return df.withColumns(prediction_columns(
         model, [quoted(f).cast("double") for f in model.features],
         interval=interval, alpha=alpha))

@@ -44,7 +44,7 @@ def aligned_metrics(actual: DataFrame, predicted: DataFrame, key: str | Sequence
     if strict:
         left, right = actual.count(), predicted.count()
         if left != right:
-            raise ValueError(f"Length of y_true ({left}) and y_pred ({right}) must be the same.")
+            raise ValueError(f"{left} actual rows but {right} predicted ones")
     return regression_metrics(actual.join(predicted, key, "inner"), y, p, num_features)
 
 

@@ -20,6 +20,7 @@ from ..operators import prep, profile, quality, regression, split, stats
 from ..operators.columns import drop_columns
 from ..operators.scoring import Scorer
 from ..schema import numeric_columns, with_row_key
+from ..session import materialize
 from ..sources import sinks
 from ..sources.tables import load_table, resolve
 
@@ -77,20 +78,24 @@ class JobContext:
 
 
 def load_and_profile(job: JobContext, dataset_root: str | None = None) -> dict[str, DataFrame]:
-    """Shape, duplicates, first rows and summary statistics; optionally publish the table."""
+    """Shape, duplicates, first rows and summary statistics.
+
+    With a dataset root the table is published first and profiled from that copy, so the
+    source itself is parsed once.
+    """
     df = job.load()
+    if dataset_root:
+        reference = job.section("data_validation").get("input_artifact", "raw_data:latest")
+        sinks.publish(df, dataset_root, reference.partition(":")[0])
+        df = sinks.read_dataset(job.spark, dataset_root, reference)
     data = df.drop(ROW_KEY)
-    out = {
+    return {
         "table": df,
         "shape": profile.shape(data),
         "duplicates": profile.duplicate_rows(data),
         "sample": profile.head(df, job.key, 100),
         "summary": profile.summary(data),
     }
-    if dataset_root:
-        name = job.section("data_validation").get("input_artifact", "raw_data:latest")
-        sinks.publish(df, dataset_root, name.partition(":")[0])
-    return out
 
 
 def validate(job: JobContext, dataset_root: str | None = None) -> quality.QualityReport | None:
@@ -117,6 +122,9 @@ def preprocess(job: JobContext) -> DataFrame:
     section = job.section("preprocessing")
     df = job.load()
     source = job.section("data_source")
+    if source.get("type", "csv") == "csv":
+        # Several passes follow: parse the text once, then read only the columns each needs.
+        df = materialize(df, "parsed")
     if source.get("inference_holdout_path"):
         rest, held = split.holdout(df, job.key, source.get("inference_holdout_size"), job.seed)
         if held is not None:
@@ -157,11 +165,11 @@ def train(job: JobContext) -> tuple[regression.LinearModel, DataFrame]:
     """Split, select, fit, test; stores model, selection and metrics."""
     active = job.section("model").get("active", "linear_regression")
     if active != "linear_regression":
-        raise ValueError(f"Model type '{active}' is not supported.")
+        raise ValueError(f"model type '{active}' is not known")
     table = job.spark.read.parquet(job.features_path)
     target = job.config["target"]
     if target not in table.columns:
-        raise ValueError(f"Target column '{target}' not found in the feature table.")
+        raise ValueError(f"feature table has no target column '{target}'")
     candidates = numeric_columns(table, [job.key, target])
     fit_rows, test_rows = split.train_test(
         table, job.key, job.section("data_split").get("test_size", 0.2), job.seed)

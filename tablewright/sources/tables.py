@@ -38,11 +38,11 @@ def read_delimited(spark: SparkSession, path: str, *, delimiter: str = ",",
     can no longer be split between tasks.
     """
     if not path or not isinstance(path, str):
-        raise ValueError("No valid data path specified for CSV loading.")
+        raise ValueError("a table path is needed")
     if header not in (0, None):
         raise ValueError("header must be 0 (first line holds the names) or None")
     if not path_exists(spark, path):
-        raise FileNotFoundError(f"Data file not found: {path}")
+        raise FileNotFoundError(f"no table at {path}")
     reader = (spark.read.option("sep", delimiter).option("encoding", encoding)
               .option("header", header == 0).option("escape", '"')
               .option("multiLine", multiline))
@@ -70,10 +70,10 @@ def load_table(spark: SparkSession, config: Mapping[str, Any], *, base_dir: str
     source = config.get("data_source", {})
     kind = str(source.get("type", "csv")).lower()
     if kind not in FORMATS:
-        raise ValueError(f"Unsupported file type: '{kind}'. Supported: {', '.join(FORMATS)}.")
+        raise ValueError(f"data_source.type is '{kind}'; known: {', '.join(FORMATS)}")
     raw_path = source.get("raw_path")
     if not raw_path or not isinstance(raw_path, str):
-        raise ValueError("Config must specify 'data_source.raw_path' for raw data.")
+        raise ValueError("data_source.raw_path is not set")
     path = resolve(raw_path, base_dir)
     if kind == "parquet":
         return read_columnar(spark, path, schema)

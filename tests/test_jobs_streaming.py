@@ -80,10 +80,10 @@ def test_validation_failure_stops_but_leaves_a_report(spark, job):
 
 
 def test_train_rejects_bad_configurations(spark, job, tmp_path):
-    with pytest.raises(ValueError, match="not supported"):
+    with pytest.raises(ValueError, match="not known"):
         jobs.train(jobs.JobContext(spark, {**CONFIG, "model": {"active": "knn"}}, job.base_dir))
     spark.range(3).write.parquet(str(tmp_path / "processed_features" / "features"))
-    with pytest.raises(ValueError, match="Target"):
+    with pytest.raises(ValueError, match="target"):
         jobs.train(jobs.JobContext(spark, CONFIG, str(tmp_path)))
 
 

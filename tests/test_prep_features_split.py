@@ -193,3 +193,12 @@ def test_train_test_independent_of_holdout(spark):
 def test_empty_split(spark):
     rest, part = split.split_exact(spark.range(0), "id", 0.5)
     assert rest.count() == part.count() == 0
+
+
+def test_flags_named_by_their_labels(spark):
+    from tablewright.functions.labels import EXPLORATION_PATTERNS
+    df = spark.createDataFrame([("puerto rican r&b",), (None,)], "g string")
+    out = features.add_label_flags(df, "g", EXPLORATION_PATTERNS, prefix=None)
+    assert {"hip-hop", "r&b", "soul"} <= set(out.columns)
+    row = out.filter("g is not null").first()
+    assert (row["latin"], row["r&b"], row["soul"]) == (1, 1, 0)
