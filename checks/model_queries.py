@@ -441,7 +441,7 @@ WITH {PART_FEATURES_SQL}
     for b in ("p_size", "p_retailprice", "qty", "n_lines", "disc", "tax", "price", "revenue")))
 def moments_wide(spark, d):
     names = ["p_size", "p_retailprice", "qty", "n_lines", "disc", "tax", "price", "revenue"]
-    found = regression.moments(part_features(spark, d), names)
+    found = regression.moments(materialize(part_features(spark, d)), names)
     rows = [(a, b, float(found.comoment[i, j] / (found.n - 1))) for i, a in enumerate(names) for j, b in enumerate(names)]
     return rounded(spark.createDataFrame(rows, "a string, b string, covariance double"), 4, "covariance")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tablewright.operators import columns, profile, quality, split
 from tablewright.operators.prep import Preprocessor, fit_preprocessor
 from tablewright.operators.stats import regression_metrics
-from tablewright.session import shared_folder
+from tablewright.session import materialize, shared_folder
 from tablewright.sources import sinks, tables
 
 from .base import (EVENTS_WITH_GAPS_SQL, PART_FEATURES_SQL, events_with_gaps, part_features, query,
@@ -187,12 +187,12 @@ def _corr_sql(select: str) -> str:
 
 @query("corr_matrix", _corr_sql("SELECT a, b, round(r, 6) AS r"))
 def corr_matrix(spark, d):
-    return rounded(profile.correlations(part_features(spark, d), _PF_NUMERIC), 6, "r")
+    return rounded(profile.correlations(materialize(part_features(spark, d)), _PF_NUMERIC), 6, "r")
 
 
 @query("corr_high", _corr_sql("SELECT a, b, CASE WHEN abs(r) > 0.35 THEN round(r, 6) END AS r"))
 def corr_high(spark, d):
-    pairs = profile.correlations(part_features(spark, d), _PF_NUMERIC)
+    pairs = profile.correlations(materialize(part_features(spark, d)), _PF_NUMERIC)
     return rounded(profile.strong_correlations(pairs), 6, "r")
 
 

@@ -114,7 +114,8 @@ def fit_preprocessor(df: DataFrame, columns: Sequence[str], *, strategy: str | N
     row = df.agg(F.count(F.lit(1)).alias("rows"), *[
         make(number(df, c)).alias(f"{m}_{i}")
         for i, c in enumerate(columns) for m, make in measures.items()]).first()
-    medians = quantiles(df, columns, (0.5,), accuracy) if strategy == "median" else {}
+    sizes = {c: row[f"n_{i}"] for i, c in enumerate(columns)}
+    medians = quantiles(df, columns, (0.5,), accuracy, sizes) if strategy == "median" else {}
     modes = ({r["column"]: r["top"] for r in top_values(df, columns, "double").collect()}
              if strategy == "most_frequent" else {})
 

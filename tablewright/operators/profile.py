@@ -109,7 +109,8 @@ def summary(df: DataFrame, columns: Sequence[str] | None = None,
             F.count(v), F.avg(v), F.stddev_samp(v), F.min(v), F.max(v)))]
     aggs += [F.count(quoted(c)).alias(f"filled_{i}") for i, c in enumerate(other)]
     stats = df.agg(*aggs).first()
-    quartiles = quantiles(df, numeric, (0.25, 0.5, 0.75), accuracy)
+    quartiles = quantiles(df, numeric, (0.25, 0.5, 0.75), accuracy,
+                          {c: stats[f"count_{i}"] for i, c in enumerate(numeric)})
     tops = {r["column"]: r for r in top_values(df, other).collect()} if other else {}
 
     rows = []

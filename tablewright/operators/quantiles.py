@@ -11,7 +11,7 @@ probabilities share the passes, and no pass shuffles more than one row per task.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -46,14 +46,19 @@ class _Search:
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], *,
-                    buffer_limit: int = BUFFER_LIMIT, gather_limit: int = GATHER_LIMIT,
+                    sizes: Mapping[str, int] | None = None, buffer_limit: int = BUFFER_LIMIT,
+                    gather_limit: int = GATHER_LIMIT,
                     accuracy: int = SKETCH_ACCURACY) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles of each column, missing values ignored."""
+    """Linearly interpolated quantiles of each column, missing values ignored.
+
+    ``sizes`` passes on the columns' non-missing counts where they are known already.
+    """
     if not columns:
         return {}
     values = {c: number(df, c) for c in columns}
-    counted = df.agg(*[F.count(values[c]).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    sizes = {c: counted[f"n{i}"] for i, c in enumerate(columns)}
+    if sizes is None:
+        counted = df.agg(*[F.count(values[c]).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+        sizes = {c: counted[f"n{i}"] for i, c in enumerate(columns)}
     result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
     small = [c for c in columns if 0 < sizes[c] <= buffer_limit]
     if small:
@@ -97,10 +102,11 @@ def approx_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Seque
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
-              accuracy: int | None = None) -> dict[str, list[float | None]]:
+              accuracy: int | None = None, sizes: Mapping[str, int] | None = None,
+              ) -> dict[str, list[float | None]]:
     """Exact by default; with ``accuracy`` the one-pass sketch."""
     if accuracy is None:
-        return exact_quantiles(df, columns, probabilities)
+        return exact_quantiles(df, columns, probabilities, sizes=sizes)
     return approx_quantiles(df, columns, probabilities, accuracy)
 
 

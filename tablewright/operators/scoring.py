@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -12,12 +13,14 @@ from pyspark.sql import functions as F
 from ..functions.labels import GENRE_PATTERNS
 from ..functions.response import bucket_message, bucket_name, success
 from ..schema import quoted
-from .columns import drop_columns, require_columns
+from .columns import drop_columns, fill_missing_columns, missing_columns, require_columns
 from .features import engineer
 from .prep import Preprocessor, apply_stored
 from .quality import RECORD_RULES, RecordRule, split_records
 from .regression import LinearModel, prediction_columns
 
+log = logging.getLogger(__name__)
+
 _INPUT = "__input"
 
 
@@ -30,25 +33,35 @@ class Scorer:
     config: Mapping[str, Any] = field(default_factory=dict)
     label_column: str = "artist_genres"
     patterns: Mapping[str, str] = field(default_factory=lambda: GENRE_PATTERNS)
+    fill_missing: bool = True
 
     def prepare(self, df: DataFrame) -> DataFrame:
-        """Drop, scale, flag and expand; stops if a model feature cannot be built."""
+        """Drop, scale, flag and expand; stops if a model feature cannot be built.
+
+        Columns that were scaled at fit time and are absent now count as 0.0 before
+        scaling, unless ``fill_missing`` is off.
+        """
         drops = self.config.get("preprocessing", {}).get("drop_columns", [])
-        df = apply_stored(drop_columns(df, drops), self.preprocessor)
+        df = drop_columns(df, drops)
+        absent = missing_columns(df, self.preprocessor.columns)
+        if absent and self.fill_missing:
+            log.warning("columns %s are absent; taken as 0.0", absent)
+            df = fill_missing_columns(df, absent, 0.0)
+        df = apply_stored(df, self.preprocessor)
         df = engineer(df, self.config, label_column=self.label_column, patterns=self.patterns)
         return require_columns(df, self.model.features)
 
     def score(self, df: DataFrame, *, interval: bool = True, alpha: float = 0.05) -> DataFrame:
         """Input columns, untouched and in order, followed by the prediction columns.
 
+        Columns of the input that are named like a prediction column are replaced.
         The input row rides along as a struct while its columns are transformed, so
         attaching predictions needs no join and no key, and nothing is shuffled.
         """
-        names = df.columns
-        carried = df.withColumn(_INPUT, F.struct(*[quoted(c) for c in names]))
-        ready = self.prepare(carried)
         features = [quoted(f).cast("double") for f in self.model.features]
         predicted = prediction_columns(self.model, features, interval=interval, alpha=alpha)
+        names = [c for c in df.columns if c not in predicted]
+        ready = self.prepare(df.withColumn(_INPUT, F.struct(*[quoted(c) for c in names])))
         return ready.select(
             *[F.col(_INPUT).getField(c).alias(c) for c in names],
             *[column.alias(name) for name, column in predicted.items()])
@@ -74,6 +87,6 @@ def with_response(df: DataFrame, prediction: str = "prediction",
     return out
 
 
-def count_unscored(df: DataFrame, prediction: str = "prediction") -> Column:
+def count_unscored(prediction: str = "prediction") -> Column:
     """Aggregate expression: rows that could not be given a prediction."""
     return F.count_if(quoted(prediction).isNull())

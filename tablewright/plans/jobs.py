@@ -13,12 +13,13 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import features as feature_ops
 from ..operators import prep, profile, quality, regression, split, stats
 from ..operators.columns import drop_columns
-from ..operators.scoring import Scorer
+from ..operators.scoring import Scorer, count_unscored
 from ..schema import numeric_columns, with_row_key
 from ..session import materialize
 from ..sources import sinks
@@ -215,8 +216,17 @@ def stored_scorer(job: JobContext) -> Scorer:
 
 
 def batch_score(job: JobContext, rows: DataFrame, output: str, fmt: str = "parquet") -> str:
-    """Score a table with the stored parameters and write it with its prediction columns."""
-    return sinks.write_table(stored_scorer(job).score(rows), output, fmt)
+    """Score a table with the stored parameters and write it with its prediction columns.
+
+    Rows left without a prediction are counted while writing, not in a pass of their own.
+    """
+    seen = Observation()
+    scored = stored_scorer(job).score(rows).observe(
+        seen, F.count(F.lit(1)).alias("rows"), count_unscored().alias("unscored"))
+    sinks.write_table(scored, output, fmt)
+    if seen.get["unscored"]:
+        log.warning("%d of %d rows have no prediction", seen.get["unscored"], seen.get["rows"])
+    return output
 
 
 def run_all(job: JobContext) -> DataFrame:

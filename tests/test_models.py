@@ -322,3 +322,17 @@ def test_scorer_keeps_rows_and_input_columns(spark, tracks):
     assert scored.agg(F.sum("prediction")).first()[0] == pytest.approx(direct)
     with pytest.raises(ValueError, match="genre_pop"):
         scorer.score(tracks.drop("artist_genres"))
+
+
+def test_scorer_fills_absent_scaled_columns_and_replaces_old_predictions(spark):
+    from tablewright.operators.prep import ColumnTransform, Preprocessor
+    data = spark.createDataFrame(design())
+    model = regression.fit(regression.moments(data, ["A", "B", "y"]), "y", ["A", "B"])
+    prep = Preprocessor((ColumnTransform("B", 1.0, -0.5, 2.0),))
+    rows = spark.createDataFrame([(1, 0.5, 99.0)], "id int, A double, prediction double")
+    out = scoring.Scorer(model, prep).score(rows)
+    assert out.columns == ["id", "A", "prediction", "prediction_pi_lower", "prediction_pi_upper"]
+    want = model.intercept + 0.5 * model.coefficients[0] + 0.25 * model.coefficients[1]
+    assert out.first()["prediction"] == pytest.approx(want)
+    with pytest.raises(ValueError, match="B"):
+        scoring.Scorer(model, prep, fill_missing=False).score(rows)
