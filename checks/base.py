@@ -117,9 +117,11 @@ def fixed_preprocessor() -> Preprocessor:
                          ColumnTransform("p_retailprice", 1000.0, 950.0, 75.0)))
 
 
-def t_quantile_sql(df: str) -> str:
-    """97.5 % point of the t distribution by its expansion in 1/df (many degrees of freedom)."""
-    z = 1.959963984540054
+def t_quantile_sql(df: str, z: float = 1.959963984540054) -> str:
+    """Upper point of the t distribution by its expansion in 1/df (many degrees of freedom).
+
+    ``z`` is the matching point of the normal distribution; the default is for 97.5 %.
+    """
     terms = [z, (z**3 + z) / 4, (5 * z**5 + 16 * z**3 + 3 * z) / 96,
              (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384,
              (79 * z**9 + 776 * z**7 + 1482 * z**5 - 1920 * z**3 - 945 * z) / 92160]

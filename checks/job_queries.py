@@ -13,7 +13,7 @@ from tablewright.sources import sinks
 from tablewright.streaming.scoring import open_stream, route_stream, score_stream
 
 from .base import (PART_FEATURES_SQL, fixed_model, fixed_prediction_sql, part_features, query,
-                   read, rounded)
+                   read, rounded, t_quantile_sql)
 from .model_queries import _iqr_step
 
 # --- streaming -----------------------------------------------------------------------------
@@ -190,6 +190,71 @@ def job_feature_list(spark, d):
     return spark.read.text(_trained(spark, d).feature_list_path)
 
 
+# The same jobs with one feature and no selection, where the fit has a closed form.
+_SINGLE = {**_CONFIG,
+           "features": {"exclude": ["tax", "disc", "p_retailprice", "p_size", "n_lines"],
+                        "profiling_variables": ["price"], "drop": ["p_name"]},
+           "model": {"active": "linear_regression", "linear_regression": {
+               "save_path": "model", "stepwise": {"enabled": False}}}}
+
+_SINGLE_SQL = _PREPROCESSED_SQL.rstrip() + """,
+sides AS (SELECT p_partkey, qty, revenue,
+                 row_number() OVER (ORDER BY md5('85:' || p_partkey)) <= ceil(count(*) OVER () * 0.2) AS test FROM pre),
+fitted AS (SELECT count(*) AS n, avg(qty) AS m, var_pop(qty) * count(*) AS sxx, regr_slope(revenue, qty) AS b,
+                  regr_intercept(revenue, qty) AS a,
+                  (1 - power(corr(revenue, qty), 2)) * var_pop(revenue) * count(*) / (count(*) - 2) AS v
+           FROM sides WHERE NOT test)
+"""
+
+
+def _single(spark, d) -> jobs.JobContext:
+    job = jobs.JobContext(spark, _SINGLE, _job(spark, d).base_dir)
+    jobs.preprocess(job)
+    jobs.build_features(job)
+    return job
+
+
+def _single_metrics(where: str, label: str) -> str:
+    return _SINGLE_SQL + f""",
+m AS (SELECT revenue AS y, a + b * qty AS p FROM sides, fitted WHERE {where}),
+t AS (SELECT count(*) AS n, avg((y-p)*(y-p)) AS mse, avg(abs(y-p)) AS mae, var_pop(y) AS vy,
+             100 * avg(abs((y-p)/y)) AS mape FROM m)
+SELECT round(mse, 4) AS mse, round(mae, 6) AS mae, round(1 - mse / vy, 8) AS r2,
+       round(1 - mse / vy * (n - 1) / (n - 2), 8) AS adj_r2, round(mape, 6) AS mape, n, '{label}' AS split FROM t"""
+
+
+def _shown(table):
+    table = rounded(rounded(table, 4, "mse"), 8, "r2", "adj_r2")
+    return rounded(table, 6, "mae", "mape").drop("rmse")
+
+
+@query("job_train_single", _single_metrics("test", "test"))
+def job_train_single(spark, d):
+    return _shown(jobs.train(_single(spark, d))[1])
+
+
+@query("job_evaluate_single", _single_metrics("true", "all"))
+def job_evaluate_single(spark, d):
+    job = _single(spark, d)
+    jobs.train(job)
+    return _shown(jobs.evaluate(job, split_label="all"))
+
+
+@query("job_score_single", _SINGLE_SQL + f""",
+held AS (SELECT p_partkey, (qty - q0) / (q1 - q0) AS x FROM ranked, r WHERE rn <= ceil(total * 0.1)),
+s AS (SELECT p_partkey, a + b * x AS y, {t_quantile_sql('(n - 2)')} * sqrt(v * (1 + 1.0 / n + (x - m) * (x - m) / sxx)) AS h
+      FROM held, fitted)
+SELECT p_partkey, round(y, 4) AS prediction, round(y - h, 4) AS prediction_pi_lower,
+       round(y + h, 4) AS prediction_pi_upper FROM s""")
+def job_score_single(spark, d):
+    job = _single(spark, d)
+    jobs.train(job)
+    held = spark.read.parquet(f"{job.base_dir}/holdout")
+    scored = spark.read.parquet(jobs.batch_score(job, held, f"{job.base_dir}/predictions"))
+    names = ("prediction", "prediction_pi_lower", "prediction_pi_upper")
+    return rounded(scored.select("p_partkey", *names), 4, *names)
+
+
 @query("job_train")
 def job_train(spark, d):
     return jobs.train(_trained(spark, d))[1]

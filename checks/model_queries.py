@@ -455,6 +455,25 @@ def _selected_model(spark, d):
     return regression.train(regression.moments(table, [*names, "revenue"]), "revenue", names), table
 
 
+# A p-value under 0.05 is a |t| over the 97.5 % point, one over 0.1 a |t| under the 95 % point.
+@query("stepwise_two_candidates", _OLS2_SQL.rstrip() + f""",
+r AS (SELECT *, abs(s1y / sqrt(s11 * syy)) AS r1, abs(s2y / sqrt(s22 * syy)) AS r2,
+             abs(b1 / e1) AS t1, abs(b2 / e2) AS t2 FROM e),
+q AS (SELECT *, r1 * sqrt((n - 2) / (1 - r1 * r1)) AS u1, r2 * sqrt((n - 2) / (1 - r2 * r2)) AS u2,
+             {t_quantile_sql('(n - 2)')} AS single_in, {t_quantile_sql('(n - 3)')} AS pair_in,
+             {t_quantile_sql('(n - 3)', 1.6448536269514722)} AS pair_out FROM r),
+f AS (SELECT *, greatest(u1, u2) > single_in AS any_in, u1 >= u2 AS qty_first,
+             CASE WHEN u1 >= u2 THEN t2 ELSE t1 END > pair_in AS both_in,
+             CASE WHEN u1 >= u2 THEN t1 ELSE t2 END < pair_out AS first_out FROM q)
+SELECT 'qty' AS feature FROM f WHERE any_in AND (CASE WHEN qty_first THEN NOT (both_in AND first_out) ELSE both_in END)
+UNION ALL
+SELECT 'disc' FROM f WHERE any_in AND (CASE WHEN qty_first THEN both_in ELSE NOT (both_in AND first_out) END)""")
+def stepwise_two_candidates(spark, d):
+    found = regression.moments(part_features(spark, d), ["qty", "disc", "revenue"])
+    picked = regression.stepwise(found, "revenue", ["qty", "disc"])
+    return spark.createDataFrame([(p,) for p in picked], "feature string")
+
+
 @query("stepwise")
 def stepwise(spark, d):
     model, _ = _selected_model(spark, d)
@@ -556,6 +575,14 @@ def kmeans_elbow(spark, d):
     return clustering.kmeans_sweep(read(spark, d, "embeddings"), ["embedding"], n_init=3)
 
 
+@query("kmeans_one_cluster", """
+WITH x AS (SELECT unnest(CAST(embedding AS DOUBLE[])) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
+w AS (SELECT i, var_pop(v) * count(*) AS ss FROM x GROUP BY i)
+SELECT 1 AS k, round(sum(ss), 4) AS inertia FROM w""")
+def kmeans_one_cluster(spark, d):
+    return rounded(clustering.kmeans_sweep(read(spark, d, "embeddings"), ["embedding"], [1]), 4, "inertia")
+
+
 @query("cluster_sizes", f"WITH {CLUSTERED_SQL} SELECT cluster, count(*) AS size FROM clustered GROUP BY cluster")
 def cluster_sizes(spark, d):
     return clustering.cluster_sizes(_clustered(spark, d))
