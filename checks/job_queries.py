@@ -29,7 +29,7 @@ _point, _half = fixed_prediction_sql(("(value - 10) / 80", "CAST(user_id AS DOUB
 
 @query("stream_score", f"""
 SELECT event_id, user_id, event_type, value, round({_point}, 9) AS prediction,
-       round({_point} - {_half}, 4) AS prediction_pi_lower, round({_point} + {_half}, 4) AS prediction_pi_upper
+       round({_point} - {_half}, 3) AS prediction_pi_lower, round({_point} + {_half}, 3) AS prediction_pi_upper
 FROM (SELECT event_id, user_id, event_type, value FROM events WHERE event_type <> 'error')""".replace(
     "value * user_id", "((value - 10) / 80) * user_id"))
 def stream_score(spark, d):
@@ -40,7 +40,7 @@ def stream_score(spark, d):
     stream = _events_stream(spark, d).filter("event_type <> 'error'")
     out = shared_folder(spark, "stream")
     score_stream(stream, scorer, f"{out}/scored", f"{out}/checkpoint").awaitTermination()
-    return rounded(rounded(spark.read.parquet(f"{out}/scored"), 9, "prediction"), 4,
+    return rounded(rounded(spark.read.parquet(f"{out}/scored"), 9, "prediction"), 3,
                    "prediction_pi_lower", "prediction_pi_upper")
 
 

@@ -206,20 +206,25 @@ def label_flags_missing(spark, d):
                                     PART_PATTERNS, on_missing="zeros")
 
 
+def _off_ties(table, *names):
+    """Scaled by an irrational number no value is a rounding tie, on which engines differ."""
+    return table.withColumns({n: F.round(F.col(n) * F.sqrt(F.lit(2.0)), 12) for n in names})
+
+
 _BASES = ("qty", "disc", "p_size")
 
 
 @query("poly_degree2", f"""
 WITH {PART_FEATURES_SQL}
 SELECT p_partkey, """ + ", ".join(
-    f"round(CAST({a} AS DOUBLE) * CAST({b} AS DOUBLE), {15 if a == b == 'disc' else 9}) AS audio_poly__" + (f"{a}pow2" if a == b else f"{a}_{b}")
+    f"round(CAST({a} AS DOUBLE) * CAST({b} AS DOUBLE){' * sqrt(2), 12' if a == b == 'disc' else ', 9'}) AS audio_poly__" + (f"{a}pow2" if a == b else f"{a}_{b}")
     for i, a in enumerate(_BASES) for b in _BASES[i:]) + " FROM pf")
 def poly_degree2(spark, d):
     table = part_features(spark, d).select("p_partkey", "p_name", *_BASES)
     out = features.add_polynomials(table, ["qty", "disc", "p_name", "p_size", "gone"], prefix="audio_poly__")
     out = out.drop("p_name", *_BASES)
     terms = [c for c in out.columns if c not in ("p_partkey", "audio_poly__discpow2")]
-    return rounded(rounded(out, 9, *terms), 15, "audio_poly__discpow2")
+    return _off_ties(rounded(out, 9, *terms), "audio_poly__discpow2")
 
 
 @query("poly_interactions3", f"""
@@ -244,16 +249,16 @@ _STAGE = {
 
 @query("feature_stage", f"""
 WITH {PART_FEATURES_SQL}, fl AS (SELECT *, {_flag_sql('p_name', PART_PATTERNS, 'genre_')} FROM pf)
-SELECT p_partkey, p_size, qty, n_lines, round(disc, 11) AS disc, round(price, 4) AS price,
+SELECT p_partkey, p_size, qty, n_lines, round(disc, 11) AS disc, round(price, 8) AS price,
        genre_red, genre_blue, genre_size_small, genre_nutandbolt, genre_shiny,
-       round(disc * disc, 15) AS audio_poly__discpow2, round(disc * tax, 15) AS audio_poly__disc_tax,
-       round(tax * tax, 15) AS audio_poly__taxpow2,
+       round(disc * disc * sqrt(2), 12) AS audio_poly__discpow2, round(disc * tax * sqrt(2), 12) AS audio_poly__disc_tax,
+       round(tax * tax * sqrt(2), 12) AS audio_poly__taxpow2,
        CAST(genre_red * genre_blue AS DOUBLE) AS genre_poly__genre_red_genre_blue FROM fl""")
 def feature_stage(spark, d):
     table = features.feature_table(part_features(spark, d), _STAGE, keep=["p_partkey"],
                                    label_column="p_name", patterns=PART_PATTERNS)
-    table = rounded(rounded(table, 11, "disc"), 4, "price")
-    return rounded(table, 15, "audio_poly__discpow2", "audio_poly__disc_tax", "audio_poly__taxpow2")
+    table = rounded(rounded(table, 11, "disc"), 8, "price")
+    return _off_ties(table, "audio_poly__discpow2", "audio_poly__disc_tax", "audio_poly__taxpow2")
 
 
 # --- statistics ----------------------------------------------------------------------------
