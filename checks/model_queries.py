@@ -329,7 +329,7 @@ def quantiles_exact(spark, d):
     from tablewright.operators.quantiles import exact_quantiles
     # A low buffer limit makes the small table take the path that very large ones take.
     found = exact_quantiles(read(spark, d, "lineitem"), ["l_quantity", "l_extendedprice", "l_orderkey"],
-                            (0.01, 0.25, 0.5, 0.75, 0.999), buffer_limit=1000, gather_limit=1000)
+                            (0.01, 0.25, 0.5, 0.75, 0.999), buffer_limit=1000)
     table = spark.createDataFrame([(c, *v) for c, v in found.items()],
                                   "column string, q10 double, q250 double, q500 double, q750 double, q999 double")
     return rounded(table, 4, "q10", "q250", "q500", "q750", "q999")

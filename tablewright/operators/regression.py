@@ -15,6 +15,8 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,8 @@ from ..schema import number, quoted
 #: aggregation takes longer than the matrix products.
 NARROW_COLUMNS = 6
 NARROW_PAIRS = 4
+#: Sums kept apart while per-task results are added up.
+MERGE_GROUPS = 256
 #: Up to this many features the interval width is one generated expression.
 NARROW_INTERVAL = 20
 #: Relative eigenvalue of the correlation matrix under which a direction counts as redundant.
@@ -55,18 +59,19 @@ class Moments:
 def moments(df: DataFrame, columns: Sequence[str]) -> Moments:
     """Cross moments of the rows in which none of the columns is missing."""
     columns = list(dict.fromkeys(columns))
-    values = df.select(*[number(df, c).alias(f"c{i}") for i, c in enumerate(columns)])
-    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in values.columns])
-    if len(columns) <= NARROW_COLUMNS:
-        n, total_rows, mean, comoment = _moments_builtin(values, complete)
-    else:
-        n, total_rows, mean, comoment = _moments_arrow(values, complete)
+    reduce_rows = _moments_builtin if len(columns) <= NARROW_COLUMNS else _moments_arrow
+    n, total_rows, mean, comoment = reduce_rows(_numbered(df, columns))
     return Moments(tuple(columns), n, total_rows - n, mean, comoment)
 
 
-def _moments_builtin(values: DataFrame, complete: Column):
+def _numbered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.select(*[number(df, c).alias(f"c{i}") for i, c in enumerate(columns)])
+
+
+def _moments_builtin(values: DataFrame):
     """One aggregation inside generated code; covar_pop merges partial means stably."""
     names = values.columns
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in names])
     usable = values.select(complete.alias("ok"),
                            *[F.when(complete, F.col(c)).alias(c) for c in names])
     pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
@@ -83,19 +88,16 @@ def _moments_builtin(values: DataFrame, complete: Column):
     return n, row["total"], mean, comoment
 
 
-def _centre(values: DataFrame, complete: Column):
-    names = values.columns
-    row = values.agg(F.count(F.lit(1)).alias("total"), F.count_if(complete).alias("n"),
-                     *[F.avg(F.when(complete, F.col(c))).alias(c) for c in names]).first()
-    return row["n"], row["total"], np.array([row[c] or 0.0 for c in names])
+def _centre(values: DataFrame) -> tuple[int, np.ndarray]:
+    """Row count and column means; the means only have to be near the data's middle."""
+    row = values.agg(F.count(F.lit(1)).alias("rows"), *[F.avg(c).alias(c) for c in values.columns]).first()
+    return row["rows"], np.array([row[c] or 0.0 for c in values.columns])
 
 
-def _moments_arrow(values: DataFrame, complete: Column):
+def _moments_arrow(values: DataFrame):
     """Means first, then matrix products of Arrow batches shifted by those means."""
-    n, total_rows, shift = _centre(values, complete)
-    size = len(values.columns)
-    if n == 0:
-        return 0, total_rows, np.zeros(size), np.zeros((size, size))
+    total_rows, shift = _centre(values)
+    size = len(shift)
 
     def kernel(batches):
         import numpy as np
@@ -103,39 +105,46 @@ def _moments_arrow(values: DataFrame, complete: Column):
         upper = np.triu_indices(size + 1)
         held = None
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
             x = np.ones((batch.num_rows, size + 1))
             for i in range(size):
                 x[:, i + 1] = batch.column(i).to_numpy(zero_copy_only=False)
             x[:, 1:] -= shift
+            missing = np.isnan(x).any(axis=1)
+            if missing.any():
+                x = x[~missing]
             part = x.T @ x
             held = part if held is None else held + part
         if held is not None:
             yield pa.RecordBatch.from_pydict({"cells": [held[upper]]})
 
-    cells = _sum_cells(values.filter(complete).mapInArrow(kernel, "cells array<double>"))
+    cells = _sum_cells(values.mapInArrow(kernel, "cells array<double>"))
+    n = round(cells[0]) if cells.size else 0
+    if n == 0:
+        return 0, total_rows, np.zeros(size), np.zeros((size, size))
     full = np.zeros((size + 1, size + 1))
-    upper = np.triu_indices(size + 1)
-    full[upper] = cells
+    full[np.triu_indices(size + 1)] = cells
     full = full + full.T - np.diag(np.diag(full))
     slip = full[0, 1:] / n
     return n, total_rows, shift + slip, full[1:, 1:] - n * np.outer(slip, slip)
 
 
 def _sum_cells(partials: DataFrame) -> np.ndarray:
-    """Add up the per-task arrays cell by cell; the result has one number per cell."""
-    table = (partials.select(F.posexplode("cells").alias("cell", "value"))
-             .groupBy("cell").agg(F.sum("value").alias("value")).toArrow())
-    out = np.zeros(table.num_rows)
-    out[table["cell"].to_numpy()] = table["value"].to_numpy()
-    return out
+    """Add up the per-task arrays cell by cell, in two levels.
+
+    The first level spreads the tasks' arrays over MERGE_GROUPS sums, so that the last one
+    adds that many arrays at most, however many tasks there were.
+    """
+    vectors = partials.select(F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("g"),
+                              array_to_vector("cells").alias("v"))
+    halfway = vectors.groupBy("g").agg(Summarizer.sum(F.col("v")).alias("v"))
+    total_ = halfway.agg(Summarizer.sum(F.col("v")).alias("v")).first()["v"]
+    return total_.toArray() if total_ is not None else np.zeros(0)
 
 
 def pairwise_correlation(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
     """Pearson matrix, each cell over the rows in which its two columns are present."""
     size = len(columns)
-    values = df.select(*[number(df, c).alias(f"c{i}") for i, c in enumerate(columns)])
+    values = _numbered(df, columns)
     if size <= NARROW_PAIRS:
         pairs = [(i, j) for i in range(size) for j in range(i, size)]
         # try_divide: a constant column has no correlation, which is NULL and not an error.
@@ -148,7 +157,7 @@ def pairwise_correlation(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
             r = row[f"r{i}_{j}"]
             matrix[i, j] = matrix[j, i] = np.nan if r is None else r
         return np.clip(matrix, -1.0, 1.0)
-    _, _, shift = _centre(values, F.lit(True))
+    _, shift = _centre(values)
 
     def kernel(batches):
         import numpy as np
