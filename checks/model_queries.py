@@ -577,7 +577,7 @@ def kmeans_assign(spark, d):
 
 @query("kmeans_elbow")
 def kmeans_elbow(spark, d):
-    return clustering.kmeans_sweep(read(spark, d, "embeddings"), ["embedding"], n_init=3)
+    return clustering.kmeans_sweep(read(spark, d, "embeddings"), ["embedding"])
 
 
 @query("kmeans_one_cluster", """

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import is_numeric, matches_type, number, quoted
 
@@ -179,26 +181,28 @@ RECORD_RULES: tuple[RecordRule, ...] = (
 def with_violations(df: DataFrame, rules: Sequence[RecordRule] = RECORD_RULES,
                     name: str = "violations") -> DataFrame:
     """Add the names of the fields of each row that are missing or out of range."""
-    checks = [F.when(_broken(df, r), F.lit(r.name)) for r in rules]
+    checks = [F.when(~_holds(df, r), F.lit(r.name)) for r in rules]
     return df.withColumn(name, F.array_compact(F.array(*checks)) if checks
                          else F.array().cast("array<string>"))
 
 
-def _broken(df: DataFrame, rule: RecordRule) -> Column:
+def _holds(df: DataFrame, rule: RecordRule) -> Column:
+    """True or false, never NULL; made of plain comparisons that a scan can apply."""
     if rule.name not in df.columns:
-        return F.lit(True)
-    value = number(df, rule.name) if is_numeric(df, rule.name) else quoted(rule.name)
-    broken = value.isNull()
+        return F.lit(False)
+    value = quoted(rule.name)
+    holds = value.isNotNull()
+    if isinstance(df.schema[rule.name].dataType, (T.FloatType, T.DoubleType)):
+        holds &= ~F.isnan(value)
     if rule.low is not None:
-        broken |= value <= F.lit(rule.low) if rule.low_open else value < F.lit(rule.low)
+        holds &= value > F.lit(rule.low) if rule.low_open else value >= F.lit(rule.low)
     if rule.high is not None:
-        broken |= value > F.lit(rule.high)
-    return broken
+        holds &= value <= F.lit(rule.high)
+    return holds
 
 
 def split_records(df: DataFrame, rules: Sequence[RecordRule] = RECORD_RULES,
                   ) -> tuple[DataFrame, DataFrame]:
     """Valid rows with the input's columns, and rejected rows with their violations."""
-    checked = with_violations(df, rules)
-    return (checked.filter(F.size("violations") == 0).drop("violations"),
-            checked.filter(F.size("violations") > 0))
+    valid = df.filter(reduce(lambda a, b: a & b, [_holds(df, r) for r in rules], F.lit(True)))
+    return valid, with_violations(df, rules).filter(F.size("violations") > 0)

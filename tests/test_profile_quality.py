@@ -164,3 +164,12 @@ def test_record_rules(spark):
     assert valid.count() == 1
     assert sorted(sorted(r["violations"]) for r in rejected.collect()) == [["energy"], ["genre"], ["tempo", "year"]]
     assert quality.split_records(df.drop("key"))[0].count() == 0
+
+
+def test_valid_records_are_filtered_at_the_scan(spark, tmp_path):
+    rows = [(1.0,), (float("nan"),), (None,), (-1.0,), (9.0,)]
+    spark.createDataFrame(rows, "x double").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    valid, rejected = quality.split_records(df, [quality.RecordRule("x", 0.0)])
+    assert sorted(r.x for r in valid.collect()) == [1.0, 9.0] and rejected.count() == 3
+    assert "GreaterThanOrEqual(x" in valid._jdf.queryExecution().toString().split("PushedFilters")[1]
