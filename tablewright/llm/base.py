@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,7 +44,7 @@ def small_batches(spark: SparkSession) -> None:
 def pieces(batch: pa.RecordBatch, column: str = "text", limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows of at most ``limit`` bytes of text (one row at least)."""
     text = batch.column(column)
-    sizes = np.asarray(pa.compute.binary_length(text).fill_null(0), dtype=np.int64)
+    sizes = np.asarray(pc.binary_length(text).fill_null(0), dtype=np.int64)
     total, begin = np.cumsum(sizes), 0
     while begin < len(total):
         before = total[begin - 1] if begin else 0

@@ -14,6 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from tablewright.llm.base import segments, utf8, word_hashes
 
@@ -182,7 +183,7 @@ class WordTokenizer:
             column = column.fill_null("")
         whole = {}
         for added in self._added:
-            for i in np.flatnonzero(pa.compute.match_substring(column, added)):
+            for i in np.flatnonzero(pc.match_substring(column, added)):
                 whole[int(i)] = self._library.encode(column[int(i)].as_py(), add_special_tokens=False).ids
         at, counts, lengths = self._words(column)
         flat = self._cache.gather(at, counts)
