@@ -1,4 +1,4 @@
 """All queries of the text operators, with their SQL where it can be written."""
 
-from tablewright.llm import chat, token_files  # noqa: F401
+from tablewright.llm import chat, secret_scan, token_files  # noqa: F401
 from tablewright.llm.base import ORACLES, QUERIES  # noqa: F401
