@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -232,6 +233,27 @@ def _encoder(path: str, model: Broadcast) -> PieceEncoder:
     return _ENCODERS[path]
 
 
+def _with_ids(batches: Iterable[pa.RecordBatch], encoder: PieceEncoder) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for piece in pieces(batch):
+            flat, lengths = encoder.encode(piece.column("text"))
+            ids = lists(flat, np.concatenate([[0], np.cumsum(lengths)]))
+            yield pa.RecordBatch.from_arrays([*piece.columns, ids], [*piece.schema.names, "ids"])
+
+
+def _texts(column: pa.Array, m: PieceModel) -> list[str | None]:
+    """Decoded texts of lists of ids."""
+    ids, counts = column.flatten(), np.asarray(pc.list_value_length(column).fill_null(0), np.int64)
+    ids = np.asarray(ids.fill_null(-1) if ids.null_count else ids, np.int64)
+    known = (ids >= 0) & (ids < len(m.lengths))
+    ids = np.where(known, ids, 0)
+    lengths = np.where(known, m.lengths[ids], 0)
+    data = m.flat[np.repeat(m.starts[ids], lengths) + segments(lengths)].tobytes()
+    total = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+    texts = [data[a + data.startswith(b" ", a, b):b].decode("utf-8", "replace") for a, b in zip(total[:-1], total[1:])]
+    return [t if v else None for t, v in zip(texts, column.is_valid().to_pylist())]
+
+
 def encode_pieces(docs: DataFrame, path: str = PIECE_MODEL) -> DataFrame:
     """The documents with ``ids``, the most likely pieces of the whole text.
 
@@ -247,12 +269,7 @@ def encode_pieces(docs: DataFrame, path: str = PIECE_MODEL) -> DataFrame:
     model = spark.sparkContext.broadcast(load_pieces(path))
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path, model)
-        for batch in batches:
-            for piece in pieces(batch):
-                flat, lengths = encoder.encode(piece.column("text"))
-                ids = lists(flat, np.concatenate([[0], np.cumsum(lengths)]))
-                yield pa.RecordBatch.from_arrays([*piece.columns, ids], [*piece.schema.names, "ids"])
+        return _with_ids(batches, _encoder(path, model))
 
     return docs.mapInArrow(encode, T.StructType([*docs.schema, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
@@ -268,43 +285,44 @@ def decode_pieces(tokens: DataFrame, path: str = PIECE_MODEL, to: str = "decoded
     model = spark.sparkContext.broadcast(load_pieces(path))
 
     def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value
         for batch in batches:
-            column = batch.column("ids")
-            ids, counts = column.flatten(), np.asarray(pc.list_value_length(column).fill_null(0), np.int64)
-            ids = np.asarray(ids.fill_null(-1) if ids.null_count else ids, np.int64)
-            known = (ids >= 0) & (ids < len(m.lengths))
-            ids = np.where(known, ids, 0)
-            lengths = np.where(known, m.lengths[ids], 0)
-            data = m.flat[np.repeat(m.starts[ids], lengths) + segments(lengths)].tobytes()
-            total = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])].tolist()
-            texts = [data[a + data.startswith(b" ", a, b):b].decode("utf-8", "replace") for a, b in zip(total[:-1], total[1:])]
-            decoded = pc.if_else(column.is_valid(), pa.array(texts, pa.string()), pa.scalar(None, pa.string()))
+            decoded = pa.array(_texts(batch.column("ids"), model.value), pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, decoded], [*batch.schema.names, to])
 
     return tokens.mapInArrow(decode, T.StructType([*tokens.schema, T.StructField(to, T.StringType())]))
 
 
-def ids_crc32(tokens: DataFrame) -> DataFrame:
-    """The rows with ``ids_crc32``: of the ids as little-endian unsigned 32-bit integers."""
-    def digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+def round_trip(docs: DataFrame, path: str = PIECE_MODEL) -> DataFrame:
+    """Digests of every document's ids and of the text decoded from them, in one pass.
+
+    doc_id, n_tokens, n_bytes (ids of bytes), ids_crc32 (of the ids as little-endian unsigned 32-bit
+    integers), decoded_sha256, and whether the decoded text is the document's (NULL: empty).
+    """
+    spark = docs.sparkSession
+    small_batches(spark)
+    model = spark.sparkContext.broadcast(load_pieces(path))
+
+    def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = model.value
+        is_byte = np.zeros(len(m.lengths), bool)
+        is_byte[m.byte_id] = True
+        for batch in _with_ids(batches, _encoder(path, model)):
             column = batch.column("ids")
-            values = memoryview(np.ascontiguousarray(column.values.to_numpy(zero_copy_only=False), "<u4")).cast("B")
-            offsets = column.offsets.to_pylist()
-            crcs = [zlib.crc32(values[4 * a:4 * b]) for a, b in zip(offsets[:-1], offsets[1:])]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(crcs, pa.int64())], [*batch.schema.names, "ids_crc32"])
+            flat, offsets = column.values.to_numpy(), column.offsets.to_numpy()
+            values = memoryview(np.ascontiguousarray(flat, "<u4")).cast("B")
+            n_bytes = np.concatenate([[0], np.cumsum(is_byte[flat])])[offsets]
+            texts = [t.encode() for t in _texts(column, m)]
+            yield pa.record_batch({
+                "doc_id": batch.column("doc_id"), "n_tokens": pa.array(np.diff(offsets).astype(np.int64)),
+                "n_bytes": pa.array(np.diff(n_bytes)),
+                "ids_crc32": pa.array([zlib.crc32(values[4 * a:4 * b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], pa.int64()),
+                "decoded_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
+                "exact": pa.array([(x or "").encode() == t for x, t in zip(batch.column("text").to_pylist(), texts)], pa.bool_())})
 
-    return tokens.mapInArrow(digest, T.StructType([*tokens.schema, T.StructField("ids_crc32", T.LongType())]))
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+        check, "doc_id long, n_tokens long, n_bytes long, ids_crc32 long, decoded_sha256 string, exact boolean")
 
 
 @query("op4_piece_ids")
 def op4_piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    text = F.coalesce("text", F.lit(""))
-    encoded = encode_pieces(docs)
-    compared = decode_pieces(encoded).select(
-        "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
-        F.size(F.filter("ids", lambda i: i.between(3, 258))).cast("long").alias("n_bytes"),
-        F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == text).alias("exact"))
-    return ids_crc32(compared).drop("ids")
+    return round_trip(table(spark, sf_dir, "documents"))
