@@ -5,13 +5,56 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tablewright.llm import decontaminate, language, ngram_join, pieces, secret_scan
 from tablewright.session import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+#: Least share of a text's n-grams that its language must hold.
+LEAST_LANGUAGE_SCORE = 0.5
 
+
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents without a recognisable language: no letter, no text, or a low score.
+
+    The model learns from the labels of the stage's own documents.
+    """
+    found = language.identify(docs, language.train(docs))
+    kept = found.where((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+    return kept.select(docs.columns)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of similar documents keep the one of the least doc_id."""
+    return ngram_join.one_of_each(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a benchmark item, up to its edit budget."""
+    return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace secrets in the texts; no document goes."""
+    return secret_scan.mask_secrets(docs, secret_scan.train(docs))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Add the piece ids of every text."""
+    return pieces.encode_pieces(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language", keep_known_languages),
+    ("near_duplicates", keep_one_of_each),
+    ("decontaminate", drop_leaks),
+    ("secrets", mask_secrets),
+    ("piece_ids", encode),
+]
+
+#: Trained models and shingle links have no SQL; tests hold the rows against brute force.
 ORACLE_SQL = None
 
 
