@@ -35,9 +35,9 @@ def components(edges: DataFrame) -> DataFrame:
                  .union(low.select("a", F.col("m").alias("b"))).distinct())
         small = materialize(small, "small-star")
         # Done when every node has one edge and no node pointed to has one.
-        counted = small.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("b").alias("m"))
-        open_nodes = counted.where("n > 1").select("a").union(
-            small.select(F.col("b").alias("a")).distinct().join(counted.select("a"), "a", "left_semi"))
+        ends = small.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+            small.select(F.col("b"), F.lit(0), F.lit(1)))
+        open_nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR (up = 1 AND down = 1)")
         both = small
         if open_nodes.isEmpty():
             break

@@ -72,9 +72,10 @@ def set_signatures(docs: DataFrame) -> DataFrame:
 
 
 def tiles(docs: DataFrame) -> DataFrame:
-    """Distinct tiles: ``members``, the set_ids of a size band that share a key.
+    """Distinct pairs (a, b) of set_ids of one tile, where a is the tile's least member.
 
-    A key is a pair of shingles that follow each other in hash order in a document's first n / 2 + 2
+    A tile has the sets of a size band that share a key. A key is a pair of shingles that follow
+    each other in hash order in a document's first n / 2 + 2
     shingles. Let two sets link, with d shingles in only one of them: d is a quarter of the union
     at most, each such shingle parts at most one pair of neighbours among the common ones, so of
     the first d + 2 common ones two stay neighbours in both sets; and they lie among the first
@@ -82,7 +83,7 @@ def tiles(docs: DataFrame) -> DataFrame:
     documents quote does not join them, unless it makes up most of their shingles. Sizes of linked sets
     differ by at most one band of ratio 4 / 3; a set is in the tiles of its own band and of the next.
 
-    Keys travel packed, hashed to buckets; equal tiles are kept once.
+    Keys travel packed, hashed to buckets.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -125,14 +126,12 @@ def tiles(docs: DataFrame) -> DataFrame:
         order = np.lexsort((member, band, key))
         key, member, band = key[order], member[order], band[order]
         group = np.append(True, (key[1:] != key[:-1]) | (band[1:] != band[:-1])) if len(key) else np.zeros(0, bool)
-        keep = group | np.append(True, member[1:] != member[:-1]) if len(key) else group
-        start = np.flatnonzero(group[keep])
-        member = member[keep]
-        found = {member[a:b].tobytes() for a, b in zip(start.tolist(), [*start[1:].tolist(), len(member)]) if b - a > 1}
-        return pa.table({"members": pa.array([np.frombuffer(m, np.int64) for m in sorted(found)], pa.list_(pa.int64()))})
+        least = member[group][np.cumsum(group) - 1]
+        pairs = np.unique(np.stack([least, member], axis=1)[least != member], axis=0).view(np.int64)
+        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
     packed = docs.select("doc_id", "text").mapInArrow(keys, "bucket int, keys binary, ids binary, bands binary, counts binary")
-    return packed.groupBy("bucket").applyInArrow(gather, "members array<long>").distinct()
+    return packed.groupBy("bucket").applyInArrow(gather, "a long, b long").distinct()
 
 
 def _groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
@@ -236,28 +235,33 @@ def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
     return sent.repartition("task").sortWithinPartitions("task").mapInArrow(intersect, "a long, b long")
 
 
-def open_pairs(tile: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs of one tile that are in different groups so far and that the bounds let pass.
+def open_pairs(star: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs that share a least member, are not known to be connected, and may link by their bounds.
 
-    Tiles within one group have nothing to add. The rest is compared in blocks of ``BLOCK``
-    members, the members of a tile's largest group never among themselves.
+    All tiles of one least member are compared together, so a pair of near copies that shares many
+    tiles comes up once. Known to be connected are sets whose links lead, in one or two
+    steps, to one least member. Tiles within one such group have nothing to add; the others are compared
+    in blocks of ``BLOCK`` members, those of the least member's own group never among themselves.
     """
-    rows = tile.where(F.size("members") > 2).select(F.xxhash64("members").alias("tile"), F.explode("members").alias("set_id"))
-    rows = rows.join(groups.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
-        "component", F.coalesce("component", "set_id"))
-    of_tile = (rows.groupBy("tile").agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                                        F.mode("component").alias("main"), F.count(F.lit(1)).alias("m"))
-               .where("low <> high").select("tile", "main", "m"))
-    rows = materialize(rows.join(of_tile, "tile").withColumn("inner", F.col("component") == F.col("main")), "open-tiles")
-    blocks = rows.groupBy("tile").agg(F.ceil(F.count_if("inner") / BLOCK).cast("int").alias("inner_blocks"),
-                                      F.ceil(F.count_if(~F.col("inner")) / BLOCK).cast("int").alias("outer_blocks"))
+    hub = links.groupBy("b").agg(F.min("a").alias("hub"))
+    onward = hub.select(F.col("b").alias("hub"), F.col("hub").alias("next"))
+    groups = materialize(hub.join(onward, "hub", "left").select(
+        F.col("b").alias("set_id"), F.coalesce("next", "hub").alias("group")), "linked-groups")
+    rows = (star.select(F.col("a").alias("tile"), F.col("b").alias("set_id")).join(groups, "set_id", "left")
+            .join(groups.select(F.col("set_id").alias("tile"), F.col("group").alias("main")), "tile", "left")
+            .select("tile", "set_id", F.coalesce("group", "set_id").alias("component"), F.coalesce("main", "tile").alias("main"))
+            .withColumn("inner", F.col("component") == F.col("main")))
+    of_tile = rows.groupBy("tile").agg(F.count(F.lit(1)).alias("m"), F.count_if("inner").alias("n_inner"))
+    of_tile = of_tile.where("n_inner < m AND m > 1").select(
+        "tile", "m", F.ceil(F.col("n_inner") / BLOCK).cast("int").alias("inner_blocks"),
+        F.ceil((F.col("m") - F.col("n_inner")) / BLOCK).cast("int").alias("outer_blocks"))
     whole = F.col("m") <= BLOCK
 
     def block(name: str):
         return F.pmod(F.xxhash64("set_id", F.lit(7)), F.col(name)).cast("int")
 
     def each(name: str, job):
-        return F.transform(F.sequence(F.lit(0), F.col(name) - 1), job)
+        return F.transform(F.slice(F.sequence(F.lit(0), F.col(name)), F.lit(1), F.col(name)), job)
 
     jobs = F.when(whole, F.array(F.struct(F.lit("o").alias("kind"), F.lit(0).alias("i"), F.lit(0).alias("j")))).when(
         F.col("inner"), each("outer_blocks", lambda o: F.struct(F.lit("d").alias("kind"), o.alias("i"), block("inner_blocks").alias("j")))
@@ -265,7 +269,7 @@ def open_pairs(tile: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFrame
         each("inner_blocks", lambda d: F.struct(F.lit("d").alias("kind"), block("outer_blocks").alias("i"), d.alias("j"))),
         each("outer_blocks", lambda o: F.struct(F.lit("o").alias("kind"), F.least(block("outer_blocks"), o).alias("i"),
                                                 F.greatest(block("outer_blocks"), o).alias("j")))))
-    dealt = (rows.join(blocks, "tile").withColumn("job", F.explode(jobs))
+    dealt = (rows.join(of_tile, "tile").withColumn("job", F.explode(jobs))
              .select(F.xxhash64("tile", "job").alias("job"), "set_id", "component")
              .join(sets.select("set_id", "n", "bitmap"), "set_id"))
 
@@ -309,13 +313,9 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     signed = materialize(set_signatures(docs), "set-signatures")
     sets = materialize(signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("set_id").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap")), "sets")
-    tile = materialize(tiles(known), "tiles")
-
-    star = materialize(tile.select(F.col("members")[0].alias("a"), F.explode(F.slice("members", 2, F.size("members"))).alias("b"))
-                       .distinct(), "star-pairs")
+    star = materialize(tiles(known), "star-pairs")
     links = materialize(verify(materialize(within_bounds(star, sets), "bounded-pairs"), known, sets), "star-links")
-    rest = open_pairs(tile, sets, components(links)).join(star, ["a", "b"], "left_anti")
-    rest = materialize(rest, "open-pairs")
+    rest = materialize(open_pairs(star, links, sets), "open-pairs")
     links = links.union(materialize(verify(rest, known, sets), "open-links")) if not rest.isEmpty() else links
     groups = components(links)
 
