@@ -569,15 +569,39 @@ def silhouette_euclidean(spark, d):
                    6, "silhouette")
 
 
-@query("kmeans_assign")
+_GAP = "list_sum(list_transform(list_zip(e, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+
+
+def _lloyd_sql(k: int, updates: int = 2) -> str:
+    """CTEs of k-means from the given centres: v<n> has the assignment after n updates (k as suffix)."""
+    parts = [f"c0_{k}(j, c) AS (VALUES " + ", ".join(f"({j}, {CENTROIDS[j]}::DOUBLE[])" for j in range(k)) + ")"]
+    for n in range(updates + 1):
+        parts.append(f"""d{n}_{k} AS (SELECT vec_id, e, j, {_GAP} AS d FROM xs, c{n}_{k}),
+v{n}_{k} AS (SELECT vec_id, e, j, d FROM (
+  SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, j) AS place FROM d{n}_{k}) WHERE place = 1)""")
+        if n < updates:
+            parts.append(f"""c{n + 1}_{k} AS (
+  SELECT j, list(m ORDER BY i) AS c FROM (
+    SELECT j, i, avg(v) AS m FROM (SELECT j, unnest(e) AS v, generate_subscripts(e, 1) AS i FROM v{n}_{k}) GROUP BY j, i) GROUP BY j
+  UNION ALL SELECT j, c FROM c{n}_{k} WHERE j NOT IN (SELECT j FROM v{n}_{k}))""")
+    return ",\n".join(parts)
+
+
+_XS_SQL = "WITH xs AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), "
+
+
+@query("kmeans_assign", f"{_XS_SQL}{_lloyd_sql(3)} SELECT vec_id, j AS cluster FROM v2_3")
 def kmeans_assign(spark, d):
-    assigned, _, _ = clustering.kmeans_fit(read(spark, d, "embeddings"), ["embedding"], 3)
-    return assigned.select("vec_id", "cluster")
+    fitted = clustering.kmeans_fit(read(spark, d, "embeddings"), ["embedding"], 3, start=CENTROIDS, max_iter=2, tolerance=0.0)
+    return fitted.table.select("vec_id", "cluster")
 
 
-@query("kmeans_elbow")
+@query("kmeans_elbow", _XS_SQL + ",\n".join(_lloyd_sql(k) for k in (1, 2, 3)) + " " + " UNION ALL ".join(
+    f"SELECT {k} AS k, round(sum(d), 4) AS inertia FROM v2_{k}" for k in (1, 2, 3)))
 def kmeans_elbow(spark, d):
-    return clustering.kmeans_sweep(read(spark, d, "embeddings"), ["embedding"])
+    found = clustering.kmeans_sweep(read(spark, d, "embeddings"), ["embedding"], (1, 2, 3), max_iter=2, tolerance=0.0,
+                                    starts={k: CENTROIDS[:k] for k in (1, 2, 3)})
+    return rounded(found.select("k", "inertia"), 4, "inertia")
 
 
 @query("kmeans_one_cluster", """
@@ -585,7 +609,8 @@ WITH x AS (SELECT unnest(CAST(embedding AS DOUBLE[])) AS v, generate_subscripts(
 w AS (SELECT i, var_pop(v) * count(*) AS ss FROM x GROUP BY i)
 SELECT 1 AS k, round(sum(ss), 4) AS inertia FROM w""")
 def kmeans_one_cluster(spark, d):
-    return rounded(clustering.kmeans_sweep(read(spark, d, "embeddings"), ["embedding"], [1]), 4, "inertia")
+    found = clustering.kmeans_sweep(read(spark, d, "embeddings"), ["embedding"], [1])
+    return rounded(found.select("k", "inertia"), 4, "inertia")
 
 
 @query("cluster_sizes", f"WITH {CLUSTERED_SQL} SELECT cluster, count(*) AS size FROM clustered GROUP BY cluster")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -19,10 +19,9 @@ from pyspark.sql import types as T
 
 from ..functions.response import total
 from ..schema import number, quoted
+from ..session import materialize
 from .regression import _sum_cells
 
-#: Rows (about) the starting centres are drawn from; every later step uses the whole table.
-SEEDING_ROWS = 10_000
 #: Squared differences up to which nearest-centre assignment is a generated expression.
 NARROW_TERMS = 60
 
@@ -47,76 +46,178 @@ def _with_vector(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
 
 # --- fitting -------------------------------------------------------------------------------
 
-def kmeans_fit(df: DataFrame, columns: Sequence[str], k: int = 3, *, seed: int = 42,
-               max_iter: int = 100, name: str = "cluster") -> tuple[DataFrame, np.ndarray, float]:
-    """``(table with a cluster column, centres, inertia)``."""
-    vectors = _with_vector(df, columns, "__point")
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="__point",
-                   predictionCol=name).fit(vectors.select("__point"))
-    assigned = model.transform(vectors).drop("__point")
-    return assigned, np.array(model.clusterCenters()), float(model.summary.trainingCost)
+class KMeansFit(NamedTuple):
+    """``table`` has the cluster column, NULL for the ``left_out`` incomplete rows."""
+
+    table: DataFrame
+    centres: np.ndarray
+    inertia: float
+    converged: bool
+    left_out: int
+
+
+class _Run(NamedTuple):
+    k: int
+    centres: np.ndarray
+    cost: float
+    converged: bool
+
+
+def _complete(point: Column, width: int) -> Column:
+    """Whether a point has the given length and neither NULL nor NaN in it."""
+    return F.coalesce((F.size(point) == width) & ~F.exists(point, lambda v: v.isNull() | F.isnan(v)), F.lit(False))
+
+
+def _width(df: DataFrame, columns: Sequence[str]) -> int:
+    """Number of dimensions; of an array column, its most frequent length."""
+    if not _is_array(df, columns):
+        return len(columns)
+    sizes = df.groupBy(F.size(quoted(columns[0])).alias("size")).agg(F.count(F.lit(1)).alias("n")).where("size > 0")
+    found = sizes.orderBy(F.desc("n"), "size").first()
+    return found["size"] if found else 0
+
+
+def kmeans_fit(df: DataFrame, columns: Sequence[str], k: int = 3, *, seed: int = 42, n_init: int = 10,
+               max_iter: int = 300, tolerance: float = 1e-4, start: Sequence[Sequence[float]] | None = None,
+               name: str = "cluster") -> KMeansFit:
+    """The best of ``n_init`` runs (or the run from the centres ``start``), applied to the table.
+
+    Rows with a NULL, a NaN or another number of dimensions are left out of the fit, counted, and
+    keep a NULL cluster.
+    """
+    width = _width(df, columns)
+    runs, n = _fit_runs(df, columns, width, [k] if start is not None else [k] * (1 if k == 1 else n_init),
+                        None if start is None else [np.asarray(start, dtype=float)], seed, max_iter, tolerance)
+    best = min(runs, key=lambda r: r.cost)
+    point = _point(df, columns)
+    usable = df.withColumn("__point", F.when(_complete(point, width), point))
+    table = usable.withColumn(name, _nearest_udf(best.centres)(F.col("__point"))).drop("__point")
+    return KMeansFit(table, best.centres, best.cost, best.converged, df.count() - n)
 
 
 def kmeans_sweep(df: DataFrame, columns: Sequence[str], k_values: Sequence[int] = range(1, 11), *,
-                 n_init: int = 10, seed: int = 42, max_iter: int = 300,
-                 tolerance: float = 1e-4) -> DataFrame:
-    """Inertia per number of clusters, best of ``n_init`` starts: ``k, inertia``.
+                 n_init: int = 10, seed: int = 42, max_iter: int = 300, tolerance: float = 1e-4,
+                 starts: Mapping[int, Sequence[Sequence[float]]] | None = None) -> DataFrame:
+    """Inertia per number of clusters, best of ``n_init`` starts: ``k, inertia, converged``.
 
-    All runs of all ``k`` move forward together: one pass over the table assigns its rows
-    under every run's centres and returns counts, sums and cost. The number of passes is
+    All runs of all ``k`` move forward together: one pass over the points, which are written once, assigns
+    them under every run's centres and returns counts, sums and cost. The number of passes is
     that of the slowest run rather than the sum over all runs, and what a pass returns
-    depends on k and the number of dimensions only.
+    depends on k and the number of dimensions only. ``starts`` gives the centres to begin from instead.
+    ``converged`` tells whether the best run came to rest within ``max_iter`` updates. Incomplete
+    rows are left out as in ``kmeans_fit``.
     """
-    points = df.select(_point(df, columns).alias("p")).filter(
-        F.col("p").isNotNull() & ~F.exists("p", lambda v: v.isNull()))
-    n = points.count()
-    share = min(1.0, SEEDING_ROWS / max(n, 1))
-    start = (points.sample(share, seed) if share < 1.0 else points).limit(2 * SEEDING_ROWS)
-    sample = np.array([r["p"] for r in start.collect()])
-    if len(sample) == 0:
+    ks = [k for k in k_values for _ in range(1 if k == 1 or starts is not None else n_init)]
+    given = None if starts is None else [np.asarray(starts[k], dtype=float) for k in ks]
+    runs, _ = _fit_runs(df, columns, _width(df, columns), ks, given, seed, max_iter, tolerance)
+    best: dict[int, _Run] = {}
+    for run in runs:
+        if run.k not in best or run.cost < best[run.k].cost:
+            best[run.k] = run
+    return df.sparkSession.createDataFrame(
+        [(int(k), float(best[k].cost), best[k].converged) for k in k_values], "k int, inertia double, converged boolean")
+
+
+def _fit_runs(df: DataFrame, columns: Sequence[str], width: int, ks: Sequence[int],
+              starts: Sequence[np.ndarray] | None, seed: int, max_iter: int,
+              tolerance: float) -> tuple[list[_Run], int]:
+    """All runs to their end, and the number of complete rows."""
+    point = _point(df, columns)
+    points = df.select(F.when(_complete(point, width), point).alias("p")).where("p IS NOT NULL")
+    points = materialize(points.select("p", F.xxhash64("p").alias("h")), "points")
+    n, shift, spread = _moments(points, width)
+    if n == 0:
         raise ValueError("No complete rows to cluster.")
-    rng = np.random.default_rng(seed)
-    runs = [(k, _spread_start(sample, k, rng)) for k in k_values
-            for _ in range(1 if k == 1 else n_init)]
-    shift = sample.mean(axis=0)
-    slack = tolerance * float(sample.var(axis=0).mean())
-    costs: list[float] = [math.inf] * len(runs)
-    active = list(range(len(runs)))
+    centres = list(starts) if starts is not None else _spread_starts(points, ks, seed)
+    slack = tolerance * spread
+    done: list[_Run | None] = [None] * len(ks)
+    active = list(range(len(ks)))
     for step in range(max_iter + 1):
-        counts, sums, cost = _assignment_pass(points, [runs[i][1] for i in active], shift)
+        counts, sums, cost = _assignment_pass(points.select("p"), [centres[i] for i in active], shift)
         moving, offset = [], 0
         for position, i in enumerate(active):
-            k, centres = runs[i]
-            part = slice(offset, offset + k)
-            offset += k
-            costs[i] = cost[position]
+            part = slice(offset, offset + ks[i])
+            offset += ks[i]
             filled = counts[part] > 0
-            updated = centres.copy()
+            updated = centres[i].copy()
             updated[filled] = sums[part][filled] / counts[part][filled, None] + shift
-            if ((updated - centres) ** 2).sum() > slack:
+            rest = bool(((updated - centres[i]) ** 2).sum() <= slack)
+            # The cost belongs to the centres of this pass.
+            done[i] = _Run(ks[i], centres[i], float(cost[position]), rest)
+            centres[i] = updated
+            if not rest:
                 moving.append(i)
-            runs[i] = (k, updated)
         if not moving:
             break
         active = moving
-    best: dict[int, float] = {}
-    for (k, _), c in zip(runs, costs):
-        best[k] = min(c, best.get(k, math.inf))
-    return df.sparkSession.createDataFrame(
-        [(int(k), float(best[k])) for k in k_values], "k int, inertia double")
+    return [run for run in done if run is not None], n
 
 
-def _spread_start(sample: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """Starting centres: each further one is drawn in proportion to its squared distance."""
-    centres = [sample[rng.integers(len(sample))]]
-    nearest = ((sample - centres[0]) ** 2).sum(axis=1)
-    while len(centres) < k:
-        weight = nearest.sum()
-        pick = (rng.choice(len(sample), p=nearest / weight) if weight > 0
-                else rng.integers(len(sample)))
-        centres.append(sample[pick])
-        nearest = np.minimum(nearest, ((sample - centres[-1]) ** 2).sum(axis=1))
-    return np.array(centres)
+def _moments(points: DataFrame, width: int) -> tuple[int, np.ndarray, float]:
+    """Number of points, their mean, and the mean of their variances."""
+    def kernel(batches):
+        import numpy as np
+        import pyarrow as pa
+        cells = np.zeros(1 + 2 * width)
+        for batch in batches:
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, width)
+            cells += np.concatenate([[len(x)], x.sum(axis=0), (x ** 2).sum(axis=0)])
+        yield pa.RecordBatch.from_pydict({"cells": [cells]})
+
+    cells = _sum_cells(points.select("p").mapInArrow(kernel, "cells array<double>"))
+    if not len(cells) or cells[0] == 0:
+        return 0, np.zeros(width), 0.0
+    mean = cells[1:width + 1] / cells[0]
+    return int(cells[0]), mean, float(np.maximum(cells[width + 1:] / cells[0] - mean ** 2, 0).mean())
+
+
+def _spread_starts(points: DataFrame, ks: Sequence[int], seed: int) -> list[np.ndarray]:
+    """Starting centres of every run, drawn over all rows.
+
+    Each further centre is drawn in proportion to the squared distance to the nearest one so far:
+    the row with the greatest log(u) / distance, where u is a uniform number made of the row's
+    content, the run and the step. That is one pass per step for all runs, gives one row per
+    run, and does not depend on the partitions. Equal rows count once in a draw.
+    """
+    chosen: list[list[np.ndarray]] = [[] for _ in ks]
+    for step in range(max(ks)):
+        runs = [(i, np.array(chosen[i])) for i, k in enumerate(ks) if k > step]
+
+        def kernel(batches, runs=runs, step=step):
+            import numpy as np
+            import pyarrow as pa
+            best: dict[int, tuple[float, list[float]]] = {}
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                h = batch.column(1).to_numpy().astype(np.uint64)
+                for i, centres in runs:
+                    u = _uniform(h, (seed * 1_000_003 + i) * 1_009 + step)
+                    key = np.log(u)
+                    if step:
+                        gap = ((x[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2).min(axis=1)
+                        with np.errstate(divide="ignore", over="ignore"):
+                            key = np.where(gap > 0, np.maximum(key / gap, -1e299), -1e300 * (2 - u))
+                    at = int(key.argmax())
+                    if i not in best or (key[at], x[at].tolist()) > best[i]:
+                        best[i] = float(key[at]), x[at].tolist()
+            yield pa.RecordBatch.from_pydict({"run": pa.array(list(best), pa.int32()), "key": pa.array([v[0] for v in best.values()], pa.float64()),
+                                              "p": pa.array([v[1] for v in best.values()], pa.list_(pa.float64()))})
+
+        drawn = (points.mapInArrow(kernel, "run int, key double, p array<double>")
+                 .groupBy("run").agg(F.max(F.struct("key", "p")).alias("best")))
+        for row in drawn.collect():
+            chosen[row["run"]].append(np.array(row["best"]["p"]))
+    return [np.array(c) for c in chosen]
+
+
+def _uniform(h: np.ndarray, salt: int) -> np.ndarray:
+    """Numbers strictly between 0 and 1 made of 64-bit values."""
+    z = h ^ np.uint64((salt * 0x9E3779B97F4A7C15) % 2**64)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((z ^ (z >> np.uint64(31))) >> np.uint64(12)).astype(float) / 2**52 + 2**-54
 
 
 def _assignment_pass(points: DataFrame, runs: Sequence[np.ndarray], shift: np.ndarray):
@@ -215,17 +316,21 @@ def silhouette(df: DataFrame, columns: Sequence[str], cluster: str = "cluster")
 
 
 def silhouette_euclidean(df: DataFrame, key: str, columns: Sequence[str],
-                         cluster: str = "cluster", *, block_rows: int = 4_000) -> DataFrame:
+                         cluster: str = "cluster", *, block_rows: int = 4_000,
+                         max_pairs: int = 10**10) -> DataFrame:
     """One row: mean silhouette under Euclidean distance, over all pairs of rows.
 
-    The work is quadratic by definition. Rows are spread over hash blocks of bounded size,
-    and each pair of blocks is one small group that returns, per row, its summed distance
-    to every cluster; no task sees more than two blocks. ``key`` must be unique.
+    The work is quadratic by definition: a table with more than ``max_pairs`` pairs of rows is
+    refused with their number, to be allowed by that argument; ``silhouette`` is linear. Rows are
+    spread over hash blocks of bounded size, and each pair of blocks is one small group that
+    returns, per row, its summed distance to every cluster; no task sees more than two blocks. ``key`` must be unique.
     """
     rows = df.select(quoted(key).alias("key"), quoted(cluster).cast("int").alias("c"),
                      _point(df, columns).alias("p"))
     sizes = {r["c"]: r["n"] for r in rows.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
     n = sum(sizes.values())
+    if n * (n - 1) // 2 > max_pairs:
+        raise ValueError(f"{n * (n - 1) // 2} pairs of rows are more than max_pairs = {max_pairs}")
     blocks = max(1, math.ceil(n / block_rows))
     labels = sorted(sizes)
     key_type = rows.schema["key"].dataType.simpleString()
@@ -236,6 +341,8 @@ def silhouette_euclidean(df: DataFrame, key: str, columns: Sequence[str],
         x = np.stack(pair["p"].to_numpy())
         c, block = pair["c"].to_numpy(), pair["block"].to_numpy()
         low, high = pair["low"].iloc[0], pair["high"].iloc[0]
+        x = x - x.mean(axis=0)
+        own = (x ** 2).sum(axis=1)
         out = np.zeros((len(x), len(labels)))
         # Rows of one block against those of the other; a block paired with itself once.
         for mine, other in {(low, high), (high, low)}:
@@ -243,8 +350,8 @@ def silhouette_euclidean(df: DataFrame, key: str, columns: Sequence[str],
             member = (c[b][:, None] == np.array(labels)).astype(float)
             for at in range(0, len(a), 256):
                 part = a[at:at + 256]
-                gap = ((x[part, None, :] - x[None, b, :]) ** 2).sum(axis=2)
-                out[part] += np.sqrt(gap) @ member
+                gap = own[part, None] + own[None, b] - 2.0 * (x[part] @ x[b].T)
+                out[part] += np.sqrt(np.maximum(gap, 0.0)) @ member
         return pd.DataFrame({"key": pair["key"], "c": c, "sums": list(out)})
 
     block = F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int")

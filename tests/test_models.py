@@ -262,11 +262,11 @@ def blobs(n=300, seed=0):
 def test_sweep_finds_the_blobs(spark):
     data = blobs()
     df = spark.createDataFrame(data).repartition(5)
-    rows = {r["k"]: r["inertia"] for r in clustering.kmeans_sweep(df, ["x", "y"], range(1, 6), n_init=4).collect()}
+    rows = {r["k"]: r["inertia"] for r in clustering.kmeans_sweep(df, ["x", "y"], range(1, 5), n_init=3).collect()}
     x = data[["x", "y"]].to_numpy()
     assert rows[1] == pytest.approx(((x - x.mean(axis=0)) ** 2).sum())
-    assert all(rows[k] >= rows[k + 1] * 0.999 for k in range(1, 5))
-    _, _, cost = clustering.kmeans_fit(df, ["x", "y"], 3)
+    assert all(rows[k] >= rows[k + 1] * 0.999 for k in range(1, 4))
+    cost = clustering.kmeans_fit(df, ["x", "y"], 3).inertia
     assert rows[3] == pytest.approx(cost, rel=1e-6)
 
 
@@ -336,3 +336,33 @@ def test_scorer_fills_absent_scaled_columns_and_replaces_old_predictions(spark):
     assert out.first()["prediction"] == pytest.approx(want)
     with pytest.raises(ValueError, match="B"):
         scoring.Scorer(model, prep, fill_missing=False).score(rows)
+
+
+def test_kmeans_does_not_depend_on_partitions_and_skips_incomplete_rows(spark):
+    data = [(i, [float(i % 3) * 10 + (i * 7919 % 101) / 50, float(i % 3) + (i * 104729 % 97) / 60]) for i in range(300)]
+    odd = [(1000, None), (1001, [1.0, None]), (1002, [float("nan"), 1.0]), (1003, [1.0]), (1004, [])]
+    df = spark.createDataFrame(data + odd, "id int, p array<double>")
+    results = []
+    for parts in (1, 7):
+        dealt = df.repartition(parts)
+        sweep = [(r["k"], pytest.approx(r["inertia"], rel=1e-9), r["converged"])
+                 for r in clustering.kmeans_sweep(dealt, ["p"], (1, 3), n_init=2).collect()]
+        fit = clustering.kmeans_fit(dealt, ["p"], 3, n_init=2)
+        assert fit.left_out == 5 and fit.converged
+        clusters = {r["id"]: r["cluster"] for r in fit.table.collect()}
+        assert len(clusters) == 305 and all((clusters[i] is None) == (i >= 1000) for i in clusters)
+        # Three separate blobs: the rows of each have one cluster.
+        assert len({(i % 3, c) for i, c in clusters.items() if c is not None}) == 3
+        results.append(sweep)
+    assert [(k, c) for k, _, c in results[0]] == [(k, c) for k, _, c in results[1]]
+    assert [i.expected for _, i, _ in results[0]] == [i for _, i, _ in results[1]]
+    stopped = clustering.kmeans_sweep(df, ["p"], [4], max_iter=0, n_init=1).first()
+    assert stopped["converged"] is False
+    with pytest.raises(ValueError):
+        clustering.kmeans_fit(df.where("id >= 1000"), ["p"], 2)
+
+
+def test_silhouette_pairs_are_allowed_explicitly(spark):
+    df = spark.createDataFrame([(i, float(i), i % 2) for i in range(20)], "id int, x double, cluster int")
+    with pytest.raises(ValueError, match="190 pairs"):
+        clustering.silhouette_euclidean(df, "id", ["x"], max_pairs=189)
