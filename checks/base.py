@@ -77,6 +77,19 @@ pf AS (
 """
 
 
+def planted_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part features whose target is made of two columns and a remainder from the key."""
+    remainder = (F.col("p_partkey") * 7919) % 1000
+    return part_features(spark, sf_dir).withColumn(
+        "revenue", F.col("qty") * F.lit(0.05) + F.col("disc") * F.lit(120.0) + remainder.cast("double") / F.lit(500.0))
+
+
+PLANTED_FEATURES_SQL = PART_FEATURES_SQL.replace("pf AS (", "pf0 AS (") + """,
+pf AS (SELECT * REPLACE (qty * CAST(0.05 AS DOUBLE) + disc * CAST(120 AS DOUBLE)
+                         + CAST((p_partkey * 7919) % 1000 AS DOUBLE) / CAST(500 AS DOUBLE) AS revenue) FROM pf0)
+"""
+
+
 def events_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with a parsed number and two columns that miss values by rule."""
     k = F.regexp_extract("props", r'"k": (\d+)', 1).try_cast("int")
@@ -129,6 +142,28 @@ def t_quantile_sql(df: str, z: float = 1.959963984540054) -> str:
                             for i, t in enumerate(terms)) + ")"
 
 
+def t_two_sided_sql(t: str, df: str) -> str:
+    """P(|T| > |t|) by its finite sum, which differs for odd and even degrees of freedom."""
+    square = f"(1 / (1 + ({t}) * ({t}) / ({df})))"
+    angle = f"atan(abs({t}) / sqrt({df}))"
+    odd = (f"1 - 2 / pi() * ({angle} + sin({angle}) * list_sum(list_transform(range(0, CAST(({df} - 1) / 2 AS BIGINT)), "
+           f"lambda i: exp(lgamma(i + 1) + lgamma(1.5) - lgamma(i + 1.5)) * power({square}, i + 0.5))))")
+    even = (f"1 - sin({angle}) * list_sum(list_transform(range(0, CAST(({df}) / 2 AS BIGINT)), "
+            f"lambda i: exp(lgamma(i + 0.5) - lgamma(0.5) - lgamma(i + 1)) * power({square}, i)))")
+    return f"(CASE WHEN CAST({df} AS BIGINT) % 2 = 1 THEN {odd} ELSE {even} END)"
+
+
+def f_upper_sql(f: str, df1: str, df2: str) -> str:
+    """P(F > f) by its finite sum; one of the degrees of freedom must be even."""
+    def tail(a: str, b: str, y: str) -> str:
+        return (f"list_sum(list_transform(range(0, CAST(({b}) / 2 AS BIGINT)), lambda i: exp(({a}) / 2.0 * ln(1 - {y}) "
+                f"+ lgamma(({a}) / 2.0 + i) - lgamma(({a}) / 2.0) - lgamma(i + 1) + i * ln({y}))))")
+
+    high, low = f"({df1}) * ({f}) / (({df2}) + ({df1}) * ({f}))", f"({df2}) / (({df2}) + ({df1}) * ({f}))"
+    return (f"(CASE WHEN CAST({df1} AS BIGINT) % 2 = 0 THEN {tail(df2, df1, f'({high})')} "
+            f"WHEN CAST({df2} AS BIGINT) % 2 = 0 THEN 1 - {tail(df1, df2, f'({low})')} END)")
+
+
 def fixed_prediction_sql(features: Sequence[str] = FIXED_FEATURES) -> tuple[str, str]:
     """SQL of the fixed model's prediction and half interval width."""
     point = f"CAST({FIXED_INTERCEPT} AS DOUBLE)" + "".join(

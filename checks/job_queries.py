@@ -12,8 +12,8 @@ from tablewright.session import shared_folder
 from tablewright.sources import sinks
 from tablewright.streaming.scoring import open_stream, route_stream, score_stream
 
-from .base import (PART_FEATURES_SQL, fixed_model, fixed_prediction_sql, part_features, query,
-                   read, rounded, t_quantile_sql)
+from .base import (PART_FEATURES_SQL, PLANTED_FEATURES_SQL, fixed_model, fixed_prediction_sql,
+                   part_features, planted_features, query, read, rounded, t_quantile_sql)
 from .model_queries import _iqr_step
 
 # --- streaming -----------------------------------------------------------------------------
@@ -255,21 +255,69 @@ def job_score_single(spark, d):
     return rounded(scored.select("p_partkey", *names), 4, *names)
 
 
-@query("job_train")
+# The jobs with selection among three columns, two of which make up the target.
+_PLANTED = {**_CONFIG, "features": {"exclude": ["tax", "p_retailprice", "n_lines"], "profiling_variables": ["price"], "drop": ["p_name"]}}
+
+_PLANTED_SQL = _PREPROCESSED_SQL.replace(PART_FEATURES_SQL, PLANTED_FEATURES_SQL).rstrip() + """,
+sides AS (SELECT p_partkey, qty AS x1, disc AS x2, revenue AS y,
+                 row_number() OVER (ORDER BY md5('42:' || p_partkey)) AS by_42,
+                 row_number() OVER (ORDER BY md5('85:' || p_partkey)) <= ceil(count(*) OVER () * 0.2) AS test FROM pre),
+sums AS (SELECT count(*) AS n, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my,
+             var_pop(x1) * count(*) AS s11, var_pop(x2) * count(*) AS s22, covar_pop(x1, x2) * count(*) AS s12,
+             covar_pop(x1, y) * count(*) AS s1y, covar_pop(x2, y) * count(*) AS s2y, var_pop(y) * count(*) AS syy
+      FROM sides WHERE NOT test),
+slopes AS (SELECT *, s11 * s22 - s12 * s12 AS det, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
+             (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM sums),
+fitted AS (SELECT *, my - b1 * m1 - b2 * m2 AS b0, (syy - b1 * s1y - b2 * s2y) / (n - 3) AS v FROM slopes)
+"""
+
+
+def _planted_job(spark, d) -> jobs.JobContext:
+    base = shared_folder(spark, "job")
+    sinks.write_table(planted_features(spark, d), f"{base}/raw")
+    job = jobs.JobContext(spark, _PLANTED, base)
+    jobs.preprocess(job)
+    jobs.build_features(job)
+    return job
+
+
+def _planted_metrics(where: str, label: str) -> str:
+    return _PLANTED_SQL + f""",
+m AS (SELECT y, b0 + b1 * x1 + b2 * x2 AS p FROM sides, fitted WHERE {where}),
+t AS (SELECT count(*) AS n, avg((y-p)*(y-p)) AS mse, avg(abs(y-p)) AS mae, var_pop(y) AS vy,
+             100 * avg(abs((y-p)/y)) AS mape FROM m)
+SELECT round(mse, 6) AS mse, round(sqrt(mse), 6) AS rmse, round(mae, 6) AS mae, round(1 - mse / vy, 8) AS r2,
+       round(1 - mse / vy * (n - 1) / (n - 3), 8) AS adj_r2, round(mape, 6) AS mape, n, '{label}' AS split FROM t"""
+
+
+def _metrics(table):
+    return rounded(rounded(table, 6, "mse", "rmse", "mae", "mape"), 8, "r2", "adj_r2")
+
+
+@query("job_train", _planted_metrics("test", "test"))
 def job_train(spark, d):
-    return jobs.train(_trained(spark, d))[1]
+    return _metrics(jobs.train(_planted_job(spark, d))[1])
 
 
-@query("job_evaluate")
+@query("job_evaluate", _planted_metrics("true", "all"))
 def job_evaluate(spark, d):
-    job = _trained(spark, d)
+    job = _planted_job(spark, d)
     jobs.train(job)
-    return jobs.evaluate(job, split_label="all")
+    return _metrics(jobs.evaluate(job, split_label="all"))
 
 
-@query("job_score")
+@query("job_score", _PLANTED_SQL + f""",
+held AS (SELECT ranked.*, (qty - q0) / (q1 - q0) AS x1, (disc - d0) / (d1 - d0) AS x2 FROM ranked, r WHERE rn <= ceil(total * 0.1)),
+z AS (SELECT held.*, b0 + b1 * x1 + b2 * x2 AS point, {t_quantile_sql('(n - 3)')} * sqrt(v * (1 + 1.0 / n
+             + ((x1 - m1) * (x1 - m1) * s22 - 2 * (x1 - m1) * (x2 - m2) * s12 + (x2 - m2) * (x2 - m2) * s11) / det)) AS h
+      FROM held, fitted)
+SELECT p_partkey, p_name, p_type, p_size, round(p_retailprice, 6) AS p_retailprice, qty, round(disc, 9) AS disc, n_lines,
+       round(tax, 9) AS tax, round(price, 8) AS price, round(revenue, 7) AS revenue, round(point, 5) AS prediction,
+       round(point - h, 5) AS prediction_pi_lower, round(point + h, 5) AS prediction_pi_upper FROM z""")
 def job_score(spark, d):
-    job = _trained(spark, d)
+    job = _planted_job(spark, d)
     jobs.train(job)
     held = spark.read.parquet(f"{job.base_dir}/holdout")
-    return spark.read.parquet(jobs.batch_score(job, held, f"{job.base_dir}/predictions"))
+    scored = spark.read.parquet(jobs.batch_score(job, held, f"{job.base_dir}/predictions"))
+    scored = rounded(rounded(scored, 5, "prediction", "prediction_pi_lower", "prediction_pi_upper"), 9, "disc", "tax")
+    return rounded(rounded(rounded(scored, 6, "p_retailprice"), 8, "price"), 7, "revenue")

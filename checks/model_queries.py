@@ -9,9 +9,9 @@ from tablewright.operators import clustering, features, prep, regression, scorin
 from tablewright.session import materialize
 
 from .base import (CENTROIDS, CLUSTERED_SQL, EVENTS_WITH_GAPS_SQL, FIXED_FEATURES,
-                   PART_FEATURES_SQL, PART_PATTERNS, events_with_gaps, fixed_model,
-                   fixed_prediction_sql, fixed_preprocessor, part_features, query, read, rounded,
-                   t_quantile_sql)
+                   PART_FEATURES_SQL, PART_PATTERNS, PLANTED_FEATURES_SQL, events_with_gaps,
+                   f_upper_sql, fixed_model, fixed_prediction_sql, fixed_preprocessor, part_features,
+                   planted_features, query, read, rounded, t_quantile_sql, t_two_sided_sql)
 
 # --- outlier filter ------------------------------------------------------------------------
 
@@ -273,6 +273,17 @@ def group_summary(spark, d):
     return rounded(rounded(table, 6, "l_quantity_mean"), 4, "l_extendedprice_mean")
 
 
+@query("group_summary_nulls", f"""
+WITH {EVENTS_WITH_GAPS_SQL}
+SELECT grade, true AS kept_nulls, count(event_id) AS event_id_count, round(avg(value), 6) AS value_mean FROM eg GROUP BY grade
+UNION ALL SELECT grade, false, count(event_id), round(avg(value), 6) FROM eg WHERE grade IS NOT NULL GROUP BY grade""")
+def group_summary_nulls(spark, d):
+    table = events_with_gaps(spark, d)
+    both = [stats.group_summary(table, "grade", "event_id", ["value"], null_group=keep).withColumn("kept_nulls", F.lit(keep))
+            for keep in (True, False)]
+    return rounded(both[0].unionByName(both[1]), 6, "value_mean")
+
+
 _PROFILED = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
@@ -358,10 +369,11 @@ def anova(spark, d):
 @query("anova_many_groups", f"""
 WITH {PART_FEATURES_SQL}, a AS ({_anova_sql('l_extendedprice', 'l_partkey', 'lineitem')} UNION ALL
 {_anova_sql('l_quantity', 'l_partkey', 'lineitem')})
-SELECT name AS "column", round(f, 6) AS f_statistic, round(mu, 4) AS column_mean FROM a""")
+SELECT name AS "column", round(f, 6) AS f_statistic, round({f_upper_sql('f', 'd1', 'd2')}, 6) AS p_value,
+       round(mu, 4) AS column_mean FROM a""")
 def anova_many_groups(spark, d):
     table = stats.anova(read(spark, d, "lineitem"), "l_partkey", ["l_extendedprice", "l_quantity"])
-    return rounded(rounded(table, 6, "f_statistic"), 4, "column_mean").drop("p_value")
+    return rounded(rounded(table, 6, "f_statistic", "p_value"), 4, "column_mean")
 
 
 _METRICS_SQL = """
@@ -428,14 +440,19 @@ e AS (SELECT *, sqrt(v * (1.0 / n + (m1 * m1 * s22 - 2 * m1 * m2 * s12 + m2 * m2
 """
 
 
-@query("ols_two_var", _OLS2_SQL + """
-SELECT 'const' AS feature, round(b0, 4) AS coefficient, round(e0, 4) AS std_err, round(b0 / e0, 4) AS t FROM e
-UNION ALL SELECT 'qty', round(b1, 4), round(e1, 4), round(b1 / e1, 4) FROM e
-UNION ALL SELECT 'disc', round(b2, 4), round(e2, 4), round(b2 / e2, 4) FROM e""")
+_COEFFICIENTS_SQL = "\nUNION ALL ".join(
+    f"SELECT '{name}' AS feature, round(b{i}, 4) AS coefficient, round(e{i}, 4) AS std_err, round(b{i} / e{i}, 4) AS t, "
+    f"round({t_two_sided_sql(f'(b{i} / e{i})', '(n - 3)')}, 8) AS p FROM e" for i, name in enumerate(("const", "qty", "disc")))
+
+
+def _rounded_coefficients(table):
+    return rounded(rounded(table, 4, "coefficient", "std_err", "t"), 8, "p")
+
+
+@query("ols_two_var", _OLS2_SQL + _COEFFICIENTS_SQL)
 def ols_two_var(spark, d):
     found = regression.moments(part_features(spark, d), ["qty", "disc", "revenue"])
-    table = regression.coefficient_table(spark, regression.fit(found, "revenue", ["qty", "disc"]))
-    return rounded(table.drop("p"), 4, "coefficient", "std_err", "t")
+    return _rounded_coefficients(regression.coefficient_table(spark, regression.fit(found, "revenue", ["qty", "disc"])))
 
 
 @query("moments_wide", f"""
@@ -451,13 +468,16 @@ def moments_wide(spark, d):
     return rounded(spark.createDataFrame(rows, "a string, b string, covariance double"), 4, "covariance")
 
 
-_CANDIDATES = ("p_size", "p_retailprice", "qty", "n_lines", "disc", "tax", "price")
+_CANDIDATES = ("qty", "disc", "p_size", "tax")
 
 
 def _selected_model(spark, d):
-    table = features.add_polynomials(materialize(part_features(spark, d)), _CANDIDATES, prefix="poly__")
-    names = [*_CANDIDATES, *[c for c in table.columns if c.startswith("poly__")]]
-    return regression.train(regression.moments(table, [*names, "revenue"]), "revenue", names), table
+    """Selection from four columns, two of which make up the target."""
+    table = materialize(planted_features(spark, d))
+    return regression.train(regression.moments(table, [*_CANDIDATES, "revenue"]), "revenue", _CANDIDATES), table
+
+
+_PLANTED_OLS2_SQL = _OLS2_SQL.replace(PART_FEATURES_SQL, PLANTED_FEATURES_SQL)
 
 
 # A p-value under 0.05 is a |t| over the 97.5 % point, one over 0.1 a |t| under the 95 % point.
@@ -479,16 +499,17 @@ def stepwise_two_candidates(spark, d):
     return spark.createDataFrame([(p,) for p in picked], "feature string")
 
 
-@query("stepwise")
+@query("stepwise", _PLANTED_OLS2_SQL + _COEFFICIENTS_SQL)
 def stepwise(spark, d):
     model, _ = _selected_model(spark, d)
-    return regression.coefficient_table(spark, model)
+    return _rounded_coefficients(regression.coefficient_table(spark, model))
 
 
-@query("stepwise_metrics")
+@query("stepwise_metrics", _PLANTED_OLS2_SQL.rstrip() + ", m AS (SELECT revenue AS y, b0 + b1 * qty + b2 * disc AS p FROM pf, e),"
+       + _METRICS_SQL.format(6, 2).replace(" FROM r\n", ", 'train' AS split FROM r\n"))
 def stepwise_metrics(spark, d):
     model, table = _selected_model(spark, d)
-    return stats.evaluate(table, model, split_label="train")
+    return _shown(stats.evaluate(table, model, split_label="train"), 6)
 
 
 @query("predict_fixed", f"""

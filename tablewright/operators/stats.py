@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.tails import f_upper
 from ..schema import number, numeric_columns, quoted
+from ..session import materialize
 from .regression import LinearModel, predict
 
 METRICS = ("mse", "rmse", "mae", "r2", "adj_r2", "mape")
@@ -80,33 +81,43 @@ def column_means(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return means.unpivot([], [quoted(c) for c in chosen], "column", "mean")
 
 
-def group_summary(df: DataFrame, group: str, counted: str, averaged: Sequence[str]) -> DataFrame:
+def _grouped(df: DataFrame, group: str, null_group: bool) -> DataFrame:
+    """Rows to group; those without a group are left out unless they are to form one."""
+    return df if null_group else df.where(quoted(group).isNotNull())
+
+
+def group_summary(df: DataFrame, group: str, counted: str, averaged: Sequence[str], *,
+                  null_group: bool = False) -> DataFrame:
     """Per group: non-null count of one column and means of others."""
-    return df.groupBy(quoted(group)).agg(
+    return _grouped(df, group, null_group).groupBy(quoted(group)).agg(
         F.count(quoted(counted)).alias(f"{counted}_count"),
         *[F.avg(number(df, c)).alias(f"{c}_mean") for c in averaged])
 
 
-def group_means(df: DataFrame, group: str, columns: Sequence[str] | None = None) -> DataFrame:
+def group_means(df: DataFrame, group: str, columns: Sequence[str] | None = None, *,
+                null_group: bool = False) -> DataFrame:
     """Long form ``column, group, mean``: any number of groups."""
     chosen = list(columns) if columns else numeric_columns(df, [group])
-    means = df.groupBy(quoted(group)).agg(*[F.avg(number(df, c)).alias(c) for c in chosen])
+    means = _grouped(df, group, null_group).groupBy(quoted(group)).agg(*[F.avg(number(df, c)).alias(c) for c in chosen])
     return means.unpivot([quoted(group)], [quoted(c) for c in chosen], "column", "mean")
 
 
 def group_profile(df: DataFrame, group: str, columns: Sequence[str] | None = None, *,
-                  groups: Sequence | None = None, compat: bool = False) -> DataFrame:
+                  groups: Sequence | None = None, compat: bool = False,
+                  max_groups: int = WIDE_GROUP_LIMIT) -> DataFrame:
     """Rows are columns of ``df``, columns are the groups, plus ``Average`` and ``Std.dev``.
 
     ``Std.dev`` is the sample deviation over the groups; with ``compat`` the average counts
-    as one more group in it. Group values become column names, so their number is checked.
+    as one more group in it. Group values become column names, so more than ``max_groups`` of
+    them are an error (``group_means`` is the long form). Without ``groups`` the aggregated means
+    (columns times groups, no more) are written once, so that the table is scanned only once.
     """
     long = group_means(df, group, columns)
     if groups is None:
-        seen = (df.select(quoted(group)).filter(quoted(group).isNotNull()).distinct()
-                .limit(WIDE_GROUP_LIMIT + 1).collect())
-        if len(seen) > WIDE_GROUP_LIMIT:
-            raise ValueError(f"More than {WIDE_GROUP_LIMIT} groups; use group_means (long form)")
+        long = materialize(long, "group-means")
+        seen = long.select(quoted(group)).distinct().limit(max_groups + 1).collect()
+        if len(seen) > max_groups:
+            raise ValueError(f"More than {max_groups} groups; use group_means (long form)")
         groups = sorted(r[0] for r in seen)
     wide = long.groupBy("column").pivot(group, list(groups)).agg(F.first("mean"))
     cells = [quoted(str(g)) for g in groups]
@@ -140,7 +151,7 @@ def anova(df: DataFrame, group: str, columns: Sequence[str] | None = None) -> Da
     chosen = list(columns) if columns else numeric_columns(df, [group])
     overall = df.agg(*[F.avg(number(df, c)).alias(f"m{i}") for i, c in enumerate(chosen)]).first()
     means = [overall[f"m{i}"] for i in range(len(chosen))]
-    present = df.filter(quoted(group).isNotNull())
+    present = _grouped(df, group, False)
     per_group = present.groupBy(quoted(group).alias("g")).agg(*[
         F.struct(F.lit(c).alias("column"), F.count(number(df, c)).alias("n"),
                  # Distance from the overall mean keeps the between part free of cancellation.

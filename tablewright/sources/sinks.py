@@ -46,7 +46,7 @@ def metrics_frame(spark: SparkSession, metrics: Mapping[str, Any]) -> DataFrame:
 
 # --- named datasets handed from one job to the next --------------------------------------
 
-def _versions(spark: SparkSession, root: str, name: str) -> list[int]:
+def _versions(spark: SparkSession, root: str, name: str, *, committed: bool = True) -> list[int]:
     folder = f"{root.rstrip('/')}/{name}"
     if not path_exists(spark, folder):
         return []
@@ -55,16 +55,20 @@ def _versions(spark: SparkSession, root: str, name: str) -> list[int]:
     found = []
     for status in files.listStatus(target):
         label = status.getPath().getName()
-        # A version counts once its write has committed.
-        if label.startswith("version=") and path_exists(spark, f"{folder}/{label}/_SUCCESS"):
-            found.append(int(label.split("=", 1)[1]))
+        number = label.removeprefix("version=")
+        # A version can be read once its write has committed.
+        if number != label and number.isdigit() and (not committed or path_exists(spark, f"{folder}/{label}/_SUCCESS")):
+            found.append(int(number))
     return sorted(found)
 
 
 def publish(df: DataFrame, root: str, name: str) -> int:
-    """Write ``df`` as the next version of a named dataset; returns the version."""
+    """Write ``df`` as the next version of a named dataset; returns the version.
+
+    Numbers of writes that never committed are passed over, not used again.
+    """
     spark = df.sparkSession
-    version = max(_versions(spark, root, name), default=0) + 1
+    version = max(_versions(spark, root, name, committed=False), default=0) + 1
     write_table(df, f"{root.rstrip('/')}/{name}/version={version}", mode="errorifexists")
     return version
 

@@ -131,3 +131,18 @@ def test_row_key_depends_on_content_only(spark):
     one = sorted(r.row_key for r in with_row_key(df.repartition(1)).collect())
     many = sorted(r.row_key for r in with_row_key(df.repartition(3)).collect())
     assert one == many and len(set(one)) == 2
+
+
+def test_publish_goes_on_after_a_crashed_write(spark, tmp_path):
+    root = str(tmp_path)
+    table = spark.range(3)
+    assert sinks.publish(table, root, "data") == 1
+    # A write that never committed leaves its folder, here and where no version is committed yet.
+    for name, version in (("data", 2), ("fresh", 1)):
+        table.write.parquet(f"{root}/{name}/version={version}")
+        (tmp_path / name / f"version={version}" / "_SUCCESS").unlink()
+    assert sinks.publish(table, root, "data") == 3
+    assert sinks.publish(table, root, "fresh") == 2
+    assert sinks.read_dataset(spark, root, "fresh").count() == 3
+    with pytest.raises(FileNotFoundError):
+        sinks.read_dataset(spark, root, "data:2")
