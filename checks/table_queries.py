@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.operators import columns, profile, quality, split
 from tablewright.operators.prep import Preprocessor, fit_preprocessor
@@ -30,6 +31,29 @@ def io_csv_inferred(spark, d):
     return tables.read_delimited(spark, path).withColumn("c_custkey", F.col("c_custkey").cast("long"))
 
 
+@query("io_csv_missing_cells", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderkey % 3 <> 0 THEN o_custkey END AS o_custkey FROM orders""")
+def io_csv_missing_cells(spark, d):
+    orders = read(spark, d, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 5 == 0, "NA").otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
+        F.when(F.col("o_orderkey") % 3 == 0, "n/a").otherwise(F.col("o_custkey").cast("string")).alias("o_custkey"))
+    table = tables.read_delimited(spark, sinks.write_table(orders, shared_folder(spark, "csv"), "csv"))
+    return table.withColumns({c: F.col(c).cast("long") for c in ("o_orderkey", "o_custkey")})
+
+
+@query("io_csv_bad_fields", """
+SELECT 'o_custkey' AS "column", count(*) AS n FROM orders WHERE o_orderkey % 7 = 0
+UNION ALL SELECT 'o_totalprice', count(*) FROM orders WHERE o_orderkey % 2 = 0""")
+def io_csv_bad_fields(spark, d):
+    orders = read(spark, d, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 7 == 0, "oops").otherwise(F.col("o_custkey").cast("string")).alias("o_custkey"),
+        F.when(F.col("o_orderkey") % 2 == 0, "1,5").otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"))
+    path = sinks.write_table(orders, shared_folder(spark, "csv"), "csv")
+    schema = T.StructType().add("o_orderkey", "long").add("o_custkey", "long").add("o_totalprice", "double")
+    return tables.count_bad_fields(tables.read_delimited(spark, path, schema=schema, bad_fields="column"))
+
+
 @query("io_dataset_versions", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'F'")
 def io_dataset_versions(spark, d):
     root = shared_folder(spark, "datasets")

@@ -6,7 +6,7 @@ import posixpath
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,34 +28,92 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+#: What a field of each inferred type looks like; types are tried in this order.
+FIELD_TYPES = (
+    ("int", r"^[+-]?\d+$"), ("bigint", r"^[+-]?\d+$"),
+    ("double", r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?(?i:inf|infinity)$"),
+    ("boolean", r"^(?i:true|false)$"), ("date", r"^\d{4}-\d{2}-\d{2}$"),
+    ("timestamp", r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}"),
+)
+
+BAD_FIELDS = "_bad_fields"
+
+
 def read_delimited(spark: SparkSession, path: str, *, delimiter: str = ",",
                    header: int | None = 0, encoding: str = "utf-8",
-                   schema: T.StructType | None = None, multiline: bool = False) -> DataFrame:
+                   schema: T.StructType | None = None, multiline: bool = False,
+                   bad_fields: str = "fail") -> DataFrame:
     """Scan delimited text.
 
-    Pass ``schema`` in production: without one Spark reads the data an extra time to infer
-    it. ``multiline`` allows line breaks inside quoted fields, at the price that a file
-    can no longer be split between tasks.
+    Fields are read as text, spellings of "missing" become NULL, and only then get their types.
+    Pass ``schema`` in production: without one an aggregation over the table finds the types,
+    so the data is read an extra time. Fields that are not of their declared type stop the
+    read (``bad_fields="fail"``), become NULL (``"null"``), or become NULL and are named in an array
+    column ``_bad_fields`` (``"column"``; see ``count_bad_fields``). ``multiline`` allows line breaks
+    inside quoted fields, at the price that a file can no longer be split between tasks.
     """
     if not path or not isinstance(path, str):
         raise ValueError("a table path is needed")
     if header not in (0, None):
         raise ValueError("header must be 0 (first line holds the names) or None")
+    if bad_fields not in ("fail", "null", "column"):
+        raise ValueError("bad_fields must be fail, null or column")
     if not path_exists(spark, path):
         raise FileNotFoundError(f"no table at {path}")
     reader = (spark.read.option("sep", delimiter).option("encoding", encoding)
               .option("header", header == 0).option("escape", '"')
               .option("multiLine", multiline))
-    reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
-    return _missing_to_null(nan_to_null(reader.csv(path)))
+    if schema is not None:
+        reader = reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema]))
+    texts = _missing_to_null(reader.csv(path))
+    if schema is None:
+        return nan_to_null(_typed(texts, _inferred_types(texts)))
+    types = {f.name: f.dataType.simpleString() for f in schema if not isinstance(f.dataType, T.StringType)}
+    return nan_to_null(_declared(texts, types, bad_fields))
 
 
 def _missing_to_null(df: DataFrame) -> DataFrame:
-    texts = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
-    return df.select(*[
-        F.when(~quoted(c).isin(*MISSING_SPELLINGS), quoted(c)).alias(c) if c in texts else quoted(c)
-        for c in df.columns
-    ])
+    return df.select(*[F.when(~F.trim(quoted(c)).isin(*MISSING_SPELLINGS), quoted(c)).alias(c) for c in df.columns])
+
+
+def _typed(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    return df.select(*[F.trim(quoted(c)).try_cast(types[c]).alias(c) if c in types else quoted(c) for c in df.columns])
+
+
+def _inferred_types(texts: DataFrame) -> dict[str, str]:
+    """The first type that every field of a column has; columns of none, or without fields, stay text."""
+    checks = []
+    for i, c in enumerate(texts.columns):
+        field = F.trim(quoted(c))
+        checks.append(F.count(field).alias(f"n{i}"))
+        checks += [F.count_if(field.rlike(pattern) & field.try_cast(kind).isNotNull()).alias(f"n{i}_{kind}")
+                   for kind, pattern in FIELD_TYPES]
+    found = texts.agg(*checks).first()
+    types = {}
+    for i, c in enumerate(texts.columns):
+        fitting = [kind for kind, _ in FIELD_TYPES if found[f"n{i}"] and found[f"n{i}_{kind}"] == found[f"n{i}"]]
+        if fitting:
+            types[c] = fitting[0]
+    return types
+
+
+def _declared(texts: DataFrame, types: Mapping[str, str], bad_fields: str) -> DataFrame:
+    def bad(c: str) -> Column:
+        return quoted(c).isNotNull() & F.trim(quoted(c)).try_cast(types[c]).isNull()
+
+    if bad_fields == "fail":
+        return texts.select(*[
+            F.when(bad(c), F.raise_error(F.concat(F.lit(f"column '{c}' of type {types[c]} has the field: "), quoted(c))))
+            .otherwise(F.trim(quoted(c)).try_cast(types[c])).alias(c) if c in types else quoted(c) for c in texts.columns])
+    typed = [F.trim(quoted(c)).try_cast(types[c]).alias(c) if c in types else quoted(c) for c in texts.columns]
+    if bad_fields == "column":
+        typed.append(F.array_compact(F.array(*[F.when(bad(c), F.lit(c)) for c in types]).cast("array<string>")).alias(BAD_FIELDS))
+    return texts.select(*typed)
+
+
+def count_bad_fields(df: DataFrame) -> DataFrame:
+    """``column, n`` of the bad fields of a table read with ``bad_fields="column"``."""
+    return df.select(F.explode(BAD_FIELDS).alias("column")).groupBy("column").agg(F.count(F.lit(1)).alias("n"))
 
 
 def read_columnar(spark: SparkSession, path: str,
@@ -81,6 +139,7 @@ def load_table(spark: SparkSession, config: Mapping[str, Any], *, base_dir: str
         spark, path, schema=schema,
         delimiter=source.get("delimiter", ","), header=source.get("header", 0),
         encoding=source.get("encoding", "utf-8"), multiline=source.get("multiline", False),
+        bad_fields=source.get("bad_fields", "fail"),
     )
 
 

@@ -1,5 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.operators.prep import ColumnTransform, Preprocessor
 from tablewright.schema import TRACK_SCHEMA, with_row_key
@@ -146,3 +147,21 @@ def test_publish_goes_on_after_a_crashed_write(spark, tmp_path):
     assert sinks.read_dataset(spark, root, "fresh").count() == 3
     with pytest.raises(FileNotFoundError):
         sinks.read_dataset(spark, root, "data:2")
+
+
+def test_types_are_found_after_missing_spellings(spark, tmp_path):
+    path = write_csv(tmp_path, "a,b,c,d,e,f,g\n1.5,NA,true,2020-01-02,x,9999999999,1\nNA,3,False,NULL,7,1,\n2.5,4,n/a,2021-03-04,,2,\n")
+    df = tables.read_delimited(spark, path)
+    assert [f.dataType.simpleString() for f in df.schema] == ["double", "int", "boolean", "date", "string", "bigint", "int"]
+    assert [r["a"] for r in df.collect()] == [1.5, None, 2.5]
+
+
+def test_bad_fields_stop_become_null_or_are_named(spark, tmp_path):
+    path = write_csv(tmp_path, "a,b\n1,x\noops,y\nNA,z\n3.5,w\n")
+    schema = T.StructType().add("a", "integer").add("b", "string")
+    with pytest.raises(Exception, match="oops|3.5"):
+        tables.read_delimited(spark, path, schema=schema).collect()
+    assert [r["a"] for r in tables.read_delimited(spark, path, schema=schema, bad_fields="null").collect()] == [1, None, None, None]
+    named = tables.read_delimited(spark, path, schema=schema, bad_fields="column")
+    assert [r[tables.BAD_FIELDS] for r in named.collect()] == [[], ["a"], [], ["a"]]
+    assert [tuple(r) for r in tables.count_bad_fields(named).collect()] == [("a", 2)]
