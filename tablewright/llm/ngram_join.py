@@ -22,6 +22,8 @@ BAND_RATIO = 4 / 3
 FILTER_BITS = 1 << 23
 #: Members of a tile, or partners of a document, that one task compares at a time.
 BLOCK = 1000
+#: Sets whose connections one task remembers while it tests pairs.
+FOREST_NODES = 1_000_000
 
 
 def _class_of(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -178,7 +180,10 @@ def within_bounds(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of set ids that link, by intersection of their sorted shingle arrays.
+    """Links among the pairs (a, b) of set ids, by intersection of their sorted shingle arrays.
+
+    Pairs that the links found by the same task already connect are passed over, so the links
+    returned connect all that the pairs' links connect.
 
     The members' texts are read again: a filter of fixed size on doc_id keeps most others from the
     shuffle. Each set is sent to the tasks of its hubs (the a sides), a hub to one task per ``BLOCK`` partners.
@@ -219,22 +224,57 @@ def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
     sent = arrays.join(routes, "set_id").withColumn("task", F.xxhash64("a", "part"))
 
     def intersect(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Links that this task's earlier ones imply need no test: they cannot join anything more.
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (up := parent.get(x, x)) != x:
+                parent[x] = parent.get(up, up)
+                x = up
+            return x
+
         for group in _groups(batches, "task"):
+            if len(parent) > FOREST_NODES:
+                parent.clear()
             ids, hubs, targets = (group.column(c).to_pylist() for c in ("set_id", "hub", "a"))
             data = [np.frombuffer(s, np.uint64) for s in group.column("shingles").to_pylist()]
             own = {i: x for i, hub, x in zip(ids, hubs, data) if hub}
             linked = []
             for b, hub, a, y in zip(ids, hubs, targets, data):
-                if not hub and a in own:
+                if not hub and a in own and root(a) != root(b):
                     x = own[a]
                     if 7 * len(np.intersect1d(x, y, assume_unique=True)) >= 3 * (len(x) + len(y)):
                         linked.append((a, b))
+                        parent[root(b)] = root(a)
             if linked:
                 yield _pair_batch(*zip(*linked))
 
     return sent.repartition("task").sortWithinPartitions("task").mapInArrow(intersect, "a long, b long")
 
 
+def linked_groups(links: DataFrame) -> DataFrame:
+    """(set_id, group): the least set id that one or two links lead down to."""
+    hub = links.groupBy("b").agg(F.min("a").alias("hub"))
+    onward = hub.select(F.col("b").alias("hub"), F.col("hub").alias("next"))
+    return hub.join(onward, "hub", "left").select(F.col("b").alias("set_id"), F.coalesce("next", "hub").alias("group"))
+
+
+def link_components(links: DataFrame) -> DataFrame:
+    """(set_id, component) of all linked sets; the groups that links lead down to are joined first."""
+    groups = materialize(linked_groups(links), "link-groups")
+
+    def ends(side: str) -> DataFrame:
+        return groups.select(F.col("set_id").alias(side), F.col("group").alias(f"g{side}"))
+
+    between = (links.join(ends("a"), "a", "left").join(ends("b"), "b")
+               .select(F.coalesce("ga", "a").alias("a"), F.col("gb").alias("b")).where("a <> b").distinct())
+    joined = components(between).withColumnRenamed("node", "group")
+    # A group's least set has no row of its own where it is no link's greater end.
+    tops = groups.select(F.col("group").alias("set_id")).distinct().join(groups.select("set_id"), "set_id", "left_anti")
+    every = groups.select("set_id", "group").union(tops.select("set_id", F.col("set_id").alias("group")))
+    return every.join(joined, "group", "left").select("set_id", F.coalesce("component", "group").alias("component"))
+
+
 def open_pairs(star: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs that share a least member, are not known to be connected, and may link by their bounds.
 
@@ -243,10 +283,7 @@ def open_pairs(star: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
     steps, to one least member. Tiles within one such group have nothing to add; the others are compared
     in blocks of ``BLOCK`` members, those of the least member's own group never among themselves.
     """
-    hub = links.groupBy("b").agg(F.min("a").alias("hub"))
-    onward = hub.select(F.col("b").alias("hub"), F.col("hub").alias("next"))
-    groups = materialize(hub.join(onward, "hub", "left").select(
-        F.col("b").alias("set_id"), F.coalesce("next", "hub").alias("group")), "linked-groups")
+    groups = materialize(linked_groups(links), "linked-groups")
     rows = (star.select(F.col("a").alias("tile"), F.col("b").alias("set_id")).join(groups, "set_id", "left")
             .join(groups.select(F.col("set_id").alias("tile"), F.col("group").alias("main")), "tile", "left")
             .select("tile", "set_id", F.coalesce("group", "set_id").alias("component"), F.coalesce("main", "tile").alias("main"))
@@ -317,9 +354,9 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     links = materialize(verify(materialize(within_bounds(star, sets), "bounded-pairs"), known, sets), "star-links")
     rest = materialize(open_pairs(star, links, sets), "open-pairs")
     links = links.union(materialize(verify(rest, known, sets), "open-links")) if not rest.isEmpty() else links
-    groups = components(links)
+    groups = materialize(link_components(links), "link-components")
 
-    by_set = sets.select("set_id", "rep").join(groups.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
+    by_set = sets.select("set_id", "rep").join(groups, "set_id", "left").withColumn(
         "component", F.coalesce("component", "set_id"))
     least = by_set.groupBy("component").agg(F.min("rep").alias("component_id"))
     by_set = materialize(by_set.join(least, "component").select("set_id", "component_id"), "set-components")
