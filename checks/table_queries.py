@@ -105,10 +105,12 @@ def profile_shape(spark, d):
 
 
 @query("duplicate_rows", """
-SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS n_duplicates
-FROM (SELECT count(*) AS n FROM events GROUP BY event_type, user_id)""")
+SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS n_duplicates FROM (
+  SELECT count(*) AS n FROM (SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 10 = 3)
+  GROUP BY ALL)""".replace("SELECT count(*) AS n FROM", "SELECT COLUMNS(*), count(*) AS n FROM"))
 def duplicate_rows(spark, d):
-    return profile.duplicate_rows(read(spark, d, "events").select("event_type", "user_id"))
+    events = read(spark, d, "events")
+    return profile.duplicate_rows(events.union(events.where("event_id % 10 = 3")))
 
 
 @query("head_n", """
@@ -126,35 +128,34 @@ def hash_sample(spark, d):
                                "event_id", 6)
 
 
-def _summary_sql(table: str, numeric: list[str], texts: list[str]) -> str:
+def _summary_sql(table: str, numeric: list[str], texts: list[str], dates: list[str]) -> str:
     parts = [f"""
 SELECT '{c}' AS "column", count({c}) AS count, CAST(NULL AS BIGINT) AS "unique",
        CAST(NULL AS VARCHAR) AS top, CAST(NULL AS BIGINT) AS freq,
        round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std,
        CAST(min({c}) AS DOUBLE) AS min, round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 4) AS q25,
        round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 4) AS q50,
-       round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 4) AS q75, CAST(max({c}) AS DOUBLE) AS max
+       round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 4) AS q75, CAST(max({c}) AS DOUBLE) AS max,
+       CAST(NULL AS VARCHAR) AS earliest, CAST(NULL AS VARCHAR) AS latest
 FROM {table}""" for c in numeric]
     parts += [f"""
-SELECT '{c}', sum(n)::BIGINT, count(*)::BIGINT, arg_min({c}, (-n, {c})), max(n)::BIGINT,
-       NULL, NULL, NULL, NULL, NULL, NULL, NULL
-FROM (SELECT {c}, count(*) AS n FROM {table} WHERE {c} IS NOT NULL GROUP BY {c})""" for c in texts]
+SELECT '{c}', sum(n)::BIGINT, count(*)::BIGINT, CAST(arg_min({c}, (-n, CAST({c} AS VARCHAR))) AS VARCHAR), max(n)::BIGINT,
+       NULL, NULL, NULL, NULL, NULL, NULL, NULL, {f'CAST(min({c}) AS VARCHAR), CAST(max({c}) AS VARCHAR)' if c in dates else 'NULL, NULL'}
+FROM (SELECT {c}, count(*) AS n FROM {table} WHERE {c} IS NOT NULL GROUP BY {c})""" for c in texts + dates]
     return "\nUNION ALL".join(parts)
 
 
 @query("profile_summary", _summary_sql(
-    "orders", ["o_orderkey", "o_custkey", "o_totalprice"], ["o_orderstatus", "o_orderpriority"]))
+    "orders", ["o_orderkey", "o_custkey", "o_totalprice"], ["o_orderstatus", "o_orderpriority"], ["o_orderdate"]))
 def profile_summary(spark, d):
-    table = profile.summary(read(spark, d, "orders").drop("o_orderdate"))
-    return rounded(table, 4, "mean", "std", "q25", "q50", "q75")
+    return rounded(profile.summary(read(spark, d, "orders")), 4, "mean", "std", "q25", "q50", "q75")
 
 
 @query("profile_summary_lineitem", _summary_sql(
-    "lineitem", ["l_linenumber", "l_quantity", "l_extendedprice"], ["l_returnflag", "l_linestatus"]))
+    "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"],
+    ["l_returnflag", "l_linestatus"], ["l_shipdate"]))
 def profile_summary_lineitem(spark, d):
-    table = profile.summary(read(spark, d, "lineitem"), [
-        "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus"])
-    return rounded(table, 4, "mean", "std", "q25", "q50", "q75")
+    return rounded(profile.summary(read(spark, d, "lineitem")), 4, "mean", "std", "q25", "q50", "q75")
 
 
 @query("profile_nulls", f"""

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.labels import label_list
 from ..schema import is_numeric, number, numeric_columns, quoted
@@ -23,10 +24,14 @@ def shape(df: DataFrame) -> DataFrame:
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """One row: rows beyond the first copy of each distinct row; NULLs equal each other.
 
-    Copies are counted map-side first, so a row repeated in a third of the table costs
+    Rows are told apart by two 64-bit hashes of all their columns, so that 16 bytes a row are shuffled, not
+    the row. Copies are counted map-side first, so a row repeated in a third of the table costs
     one partial count per task.
     """
-    copies = df.groupBy(*[quoted(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("copies"))
+    # Hashes pass over NULLs, hence a mark for each.
+    cells = [part for c in df.columns for part in (quoted(c), quoted(c).isNull())]
+    digest = df.select(F.xxhash64(*cells).alias("h1"), F.xxhash64(F.lit(7), *reversed(cells)).alias("h2"))
+    copies = digest.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("copies"))
     return copies.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("long")
                       .alias("n_duplicates"))
 
@@ -92,7 +97,7 @@ def top_values(df: DataFrame, columns: Sequence[str], as_type: str = "string") -
 
 def summary(df: DataFrame, columns: Sequence[str] | None = None,
             accuracy: int | None = None) -> DataFrame:
-    """Per column: count, unique, top, freq, mean, std, min, quartiles and max.
+    """Per column: count, unique, top, freq, mean, std, min, quartiles, max, earliest and latest.
 
     Measures that do not apply to a column's type are NULL. Numeric measures come from one
     aggregation plus the quantile passes; text measures from one grouped count.
@@ -108,6 +113,9 @@ def summary(df: DataFrame, columns: Sequence[str] | None = None,
         aggs += [a.alias(f"{m}_{i}") for m, a in zip(measures, (
             F.count(v), F.avg(v), F.stddev_samp(v), F.min(v), F.max(v)))]
     aggs += [F.count(quoted(c)).alias(f"filled_{i}") for i, c in enumerate(other)]
+    dated = {c for c in other if isinstance(df.schema[c].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))}
+    aggs += [ends(quoted(c)).cast("string").alias(f"{m}_{i}") for i, c in enumerate(other) if c in dated
+             for m, ends in (("earliest", F.min), ("latest", F.max))]
     stats = df.agg(*aggs).first()
     quartiles = quantiles(df, numeric, (0.25, 0.5, 0.75), accuracy,
                           {c: stats[f"count_{i}"] for i, c in enumerate(numeric)})
@@ -119,14 +127,16 @@ def summary(df: DataFrame, columns: Sequence[str] | None = None,
             i = numeric.index(c)
             q25, q50, q75 = quartiles[c]
             count, mean, std, low, high = (stats[f"{m}_{i}"] for m in measures)
-            rows.append((c, count, None, None, None, mean, std, low, q25, q50, q75, high))
+            rows.append((c, count, None, None, None, mean, std, low, q25, q50, q75, high, None, None))
         else:
             t = tops.get(c)
-            rows.append((c, stats[f"filled_{other.index(c)}"], t["unique"] if t else 0,
-                         t["top"] if t else None, t["freq"] if t else None, *[None] * 7))
+            i = other.index(c)
+            span = [stats[f"earliest_{i}"], stats[f"latest_{i}"]] if c in dated else [None, None]
+            rows.append((c, stats[f"filled_{i}"], t["unique"] if t else 0,
+                         t["top"] if t else None, t["freq"] if t else None, *[None] * 7, *span))
     return spark.createDataFrame(rows, (
         "column string, count long, unique long, top string, freq long, mean double, std double,"
-        " min double, q25 double, q50 double, q75 double, max double"))
+        " min double, q25 double, q50 double, q75 double, max double, earliest string, latest string"))
 
 
 def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 20,
