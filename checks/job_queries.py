@@ -12,7 +12,7 @@ from tablewright.session import shared_folder
 from tablewright.sources import sinks
 from tablewright.streaming.scoring import open_stream, route_stream, score_stream
 
-from .base import (PART_FEATURES_SQL, PLANTED_FEATURES_SQL, fixed_model, fixed_prediction_sql,
+from .base import (ORACLES, PART_FEATURES_SQL, PLANTED_FEATURES_SQL, fixed_model, fixed_prediction_sql,
                    part_features, planted_features, query, read, rounded, t_quantile_sql)
 from .model_queries import _iqr_step
 
@@ -21,26 +21,31 @@ from .model_queries import _iqr_step
 
 def _events_stream(spark, d):
     schema = read(spark, d, "events").schema
-    return open_stream(spark, d, schema, pathGlobFilter="events.parquet").drop("ts", "props")
+    return open_stream(spark, d, schema, pathGlobFilter="events.parquet")
+
+
+def _timed(table):
+    """The time as a number: its text differs between engines."""
+    return table.withColumn("ts", F.unix_micros(F.col("ts").cast("timestamp")))
 
 
 _point, _half = fixed_prediction_sql(("(value - 10) / 80", "CAST(user_id AS DOUBLE)", "value * user_id"))
 
 
 @query("stream_score", f"""
-SELECT event_id, user_id, event_type, value, round({_point}, 9) AS prediction,
+SELECT event_id, epoch_us(ts) AS ts, user_id, event_type, value, props, round({_point}, 9) AS prediction,
        round({_point} - {_half}, 3) AS prediction_pi_lower, round({_point} + {_half}, 3) AS prediction_pi_upper
-FROM (SELECT event_id, user_id, event_type, value FROM events WHERE event_type <> 'error')""".replace(
+FROM events""".replace(
     "value * user_id", "((value - 10) / 80) * user_id"))
 def stream_score(spark, d):
     scorer = Scorer(
         fixed_model(("value", "user_id", "audio_poly__value_user_id")),
         Preprocessor((ColumnTransform("value", 50.0, 10.0, 80.0),)),
         {"features": {"audio_features": ["value", "user_id"], "polynomial": {"audio": {"degree": 2}}}})
-    stream = _events_stream(spark, d).filter("event_type <> 'error'")
+    stream = _events_stream(spark, d)
     out = shared_folder(spark, "stream")
     score_stream(stream, scorer, f"{out}/scored", f"{out}/checkpoint").awaitTermination()
-    return rounded(rounded(spark.read.parquet(f"{out}/scored"), 9, "prediction"), 3,
+    return rounded(rounded(_timed(spark.read.parquet(f"{out}/scored")), 9, "prediction"), 3,
                    "prediction_pi_lower", "prediction_pi_upper")
 
 
@@ -49,7 +54,7 @@ _EVENT_RULES = (quality.RecordRule("event_type"), quality.RecordRule("value", 1.
 
 
 @query("stream_quarantine", """
-WITH c AS (SELECT event_id, user_id, event_type, value, concat_ws(',',
+WITH c AS (SELECT event_id, epoch_us(ts) AS ts, user_id, event_type, value, props, concat_ws(',',
     CASE WHEN value < 1.0 OR value > 120.0 THEN 'value' END, CASE WHEN user_id <= 0 THEN 'user_id' END) AS violations
   FROM events)
 SELECT *, CASE WHEN violations = '' THEN 'valid' ELSE 'rejected' END AS place FROM c""")
@@ -59,6 +64,7 @@ def stream_quarantine(spark, d):
                  rules=_EVENT_RULES).awaitTermination()
     valid = spark.read.parquet(f"{out}/valid").drop("batch")
     rejected = spark.read.parquet(f"{out}/rejected").drop("batch")
+    valid, rejected = _timed(valid), _timed(rejected)
     return (valid.select("*", F.lit("").alias("violations"), F.lit("valid").alias("place"))
             .unionByName(rejected.withColumns({"violations": F.array_join("violations", ","),
                                                "place": F.lit("rejected")})))
@@ -219,13 +225,13 @@ def _single_metrics(where: str, label: str) -> str:
 m AS (SELECT revenue AS y, a + b * qty AS p FROM sides, fitted WHERE {where}),
 t AS (SELECT count(*) AS n, avg((y-p)*(y-p)) AS mse, avg(abs(y-p)) AS mae, var_pop(y) AS vy,
              100 * avg(abs((y-p)/y)) AS mape FROM m)
-SELECT round(mse, 4) AS mse, round(mae, 6) AS mae, round(1 - mse / vy, 8) AS r2,
+SELECT round(mse, 4) AS mse, round(sqrt(mse), 6) AS rmse, round(mae, 6) AS mae, round(1 - mse / vy, 8) AS r2,
        round(1 - mse / vy * (n - 1) / (n - 2), 8) AS adj_r2, round(mape, 6) AS mape, n, '{label}' AS split FROM t"""
 
 
 def _shown(table):
     table = rounded(rounded(table, 4, "mse"), 8, "r2", "adj_r2")
-    return rounded(table, 6, "mae", "mape").drop("rmse")
+    return rounded(table, 6, "rmse", "mae", "mape")
 
 
 @query("job_train_single", _single_metrics("test", "test"))
@@ -241,18 +247,36 @@ def job_evaluate_single(spark, d):
 
 
 @query("job_score_single", _SINGLE_SQL + f""",
-held AS (SELECT p_partkey, (qty - q0) / (q1 - q0) AS x FROM ranked, r WHERE rn <= ceil(total * 0.1)),
-s AS (SELECT p_partkey, a + b * x AS y, {t_quantile_sql('(n - 2)')} * sqrt(v * (1 + 1.0 / n + (x - m) * (x - m) / sxx)) AS h
+held AS (SELECT ranked.*, (qty - q0) / (q1 - q0) AS x FROM ranked, r WHERE rn <= ceil(total * 0.1)),
+s AS (SELECT held.*, a + b * x AS y, {t_quantile_sql('(n - 2)')} * sqrt(v * (1 + 1.0 / n + (x - m) * (x - m) / sxx)) AS h
       FROM held, fitted)
-SELECT p_partkey, round(y, 4) AS prediction, round(y - h, 4) AS prediction_pi_lower,
+SELECT p_partkey, p_name, p_type, p_size, round(p_retailprice, 6) AS p_retailprice, qty, round(disc, 9) AS disc, n_lines,
+       round(tax, 9) AS tax, round(price, 8) AS price, round(revenue, 7) AS revenue, round(y, 4) AS prediction, round(y - h, 4) AS prediction_pi_lower,
        round(y + h, 4) AS prediction_pi_upper FROM s""")
 def job_score_single(spark, d):
     job = _single(spark, d)
     jobs.train(job)
     held = spark.read.parquet(f"{job.base_dir}/holdout")
     scored = spark.read.parquet(jobs.batch_score(job, held, f"{job.base_dir}/predictions"))
-    names = ("prediction", "prediction_pi_lower", "prediction_pi_upper")
-    return rounded(scored.select("p_partkey", *names), 4, *names)
+    return _with_inputs(scored, 4)
+
+
+def _with_inputs(scored, digits):
+    scored = rounded(scored, digits, "prediction", "prediction_pi_lower", "prediction_pi_upper")
+    return rounded(rounded(rounded(rounded(scored, 9, "disc", "tax"), 6, "p_retailprice"), 8, "price"), 7, "revenue")
+
+
+@query("job_score_path", ORACLES["job_score_single"])
+def job_score_path(spark, d):
+    """The same from a delimited file, read as the configuration says."""
+    job = _single(spark, d)
+    jobs.train(job)
+    held = spark.read.parquet(f"{job.base_dir}/holdout")
+    sinks.write_table(held, f"{job.base_dir}/holdout_csv", "csv")
+    source = {**_SINGLE["data_source"], "type": "csv", "delimiter": ",", "header": 0}
+    job = jobs.JobContext(spark, {**_SINGLE, "data_source": source}, job.base_dir)
+    scored = spark.read.parquet(jobs.batch_score(job, "holdout_csv", f"{job.base_dir}/predictions", schema=held.schema))
+    return _with_inputs(scored, 4)
 
 
 # The jobs with selection among three columns, two of which make up the target.
@@ -319,5 +343,4 @@ def job_score(spark, d):
     jobs.train(job)
     held = spark.read.parquet(f"{job.base_dir}/holdout")
     scored = spark.read.parquet(jobs.batch_score(job, held, f"{job.base_dir}/predictions"))
-    scored = rounded(rounded(scored, 5, "prediction", "prediction_pi_lower", "prediction_pi_upper"), 9, "disc", "tax")
-    return rounded(rounded(rounded(scored, 6, "p_retailprice"), 8, "price"), 7, "revenue")
+    return _with_inputs(scored, 5)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablewright.functions.labels import EXPLORATION_PATTERNS
+from tablewright.functions.labels import EXPLORATION_PATTERNS, GENRE_PATTERNS
 from tablewright.operators import clustering, features, prep, regression, scoring, stats
 from tablewright.session import materialize
 
@@ -191,12 +191,16 @@ def label_flags_plain_names(spark, d):
     return features.add_label_flags(table, "p_name", PART_PATTERNS, prefix="is_").drop("p_name")
 
 
-@query("label_flags_exploration", f"""SELECT doc_id, {_flag_sql('text', {
-    k: v for k, v in EXPLORATION_PATTERNS.items() if k in ('hip-hop', 'latin', 'electronic', 'pop')}, 'x_')} FROM documents""")
+@query("label_flags_exploration", f"SELECT doc_id, {_flag_sql('text', EXPLORATION_PATTERNS, 'x_')} FROM documents")
 def label_flags_exploration(spark, d):
-    chosen = {k: v for k, v in EXPLORATION_PATTERNS.items() if k in ("hip-hop", "latin", "electronic", "pop")}
     table = read(spark, d, "documents").select("doc_id", "text")
-    return features.add_label_flags(table, "text", chosen, prefix="x_").drop("text")
+    return features.add_label_flags(table, "text", EXPLORATION_PATTERNS, prefix="x_").drop("text")
+
+
+@query("label_flags_genres", f"SELECT doc_id, {_flag_sql('text', GENRE_PATTERNS, 'genre_')} FROM documents")
+def label_flags_genres(spark, d):
+    table = read(spark, d, "documents").select("doc_id", "text")
+    return features.add_label_flags(table, "text", GENRE_PATTERNS).drop("text")
 
 
 @query("label_flags_missing", "SELECT p_partkey, 0 AS genre_red, 0 AS genre_blue, 0 AS genre_size_small, "
@@ -408,12 +412,15 @@ def metrics_aligned(spark, d):
 
 
 @query("metrics_rounded", """
-WITH m AS (SELECT l_extendedprice AS y, l_quantity * 1500 + 10000 AS p FROM lineitem)
-SELECT round(avg(abs(y-p)), 4) AS mae, round(100 * avg(abs((y-p)/y)), 4) AS mape FROM m""")
+WITH m AS (SELECT l_quantity AS y, l_linenumber * 7.0 AS p FROM lineitem),
+a AS (SELECT count(*) AS n, avg((y-p)*(y-p)) AS mse, avg(abs(y-p)) AS mae, var_pop(y) AS vy,
+             100 * avg(abs((y-p)/y)) FILTER (y <> 0) AS mape FROM m),
+r AS (SELECT *, 1 - mse / vy AS r2 FROM a)
+SELECT round(mse, 4) AS mse, round(sqrt(mse), 4) AS rmse, round(mae, 4) AS mae, round(r2, 4) AS r2,
+       round(1 - (1 - r2) * (n - 1) / (n - 2), 4) AS adj_r2, round(mape, 4) AS mape, n FROM r""")
 def metrics_rounded(spark, d):
-    table = read(spark, d, "lineitem").withColumn("p", F.col("l_quantity") * 1500 + 10000)
-    metrics = stats.regression_metrics(table, "l_extendedprice", "p", 1)
-    return stats.round_metrics(metrics).select("mae", "mape")
+    table = read(spark, d, "lineitem").withColumn("p", F.col("l_linenumber") * 7.0)
+    return stats.round_metrics(stats.regression_metrics(table, "l_quantity", "p", 1))
 
 
 @query("fit_line", f"""

@@ -9,15 +9,16 @@ column gets a key made from its content.
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import features as feature_ops
-from ..operators import prep, profile, quality, regression, split, stats
+from ..operators import clustering, prep, profile, quality, regression, split, stats
 from ..operators.columns import drop_columns
 from ..operators.scoring import Scorer, count_unscored
 from ..schema import numeric_columns, with_row_key
@@ -215,11 +216,16 @@ def stored_scorer(job: JobContext) -> Scorer:
     return Scorer(stored_model(job), fitted, job.config)
 
 
-def batch_score(job: JobContext, rows: DataFrame, output: str, fmt: str = "parquet") -> str:
+def batch_score(job: JobContext, rows: DataFrame | str, output: str, fmt: str = "parquet",
+                schema: T.StructType | None = None) -> str:
     """Score a table with the stored parameters and write it with its prediction columns.
 
-    Rows left without a prediction are counted while writing, not in a pass of their own.
+    A path is read by the configuration's ``data_source`` options. Rows left without a prediction
+    are counted while writing, not in a pass of their own.
     """
+    if isinstance(rows, str):
+        source = {**job.section("data_source"), "raw_path": rows}
+        rows = load_table(job.spark, {"data_source": source}, base_dir=job.base_dir, schema=schema)
     seen = Observation()
     scored = stored_scorer(job).score(rows).observe(
         seen, F.count(F.lit(1)).alias("rows"), count_unscored().alias("unscored"))
@@ -229,9 +235,31 @@ def batch_score(job: JobContext, rows: DataFrame, output: str, fmt: str = "parqu
     return output
 
 
-def run_all(job: JobContext) -> DataFrame:
-    """Validate, preprocess, features, train; returns the test metrics."""
-    validate(job)
+def cluster(job: JobContext, columns: Sequence[str]) -> dict[str, DataFrame]:
+    """The clustering analysis of the configuration: elbow, assignment, sizes and group profile."""
+    options = clustering.cluster_options(job.config)
+    table = job.spark.read.parquet(job.features_path)
+    elbow = clustering.kmeans_sweep(table, columns, options["k_values"], seed=options["seed"])
+    fitted = clustering.kmeans_fit(table, columns, options["k"], seed=options["seed"])
+    assigned = materialize(fitted.table, "clusters")
+    return {"elbow": elbow, "assigned": assigned, "sizes": clustering.cluster_sizes(assigned),
+            "profile": stats.group_profile(assigned, "cluster", list(columns))}
+
+
+def run_all(job: JobContext, dataset_root: str | None = None) -> dict[str, DataFrame]:
+    """All steps in order: profile, validate, preprocess, features, train, evaluate, score the holdout.
+
+    Gives the profile's tables, the test metrics of the training, the metrics of the evaluation, and the scored
+    holdout where one is configured.
+    """
+    out = load_and_profile(job, dataset_root)
+    validate(job, dataset_root)
     preprocess(job)
     build_features(job)
-    return train(job)[1]
+    out["trained"] = train(job)[1]
+    out["evaluated"] = evaluate(job)
+    held = job.section("data_source").get("inference_holdout_path")
+    if held:
+        rows = job.spark.read.parquet(resolve(held, job.base_dir))
+        out["scored"] = job.spark.read.parquet(batch_score(job, rows, resolve("predictions", job.base_dir)))
+    return out
