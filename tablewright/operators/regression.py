@@ -283,14 +283,19 @@ def stepwise(found: Moments, target: str, candidates: Sequence[str], *,
     """Forward-backward selection by p-value; no pass over the table.
 
     Each round adds the outside column with the least p-value under ``threshold_in``, then
-    removes the inside column with the greatest one over ``threshold_out``. Equal p-values
-    go to the larger t, then to column order.
+    removes the inside column with the greatest one over ``threshold_out``, until neither happens. Equal
+    p-values go to the larger t, then to column order. A set that comes back is an error.
     """
     if threshold_in >= threshold_out:
         raise ValueError("threshold_in must be below threshold_out, or selection may not end")
     pool = [c for c in dict.fromkeys(candidates) if c != target and not found.constant(c)]
     chosen = list(initial)
-    for _ in range(2 * max(len(pool), 1)):
+    seen: set[frozenset[str]] = set()
+    while True:
+        # The next round depends on the set alone: one that comes back comes back for ever.
+        if frozenset(chosen) in seen:
+            raise ValueError(f"selection goes round: {sorted(chosen)} came up again")
+        seen.add(frozenset(chosen))
         changed = False
         outside = [c for c in pool if c not in chosen]
         best = _best_addition(found, target, chosen, outside) if outside else None

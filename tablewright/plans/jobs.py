@@ -236,9 +236,12 @@ def batch_score(job: JobContext, rows: DataFrame | str, output: str, fmt: str =
 
 
 def cluster(job: JobContext, columns: Sequence[str]) -> dict[str, DataFrame]:
-    """The clustering analysis of the configuration: elbow, assignment, sizes and group profile."""
+    """The clustering analysis of the configuration: elbow, assignment, sizes and group profile.
+
+    Works on the preprocessed table.
+    """
     options = clustering.cluster_options(job.config)
-    table = job.spark.read.parquet(job.features_path)
+    table = job.spark.read.parquet(job.path("processed_path", "data/processed/table"))
     elbow = clustering.kmeans_sweep(table, columns, options["k_values"], seed=options["seed"])
     fitted = clustering.kmeans_fit(table, columns, options["k"], seed=options["seed"])
     assigned = materialize(fitted.table, "clusters")

@@ -131,3 +131,17 @@ def test_contract(spark):
     assert len(queries) > 90 and set(oracles) <= set(queries)
     if os.path.isdir(contract.SMOKE_DIR):
         assert contract.entry(spark).count() > 0
+
+
+def test_all_steps_in_one_call_and_clusters(spark, tracks, tmp_path):
+    base = str(tmp_path)
+    sinks.write_table(tracks.coalesce(2), f"{base}/raw.csv", "csv")
+    job = jobs.JobContext(spark, {**CONFIG, "model": {**CONFIG["model"], "kmeans": {"k_max": 2, "n_clusters": 2}}}, base)
+    out = jobs.run_all(job, f"{base}/sets")
+    assert out["shape"].first()["n_rows"] == 600 and out["scored"].count() == 60
+    assert out["trained"].first()["split"] == "test" and out["evaluated"].first()["n"] > out["trained"].first()["n"]
+    assert "prediction_pi_upper" in out["scored"].columns
+    found = jobs.cluster(job, ["energy", "tempo"])
+    assert [r["k"] for r in found["elbow"].collect()] == [1, 2]
+    assert sum(r["size"] for r in found["sizes"].collect()) == found["assigned"].count()
+    assert {r["column"] for r in found["profile"].collect()} == {"energy", "tempo"}
