@@ -94,10 +94,15 @@ def train(docs: DataFrame, sample_rows: int = 20_000, least: int = 20, threshold
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, SIZE * SIZE), np.int64)
         for batch in batches:
+            runs: tuple[list[str], list[str]] = ([], [])
             for text in batch.column("text").to_pylist():
-                spans = base_spans(text)
-                for label, run in _strings(text, spans):
-                    np.add.at(counts[label], _bigrams(run), 1)
+                for label, run in _strings(text, base_spans(text)):
+                    runs[label].append(run)
+            for label, found in enumerate(runs):
+                # The strings in one, with a character outside the alphabet between them.
+                codes = CODE[np.frombuffer("\n".join(found).encode("ascii"), np.uint8)]
+                inside = (codes[:-1] < SIZE) & (codes[1:] < SIZE)
+                counts[label] += np.bincount((codes[:-1] * SIZE + codes[1:])[inside], minlength=SIZE * SIZE)
         label, pair = np.nonzero(counts)
         yield pa.record_batch({"label": pa.array(label), "pair": pa.array(pair), "n": pa.array(counts[label, pair])})
 
