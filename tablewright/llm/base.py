@@ -17,8 +17,8 @@ ORACLES: dict[str, str] = {}
 
 #: Text held by one Arrow batch, and by one call of a kernel inside it.
 BATCH_ROWS = 1000
-BATCH_BYTES = "16m"
-PIECE_BYTES = 2 << 20
+BATCH_BYTES = "8m"
+PIECE_BYTES = 1 << 20
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

@@ -185,8 +185,8 @@ def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
     Pairs that the links found by the same task already connect are passed over, so the links
     returned connect all that the pairs' links connect.
 
-    The members' texts are read again: a filter of fixed size on doc_id keeps most others from the
-    shuffle. Each set is sent to the tasks of its hubs (the a sides), a hub to one task per ``BLOCK`` partners.
+    The texts are read again, and a filter of fixed size on doc_id tells which to make arrays of; those it
+    lets pass by chance find no partner. Each set is sent to the tasks of its hubs (the a sides), a hub to one task per ``BLOCK`` partners.
     """
     spark = docs.sparkSession
     hubs = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
@@ -204,23 +204,19 @@ def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
     bitmap[[w["word"] for w in words]] = [w["bits"] for w in words]
     shared = spark.sparkContext.broadcast(bitmap)
 
-    @F.pandas_udf("boolean")
-    def wanted(bit):
-        import pandas as pd
-        at = bit.to_numpy()
-        return pd.Series((shared.value[at >> 6] >> (at & 63)) & 1 == 1)
-
     def shingle(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch):
+            bit = np.asarray(batch.column("bit"))
+            wanted = (shared.value[bit >> 6] >> (bit & 63)) & 1 == 1
+            for piece in pieces(batch.filter(pa.array(wanted))):
                 flat, offsets = shingle_sets(piece.column("text"), SHINGLE_WORDS)
                 data = flat.tobytes()
                 yield pa.record_batch({
                     "set_id": pa.array(_class_of(flat, offsets).view(np.int64)),
                     "shingles": pa.array([data[8 * a:8 * b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], pa.binary())})
 
-    texts = docs.select("doc_id", "text").where(wanted(place)).join(needed.select("doc_id").distinct(), "doc_id", "left_semi")
-    arrays = texts.select("text").mapInArrow(shingle, "set_id long, shingles binary").dropDuplicates(["set_id"])
+    texts = docs.select(place.alias("bit"), "text")
+    arrays = texts.mapInArrow(shingle, "set_id long, shingles binary").dropDuplicates(["set_id"])
     sent = arrays.join(routes, "set_id").withColumn("task", F.xxhash64("a", "part"))
 
     def intersect(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from tablewright.llm.base import segments, utf8, word_hashes
 
 #: Words kept per worker process (about 40 bytes each); the cache starts anew beyond it.
-CACHE_WORDS = 2_000_000
+CACHE_WORDS = 500_000
 
 OTHER, LETTER, NUMBER, BLANK, WHITE = range(5)
 
