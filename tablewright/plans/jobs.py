@@ -22,7 +22,7 @@ from ..operators import clustering, prep, profile, quality, regression, split, s
 from ..operators.columns import drop_columns
 from ..operators.scoring import Scorer, count_unscored
 from ..schema import numeric_columns, with_row_key
-from ..session import materialize
+from ..session import materialize, written
 from ..sources import sinks
 from ..sources.tables import load_table, resolve
 
@@ -120,13 +120,21 @@ def validate(job: JobContext, dataset_root: str | None = None) -> quality.Qualit
 
 
 def preprocess(job: JobContext) -> DataFrame:
-    """Holdout split, drops, outlier filter, imputation and scaling; stores the parameters."""
-    section = job.section("preprocessing")
+    """Holdout split, drops, outlier filter, imputation and scaling; stores the parameters.
+
+    Several passes follow, so text is parsed, and a key made from content is made, only once: into a
+    table that is deleted afterwards. Other tables are read as they are, by the columns each pass needs.
+    """
     df = job.load()
+    if job.section("data_source").get("type", "csv") != "csv" and job.key != ROW_KEY:
+        return _preprocess(job, df)
+    with written(df, "parsed") as table:
+        return _preprocess(job, table)
+
+
+def _preprocess(job: JobContext, df: DataFrame) -> DataFrame:
+    section = job.section("preprocessing")
     source = job.section("data_source")
-    if source.get("type", "csv") == "csv":
-        # Several passes follow: parse the text once, then read only the columns each needs.
-        df = materialize(df, "parsed")
     if source.get("inference_holdout_path"):
         rest, held = split.holdout(df, job.key, source.get("inference_holdout_size"), job.seed)
         if held is not None:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,3 +57,16 @@ def materialize(df: DataFrame, purpose: str = "table") -> DataFrame:
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def written(df: DataFrame, purpose: str = "table") -> Iterator[DataFrame]:
+    """``materialize`` for a table that only the block needs: its folder is deleted at the end."""
+    spark = df.sparkSession
+    path = shared_folder(spark, purpose)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -145,3 +145,9 @@ def test_all_steps_in_one_call_and_clusters(spark, tracks, tmp_path):
     assert [r["k"] for r in found["elbow"].collect()] == [1, 2]
     assert sum(r["size"] for r in found["sizes"].collect()) == found["assigned"].count()
     assert {r["column"] for r in found["profile"].collect()} == {"energy", "tempo"}
+
+
+def test_preprocess_leaves_no_parsed_copy(spark, tracks, shared, tmp_path):
+    sinks.write_table(tracks.coalesce(2), f"{tmp_path}/raw.csv", "csv")
+    jobs.preprocess(jobs.JobContext(spark, CONFIG, str(tmp_path)))
+    assert not [name for name in os.listdir(shared) if name.startswith("parsed-")]
