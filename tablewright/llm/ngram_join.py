@@ -22,6 +22,8 @@ BAND_RATIO = 4 / 3
 FILTER_BITS = 1 << 23
 #: Members of a tile, or partners of a document, that one task compares at a time.
 BLOCK = 1000
+#: Members of a tile that all its unconnected members are compared with, before every pair is.
+SECOND_HUBS = 4
 #: Sets whose connections one task remembers while it tests pairs.
 FOREST_NODES = 1_000_000
 
@@ -271,6 +273,29 @@ def link_components(links: DataFrame) -> DataFrame:
     return every.join(joined, "group", "left").select("set_id", F.coalesce("component", "group").alias("component"))
 
 
+def _tile_rows(star: DataFrame, links: DataFrame) -> DataFrame:
+    """Members of all tiles of one least member, with their groups; ``inner`` are those of its own group."""
+    groups = materialize(linked_groups(links), "linked-groups")
+    return (star.select(F.col("a").alias("tile"), F.col("b").alias("set_id")).join(groups, "set_id", "left")
+            .join(groups.select(F.col("set_id").alias("tile"), F.col("group").alias("main")), "tile", "left")
+            .select("tile", "set_id", F.coalesce("group", "set_id").alias("component"), F.coalesce("main", "tile").alias("main"))
+            .withColumn("inner", F.col("component") == F.col("main")))
+
+
+def second_pairs(star: DataFrame, links: DataFrame) -> DataFrame:
+    """Pairs (hub, member) of each tile's ``SECOND_HUBS`` drawn members with those outside its least member's group.
+
+    A member of a large group of near copies that does not link with the least one most often links with
+    one of these, so that few are left for ``open_pairs``. As many pairs as members, times a constant.
+    """
+    rows = _tile_rows(star, links)
+    drawn = rows.groupBy("tile").agg(*[
+        F.min(F.struct(F.xxhash64("set_id", F.lit(k)), "set_id"))["set_id"].alias(f"hub{k}") for k in range(SECOND_HUBS)])
+    hubs = F.array_distinct(F.array(*[F.col(f"hub{k}") for k in range(SECOND_HUBS)]))
+    return (rows.where(~F.col("inner")).join(drawn, "tile").select(F.explode(hubs).alias("a"), F.col("set_id").alias("b"))
+            .where("a <> b").distinct())
+
+
 def open_pairs(star: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs that share a least member, are not known to be connected, and may link by their bounds.
 
@@ -279,11 +304,7 @@ def open_pairs(star: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
     steps, to one least member. Tiles within one such group have nothing to add; the others are compared
     in blocks of ``BLOCK`` members, those of the least member's own group never among themselves.
     """
-    groups = materialize(linked_groups(links), "linked-groups")
-    rows = (star.select(F.col("a").alias("tile"), F.col("b").alias("set_id")).join(groups, "set_id", "left")
-            .join(groups.select(F.col("set_id").alias("tile"), F.col("group").alias("main")), "tile", "left")
-            .select("tile", "set_id", F.coalesce("group", "set_id").alias("component"), F.coalesce("main", "tile").alias("main"))
-            .withColumn("inner", F.col("component") == F.col("main")))
+    rows = _tile_rows(star, links)
     of_tile = rows.groupBy("tile").agg(F.count(F.lit(1)).alias("m"), F.count_if("inner").alias("n_inner"))
     of_tile = of_tile.where("n_inner < m AND m > 1").select(
         "tile", "m", F.ceil(F.col("n_inner") / BLOCK).cast("int").alias("inner_blocks"),
@@ -336,8 +357,8 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     no rows. Sets are told apart by 64-bit hashes of shingles and of sets.
 
     Equal sets are one node. Nodes that share a tile are candidates; first each with the
-    tile's least member, then, in tiles whose members are not all connected by then, every
-    pair from different groups. So all links are found that could join components, while a
+    tile's least member, then those left over with a few drawn members, then, in tiles whose members
+    are not all connected by then, every pair from different groups. So all links are found that could join components, while a
     large group of near copies costs its size, not its square. Every intermediate result that is
     used twice is a written table.
     """
@@ -348,7 +369,11 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap")), "sets")
     star = materialize(tiles(known), "star-pairs")
     links = materialize(verify(materialize(within_bounds(star, sets), "bounded-pairs"), known, sets), "star-links")
-    rest = materialize(open_pairs(star, links, sets), "open-pairs")
+    second = materialize(second_pairs(star, links), "second-pairs")
+    if not second.isEmpty():
+        links = links.union(materialize(verify(materialize(within_bounds(second, sets), "bounded-pairs"), known, sets), "second-links"))
+    tested = second.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    rest = materialize(open_pairs(star, links, sets).join(tested, ["a", "b"], "left_anti"), "open-pairs")
     links = links.union(materialize(verify(rest, known, sets), "open-links")) if not rest.isEmpty() else links
     groups = materialize(link_components(links), "link-components")
 
