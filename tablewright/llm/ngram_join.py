@@ -251,10 +251,11 @@ def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def linked_groups(links: DataFrame) -> DataFrame:
-    """(set_id, group): the least set id that one or two links lead down to."""
-    hub = links.groupBy("b").agg(F.min("a").alias("hub"))
-    onward = hub.select(F.col("b").alias("hub"), F.col("hub").alias("next"))
-    return hub.join(onward, "hub", "left").select(F.col("b").alias("set_id"), F.coalesce("next", "hub").alias("group"))
+    """(set_id, group) of all linked sets: the least set id within two links, or three by way of the least."""
+    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
+    around = both.join(low.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min("low").alias("near"))
+    return around.join(low, "a").select(F.col("a").alias("set_id"), F.least("near", "low").alias("group"))
 
 
 def link_components(links: DataFrame) -> DataFrame:
