@@ -24,6 +24,12 @@ FILTER_BITS = 1 << 23
 BLOCK = 1000
 #: Members of a tile that all its unconnected members are compared with, before every pair is.
 SECOND_HUBS = 4
+#: Members, and their shingles, of one side of a pair job that counts links.
+PAIR_BLOCK = 400
+PAIR_SHINGLES = 1_000_000
+#: Columns that a dense product of incidences has at a time; values of fewer rows than ``DENSE`` are paired one by one.
+DENSE_COLUMNS = 2048
+DENSE = 16
 #: Sets whose connections one task remembers while it tests pairs.
 FOREST_NODES = 1_000_000
 
@@ -181,22 +187,14 @@ def within_bounds(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         test, "a long, b long")
 
 
-def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links among the pairs (a, b) of set ids, by intersection of their sorted shingle arrays.
-
-    Pairs that the links found by the same task already connect are passed over, so the links
-    returned connect all that the pairs' links connect.
+def set_arrays(wanted: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(set_id, shingles) of the sets in ``wanted``, and of some others.
 
     The texts are read again, and a filter of fixed size on doc_id tells which to make arrays of; those it
-    lets pass by chance find no partner. Each set is sent to the tasks of its hubs (the a sides), a hub to one task per ``BLOCK`` partners.
+    lets pass by chance find no partner.
     """
     spark = docs.sparkSession
-    hubs = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
-    part = F.pmod(F.xxhash64("b"), F.col("parts")).cast("int")
-    routes = pairs.join(hubs, "a").select(F.col("b").alias("set_id"), "a", part.alias("part"), F.lit(False).alias("hub")).union(
-        hubs.select(F.col("a").alias("set_id"), "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)), F.lit(True)))
-    routes = materialize(routes, "set-routes")
-    needed = materialize(routes.select("set_id").distinct().join(sets.select("set_id", "rep"), "set_id").select(
+    needed = materialize(wanted.select("set_id").distinct().join(sets.select("set_id", "rep"), "set_id").select(
         "set_id", F.col("rep").alias("doc_id")), "needed-sets")
     place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).cast("int")
     # At most FILTER_BITS / 64 rows come to the driver.
@@ -218,8 +216,23 @@ def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
                     "shingles": pa.array([data[8 * a:8 * b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], pa.binary())})
 
     texts = docs.select(place.alias("bit"), "text")
-    arrays = texts.mapInArrow(shingle, "set_id long, shingles binary").dropDuplicates(["set_id"])
-    sent = arrays.join(routes, "set_id").withColumn("task", F.xxhash64("a", "part"))
+    return texts.mapInArrow(shingle, "set_id long, shingles binary").dropDuplicates(["set_id"])
+
+
+def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links among the pairs (a, b) of set ids, by intersection of their sorted shingle arrays.
+
+    Pairs that the links found by the same task already connect are passed over, so the links
+    returned connect all that the pairs' links connect; ``link_counts`` counts every link.
+
+    Each set is sent to the tasks of its hubs (the a sides), a hub to one task per ``BLOCK`` partners.
+    """
+    hubs = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("b"), F.col("parts")).cast("int")
+    routes = pairs.join(hubs, "a").select(F.col("b").alias("set_id"), "a", part.alias("part"), F.lit(False).alias("hub")).union(
+        hubs.select(F.col("a").alias("set_id"), "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)), F.lit(True)))
+    routes = materialize(routes, "set-routes")
+    sent = set_arrays(routes, docs, sets).join(routes, "set_id").withColumn("task", F.xxhash64("a", "part"))
 
     def intersect(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Links that this task's earlier ones imply need no test: they cannot join anything more.
@@ -348,25 +361,136 @@ def open_pairs(star: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
     return dealt.repartition("job").sortWithinPartitions("job").mapInArrow(compare, "a long, b long").distinct()
 
 
-def similar_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document, for sets of five-word shingles.
+def shared_counts(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Number of common values of every two rows; ``flat`` has each row's distinct values one row after the other.
+
+    Values of many rows are counted by products of dense incidences, the others pair by pair.
+    """
+    m = len(sizes)
+    owner = np.repeat(np.arange(m), sizes)
+    _, column, counts = np.unique(flat, return_inverse=True, return_counts=True)
+    out = np.zeros((m, m), np.int64)
+    heavy = np.flatnonzero(counts >= DENSE)
+    place = np.full(len(counts), -1)
+    place[heavy] = np.arange(len(heavy))
+    for start in range(0, len(heavy), DENSE_COLUMNS):
+        at = place[column] - start
+        inside = (at >= 0) & (at < DENSE_COLUMNS)
+        dense = np.zeros((m, min(DENSE_COLUMNS, len(heavy) - start)), np.float32)
+        dense[owner[inside], at[inside]] = 1
+        out += (dense @ dense.T).astype(np.int64)
+    light = (counts[column] > 1) & (counts[column] < DENSE)
+    order = np.argsort(column[light], kind="stable")
+    column, owner = column[light][order], owner[light][order]
+    for lag in range(1, DENSE - 1):
+        same = np.flatnonzero(column[lag:] == column[:-lag])
+        if not len(same):
+            break
+        # Rows of one value ascend, so these fall above the diagonal.
+        both = np.bincount(owner[same] * m + owner[same + lag], minlength=m * m).reshape(m, m)
+        out += both + both.T
+    return out
+
+
+def _fresh(group: pa.Table) -> np.ndarray:
+    """Pairs (the first before the second) that a job compares: of its two blocks, and of no lesser tile."""
+    tile = group.column("tile")[0].as_py()
+    block = np.asarray(group.column("block"))
+    tiles = [np.frombuffer(t, np.int64) for t in group.column("tiles").to_pylist()]
+    lesser = [t[t < tile] for t in tiles]
+    fresh = shared_counts(np.concatenate(lesser), np.array([len(t) for t in lesser])) == 0
+    if group.column("crossed")[0].as_py():
+        fresh &= block[:, None] != block[None, :]
+    return np.triu(fresh, 1)
+
+
+def pair_members(star: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members of the jobs that count links: job, tile, crossed, block, set_id and the packed ``tiles`` of the set.
+
+    Linked sets are both members of some tile's least member (or one is that member), so every pair of
+    such members is compared, in the least of the tiles that both are in and nowhere else. A tile is cut into
+    blocks of about ``PAIR_BLOCK`` members and ``PAIR_SHINGLES`` shingles, a job has two blocks
+    (``crossed``) or one. Members whose sizes and bitmaps leave room for a link with none in the job are left out.
+    """
+    own = star.select("a").distinct()
+    rows = star.select(F.col("a").alias("tile"), F.col("b").alias("set_id")).union(own.select("a", "a"))
+    listed = rows.groupBy("set_id").agg(F.collect_set("tile").alias("tiles"))
+    known = materialize(listed.join(sets.select("set_id", "n", "bitmap"), "set_id"), "tile-lists")
+    parts = known.select(F.explode("tiles").alias("tile"), "n").groupBy("tile").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / PAIR_BLOCK), F.ceil(F.sum("n") / PAIR_SHINGLES)).cast("int").alias("parts"))
+    block = F.pmod(F.xxhash64("set_id", F.lit(7)), F.col("parts")).cast("int")
+    dealt = (rows.join(parts, "tile").withColumn("block", block)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+             .select(F.xxhash64("tile", F.least("block", "other"), F.greatest("block", "other")).alias("job"), "tile",
+                     (F.col("block") != F.col("other")).alias("crossed"), "block", "set_id")
+             .join(known, "set_id"))
+
+    def bound(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, "job"):
+            packed = pa.array([np.array(t, np.int64).tobytes() for t in group.column("tiles").to_pylist()], pa.binary())
+            group = group.set_column(group.schema.get_field_index("tiles"), "tiles", packed)
+            first, second = np.nonzero(_fresh(group))
+            sizes, maps = np.asarray(group.column("n"), np.int64), group.column("bitmap").to_pylist()
+            words = min(map(len, maps)) // 8
+            bits = np.stack([_folded(m, words) for m in maps])
+            found = np.zeros(len(maps), bool)
+            step = max(1, (1 << 20) // words)
+            for at in range(0, len(first), step):
+                i, j = first[at:at + step], second[at:at + step]
+                differing = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
+                passed = _may_link(sizes[i], sizes[j], differing)
+                found[i[passed]] = found[j[passed]] = True
+            if found.any():
+                group = group.filter(pa.array(found)).select(["job", "tile", "crossed", "block", "set_id", "tiles"])
+                yield from group.combine_chunks().to_batches()
+
+    return dealt.repartition("job").sortWithinPartitions("job").mapInArrow(
+        bound, "job long, tile long, crossed boolean, block int, set_id long, tiles binary")
+
+
+def link_counts(star: DataFrame, docs: DataFrame, sets: DataFrame, weights: DataFrame) -> DataFrame:
+    """(set_id, linked) of the sets that link with others: the summed ``weight`` of those, each link counted once.
+
+    Every pair of ``pair_members`` is tested by its exact intersection, also where other links imply a link or
+    connect its ends, so a group of m near copies costs m * m / 2 tests; they leave a task as one sum per member.
+    """
+    members = materialize(pair_members(star, sets), "pair-members")
+    sent = members.join(set_arrays(members, docs, sets), "set_id").join(weights, "set_id")
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, "job"):
+            data = [np.frombuffer(s, np.uint64) for s in group.column("shingles").to_pylist()]
+            sizes = np.array([len(x) for x in data])
+            linked = _fresh(group) & (7 * shared_counts(np.concatenate(data), sizes) >= 3 * (sizes[:, None] + sizes[None, :]))
+            total = (linked | linked.T) @ np.asarray(group.column("weight"), np.int64)
+            yield pa.record_batch({"set_id": group.column("set_id").combine_chunks(), "linked": pa.array(total)}).filter(pa.array(total > 0))
+
+    counted = sent.repartition("job").sortWithinPartitions("job").mapInArrow(count, "set_id long, linked long")
+    return counted.groupBy("set_id").agg(F.sum("linked").alias("linked"))
+
+
+def similar_documents(docs: DataFrame, count_links: bool = True) -> DataFrame:
+    """doc_id, n_shingles, component_id and n_links of every document, for sets of five-word shingles.
 
     A set has the distinct shingles of the whole lower-cased text (of a shorter text, the whole
     sequence). Documents link when 100 * intersection >= 75 * union; component_id is the least doc_id
-    reachable. Texts that are NULL, empty or without words have size 0 and link with nothing. NULL
+    reachable, n_links the number of other documents linked with directly, equal ones among them
+    (rows of one doc_id and set count as one document). Without ``count_links`` that column is
+    left out, and with it the tests that components do not need. Texts that are NULL, empty or without words have size 0 and link with nothing. NULL
     doc_ids get no component and link with nothing; repeated rows repeat; an empty table gives
     no rows. Sets are told apart by 64-bit hashes of shingles and of sets.
 
     Equal sets are one node. Nodes that share a tile are candidates; first each with the
     tile's least member, then those left over with a few drawn members, then, in tiles whose members
     are not all connected by then, every pair from different groups. So all links are found that could join components, while a
-    large group of near copies costs its size, not its square. Every intermediate result that is
+    large group of near copies costs its size, not its square; counting its links does cost that. Every intermediate result that is
     used twice is a written table.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     known = docs.where("doc_id IS NOT NULL")
     signed = materialize(set_signatures(docs), "set-signatures")
-    sets = materialize(signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("set_id").agg(
+    documents = signed.where("n > 0 AND doc_id IS NOT NULL")
+    sets = materialize(documents.groupBy("set_id").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap")), "sets")
     star = materialize(tiles(known), "star-pairs")
     links = materialize(verify(materialize(within_bounds(star, sets), "bounded-pairs"), known, sets), "star-links")
@@ -381,15 +505,24 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     by_set = sets.select("set_id", "rep").join(groups, "set_id", "left").withColumn(
         "component", F.coalesce("component", "set_id"))
     least = by_set.groupBy("component").agg(F.min("rep").alias("component_id"))
-    by_set = materialize(by_set.join(least, "component").select("set_id", "component_id"), "set-components")
+    by_set = by_set.join(least, "component").select("set_id", "component_id")
+    if count_links:
+        weights = materialize(documents.select("set_id", "doc_id").distinct().groupBy("set_id").agg(
+            F.count(F.lit(1)).alias("weight")), "set-weights")
+        counts = materialize(link_counts(star, known, sets, weights), "link-counts")
+        by_set = by_set.join(weights, "set_id").join(counts, "set_id", "left").select(
+            "set_id", "component_id", (F.col("weight") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
+    by_set = materialize(by_set, "set-components")
+    linkable = (F.col("n") > 0) & F.col("doc_id").isNotNull()
     return signed.join(by_set, "set_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        F.when(linkable, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        *([F.when(linkable, F.col("n_links")).otherwise(0).alias("n_links")] if count_links else []))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents that are the least of their component (all rows of that doc_id); NULL doc_ids stay."""
-    found = similar_documents(docs).where("component_id <> doc_id").select("doc_id").distinct()
+    found = similar_documents(docs, count_links=False).where("component_id <> doc_id").select("doc_id").distinct()
     return docs.join(found, "doc_id", "left_anti").select(docs.columns)
 
 

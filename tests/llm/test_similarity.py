@@ -92,6 +92,35 @@ def test_components_equal_all_pairs(spark, similar_rows, monkeypatch):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, (_, c) in want.items() if c == i}
 
 
+def brute_links(rows):
+    """doc_id to the number of other documents it links with, from all pairs."""
+    sets = [(i, brute_set(t)) for i, t in rows]
+    return {i: sum(i != j and bool(x) and bool(y) and 100 * len(x & y) >= 75 * len(x | y) for j, y in sets) for i, x in sets}
+
+
+def test_every_link_is_counted(spark, similar_rows, odd_docs, monkeypatch):
+    rnd = random.Random(31)
+    # One large group of near copies: most of its links are implied by others.
+    words = [f"n{k}" for k in range(70)]
+    rows = similar_rows + [(5000 + k, t) for k, t in enumerate(edited_copies(rnd, words, 150, 3))]
+    rows += [(r["doc_id"], r["text"]) for r in odd_docs.select(odd_docs.doc_id + 9000, "text").toDF("doc_id", "text").collect()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_links({r for r in rows if r[0] is not None}) | {None: 0}
+    assert max(want.values()) > 20
+    # Small blocks and few dense columns: tiles are cut into many jobs.
+    for name, value in (("PAIR_BLOCK", 40), ("PAIR_SHINGLES", 3000), ("DENSE_COLUMNS", 50), ("DENSE", 4)):
+        monkeypatch.setattr(ngram_join, name, value)
+    assert {r["doc_id"]: r["n_links"] for r in ngram_join.similar_documents(docs).collect()} == want
+
+
+def test_shared_counts_equal_sets():
+    rnd = random.Random(6)
+    for m in (1, 2, 40):
+        rows = [sorted({rnd.randint(0, rnd.choice((5, 60, 3000))) for _ in range(rnd.randint(0, 90))}) for _ in range(m)]
+        got = ngram_join.shared_counts(np.array(sum(rows, []), np.int64), np.array([len(r) for r in rows]))
+        assert all(got[i, j] == len(set(rows[i]) & set(rows[j])) for i in range(m) for j in range(m) if i != j)
+
+
 def test_join_edges(odd_docs, no_docs):
     rows = ngram_join.similar_documents(odd_docs).collect()
     assert len(rows) == odd_docs.count()
