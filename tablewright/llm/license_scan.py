@@ -60,16 +60,18 @@ def scan_licenses(docs: DataFrame, notices: Mapping[str, str] = NOTICES, contain
     """Notices found in texts: doc_id, license, containment, first_word, n_windows.
 
     Words are lower-cased runs of letters and digits; shingles are five words. For each length n
-    of notice (in shingles), windows of n + s - 1 shingles start every s = max(1, n // 4), so any
-    occurrence lies whole in a window. A notice whose ``containment`` share of shingles is there has at
-    least similarity containment * n / (n + s - 1 + (1 - containment) * n) with that window; bands
-    of ``rows`` minima are added until such a pair meets in one with probability ``certainty``.
-    Pairs that meet are then counted exactly: shared shingles over the notice's shingles.
+    of notice (in shingles), windows of n + s - 1 shingles start every s = max(1, n // 4). An
+    occurrence, with words put in or left out, may spread over 2 n positions: two windows cover
+    those, so one of them holds at least half of the k = containment * n shingles that have to be there,
+    and its similarity with the notice is at least (k / 2) / (2 n + s - 1 - k / 2); bands of ``rows`` minima
+    are added until such a pair meets in one with probability ``certainty``. Pairs that meet are then
+    counted exactly over the window and n positions on either side, where the whole of
+    such an occurrence lies: shared shingles over the notice's shingles.
 
     A window that shares no shingle with any notice cannot share a minimum with one, so
     signatures are made only for windows around such shingles: an exact cut. Documents are
     scanned in one narrow pass of built-in functions; only the hits are shuffled, by doc_id and
-    notice. ``first_word`` is the least position of a verified window's first shared shingle. NULL or
+    notice. ``first_word`` is the least position of a shared shingle around a verified window. NULL or
     empty texts and texts under five words give no rows; repeated rows count into one result;
     a NULL doc_id is a group of its own; an empty table gives none. Notices need five words.
     """
@@ -82,7 +84,8 @@ def scan_licenses(docs: DataFrame, notices: Mapping[str, str] = NOTICES, contain
         raise ValueError(f"notices need {WIDTH} words each and {MAX_SHINGLES} shingles at most in all")
     sizes = sorted({len(s) for s in known.values()})
     steps = {n: max(1, n // 4) for n in sizes}
-    bands = max(bands_for(containment * n / (n + steps[n] - 1 + (1 - containment) * n), rows, certainty) for n in sizes)
+    held = {n: math.ceil(math.ceil(containment * n) / 2) for n in sizes}
+    bands = max(bands_for(held[n] / (2 * n + steps[n] - 1 - held[n]), rows, certainty) for n in sizes)
 
     # Positions of shingles of any notice, then the windows that hold one.
     positions = F.filter(F.sequence(F.lit(0), F.size("hashes") - 1),
@@ -101,14 +104,16 @@ def scan_licenses(docs: DataFrame, notices: Mapping[str, str] = NOTICES, contain
                .select("doc_id", "hashes", F.when(F.size("hashes") > 0, positions).alias("at"))
                .select("doc_id", "hashes", F.explode_outer(F.array_distinct(F.flatten(F.transform("at", around)))).alias("w"))
                .where("w IS NOT NULL")
-               .select("doc_id", "w.n", "w.start", F.slice("hashes", F.col("w.start") + 1, F.col("w.width")).alias("window")))
-    banded = windows.select("*", F.posexplode(_signature(F.col("window"), bands, rows)).alias("band", "value"))
+               .withColumn("from", F.greatest(F.lit(0), F.col("w.start") - F.col("w.n")))
+               .select("doc_id", "w.n", "w.start", "from", F.slice("hashes", F.col("w.start") + 1, F.col("w.width")).alias("window"),
+                       F.slice("hashes", F.col("from") + 1, F.col("w.start") - F.col("from") + F.col("w.width") + F.col("w.n")).alias("span")))
+    banded = windows.select("doc_id", "n", "start", "from", "span", F.posexplode(_signature(F.col("window"), bands, rows)).alias("band", "value"))
     templates = listed.select(F.size("set").alias("n"), "license", "set",
                               F.posexplode(_signature(F.col("set"), bands, rows)).alias("band", "value"))
-    shared = F.size(F.array_intersect("window", "set"))
+    shared = F.size(F.array_intersect("span", "set"))
     # The templates are broadcast: MAX_SHINGLES bounds them.
     met = banded.join(F.broadcast(templates), ["n", "band", "value"]).withColumn("containment", shared / F.size("set"))
-    first = F.array_position(F.transform("window", lambda h: F.array_contains("set", h)), True) - 1 + F.col("start")
+    first = F.array_position(F.transform("span", lambda h: F.array_contains("set", h)), True) - 1 + F.col("from")
     return (met.where(F.col("containment") >= containment).withColumn("first", first)
             .groupBy("doc_id", "license").agg(
                 F.max("containment").alias("containment"), F.min("first").cast("long").alias("first_word"),

@@ -166,6 +166,26 @@ def test_licenses_by_brute_force(spark, odd_docs, no_docs):
     assert license_scan.bands_for(0.5, 1, 0.999) == 10
 
 
+def test_licenses_with_inserted_words(spark):
+    """Held against the containment in the whole text, at all offsets of a step."""
+    texts, want = [], set()
+    for name in ("BSD-3-Clause", "MIT-text"):
+        notice = re.findall(r"\w+", license_scan.NOTICES[name].lower())
+        one = {tuple(notice[i:i + 5]) for i in range(len(notice) - 4)}
+        for n_added in (1, 2, 6):
+            for at in range(1, len(notice)):
+                for offset in range(5):
+                    words = notice[:at] + [f"x{k}" for k in range(n_added)] + notice[at:]
+                    text = [f"f{k}" for k in range(offset)] + words + [f"g{k}" for k in range(30)]
+                    found = {tuple(text[i:i + 5]) for i in range(len(text) - 4)}
+                    if len(one & found) >= 0.75 * len(one):
+                        want.add((len(texts), name, len(one & found) / len(one)))
+                    texts.append(" ".join(text))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r["doc_id"], r["license"], r["containment"]) for r in license_scan.scan_licenses(docs).collect()}
+    assert len(want) > 200 and got <= want and len(got) >= 0.998 * len(want)
+
+
 # Addresses
 
 def test_rules_and_groups(spark):
