@@ -20,6 +20,12 @@ TRACKING = r"(^|&)(utm_[a-z]+|ref|fbclid|gclid)=[^&]*"
 CANONICAL = r"""(?i)<link[^>]*rel=["']?canonical["']?[^>]*href=["']([^"']+)["']"""
 REFRESH = r"""(?i)<meta[^>]*http-equiv=["']?refresh["']?[^>]*content=["'][^"'>]*url=([^"'>]+)["']"""
 
+#: Whole tags (a ">" in quotes does not end one), and an attribute: name, then value with its quotes.
+TAGS = r"""(?is)<(?:link|meta|base)(?=[\s/])(?:[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+>|[^>]*+>)"""
+ATTRIBUTE = r"""(?s)([^\s"'>/=]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
+#: The address in the content of a refresh, in either quotes or none.
+REFRESH_URL = r"""(?is)^[^=]*?url\s*=\s*(?:"([^"]*)|'([^']*)|([^"'\s].*))"""
+
 Rule = tuple[str, str, str]
 
 
@@ -66,12 +72,55 @@ def match_rules(addresses: DataFrame, rules: DataFrame) -> DataFrame:
     return best.select("url", "host", "path", "key", "best.rule", "best.action")
 
 
+def _attribute(tag: Column, name: str) -> Column:
+    """Value of a tag's first attribute of that name, without quotes; NULL without one."""
+    names = F.transform(F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(1)), F.lower)
+    values = F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(2))
+    found = F.get(values, (F.array_position(names, name) - 1).cast("int"))
+    return F.trim(F.regexp_replace(F.regexp_replace(found, r"""(?s)^(["'])(.*)\1$""", "$2"), "&amp;", "&"))
+
+
+def _resolved(target: Column, base: Column) -> Column:
+    """A target as an address: relative ones from scheme, host and path of ``base``; NULL if that names none."""
+    target = F.regexp_replace(target, r"[\t\r\n]", "")
+    scheme, host = F.regexp_extract(base, r"^([^/?#]*):", 1), F.regexp_extract(base, r"^([^/?#]*://[^/?#]*)", 1)
+    path = F.regexp_extract(base, r"^[^/?#]*://[^/?#]*([^?#]*)", 1)
+    folder = F.concat(host, F.regexp_extract(path, r"(?s)^(.*/)?", 1), F.when(path == "", "/").otherwise(""))
+    whole = F.when(F.length(target) == 0, None).when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), target).when(
+        host == "", None).when(F.startswith(target, F.lit("//")), F.concat(scheme, F.lit(":"), target)).when(
+        F.startswith(target, F.lit("/")), F.concat(host, target)).when(
+        F.startswith(target, F.lit("?")), F.concat(host, path, target)).when(
+        F.startswith(target, F.lit("#")), F.concat(F.regexp_extract(base, r"^([^#]*)", 1), target)).otherwise(F.concat(folder, target))
+    # "." and ".." in the path; the first element is empty, as the path begins with "/".
+    steps = F.split(F.regexp_extract(whole, r"^[^/?#]*://[^/?#]*([^?#]*)", 1), "/")
+    walked = F.aggregate(steps, F.array().cast("array<string>"), lambda at, step: F.when(step == ".", at).when(
+        step == "..", F.slice(at, 1, F.greatest(F.lit(1), F.size(at) - 1))).otherwise(F.concat(at, F.array(step))))
+    closed = F.when(F.element_at(steps, -1).isin(".", ".."), F.concat(walked, F.array(F.lit("")))).otherwise(walked)
+    plain = F.concat(F.regexp_extract(whole, r"^([^/?#]*://[^/?#]*)", 1), F.array_join(closed, "/"),
+                     F.regexp_extract(whole, r"(?s)^[^?#]*(.*)", 1))
+    dotted = F.exists(steps, lambda step: step.isin(".", ".."))
+    return F.when(whole.contains("://"), F.when(dotted, plain).otherwise(whole))
+
+
 def page_edges(pages: DataFrame) -> DataFrame:
-    """(source, target) addresses of canonical links and refresh redirects in the pages' HTML."""
-    marked = pages.select("url", "html").where(F.lower("html").contains("canonical") | F.lower("html").contains("refresh"))
-    targets = F.array(*[F.regexp_extract("html", p, 1) for p in (CANONICAL, REFRESH)])
-    return (marked.select(F.col("url").alias("source"), F.explode(targets).alias("target"))
-            .where("source IS NOT NULL AND target LIKE '%://%'"))
+    """(source, target) addresses of all canonical links and refresh redirects in the pages' HTML.
+
+    Attributes may come in any order, with either quotes or none; relative targets are resolved against
+    the page's base tag, if it has one, and its address.
+    """
+    marked = pages.select("url", "html").where(
+        "url IS NOT NULL").where(F.lower("html").contains("canonical") | F.lower("html").contains("refresh"))
+    read = F.transform(F.regexp_extract_all("html", F.lit(TAGS), F.lit(0)), lambda tag: F.struct(
+        F.lower(F.substring(tag, 2, 4)).alias("kind"), *[_attribute(tag, a).alias(k) for a, k in (
+            ("rel", "rel"), ("href", "href"), ("http-equiv", "event"), ("content", "content"))]))
+    tags = marked.select("url", read.alias("tags"))
+    of_base = F.get(F.filter("tags", lambda t: (t["kind"] == "base") & t["href"].isNotNull()), F.lit(0))["href"]
+    tags = tags.select("url", F.coalesce(_resolved(of_base, F.col("url")), F.col("url")).alias("base"), F.explode("tags").alias("tag"))
+    later = F.concat(*[F.regexp_extract("tag.content", REFRESH_URL, k) for k in (1, 2, 3)])
+    target = F.when((F.col("tag.kind") == "link") & F.array_contains(F.split(F.lower("tag.rel"), r"\s+"), "canonical"), F.col("tag.href")).when(
+        (F.col("tag.kind") == "meta") & (F.lower("tag.event") == "refresh"), F.trim(later))
+    found = tags.select("url", "base", target.alias("found")).where("found IS NOT NULL")
+    return found.select(F.col("url").alias("source"), _resolved(F.col("found"), F.col("base")).alias("target")).where("target IS NOT NULL")
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None = None,

@@ -188,6 +188,25 @@ def test_licenses_with_inserted_words(spark):
 
 # Addresses
 
+def test_edges_of_common_html(spark):
+    base = "http://c.org/a/b?q=1"
+    cases = [('<link href="http://x.org/1" rel="canonical">', "http://x.org/1"), ("<LINK href=http://x.org/2?a=1 rel=canonical>", "http://x.org/2?a=1"),
+             ("<meta content='0;URL=http://x.org/3' http-equiv=Refresh />", "http://x.org/3"),
+             ('<meta http-equiv="refresh" content="0; url=\'http://x.org/4\'">', "http://x.org/4"),
+             ("<link rel='nofollow canonical' title='a > b' href='/es/q'>", "http://c.org/es/q"), ("<link rel=canonical href=d/./e>", "http://c.org/a/d/e"),
+             ("<link rel=canonical href='../../up?x=a/../b'>", "http://c.org/up?x=a/../b"), ("<link rel=canonical href='//y.org/z'>", "http://y.org/z"),
+             ("<link rel=canonical href='?p=2'>", "http://c.org/a/b?p=2"), ("<link rel=canonical href='http://x.org/?a&amp;b'>", "http://x.org/?a&b"),
+             ("<base href='/deep/er/'><link rel=canonical href=f>", "http://c.org/deep/er/f"),
+             ("<link rel=stylesheet href=/s.css title='rel=canonical'>", None), ("<link rel=canonical href='mailto:canonical@x'>", None),
+             ("<meta name=refresh content='0; url=http://x.org/5'>", None), ("<link rel=canonical href=''>", None)]
+    pages = spark.createDataFrame([(base + f"#{k}", "<p>canonical</p>" + html) for k, (html, _) in enumerate(cases)], "url string, html string")
+    got = {(r["source"], r["target"]) for r in url_filter.page_edges(pages).collect()}
+    assert got == {(base + f"#{k}", target) for k, (_, target) in enumerate(cases) if target}
+    # Every link of a page counts, not the first of its kind.
+    two = spark.createDataFrame([("http://c.org", "".join(f"<link rel=canonical href={k}>" for k in "de"))], "url string, html string")
+    assert sorted(r["target"] for r in url_filter.page_edges(two).collect()) == ["http://c.org/d", "http://c.org/e"]
+
+
 def test_rules_and_groups(spark):
     pages = [(1, "http://A.example.com/en/1", None), (2, "https://www.example.com/en/1", ""), (3, "http://b.org/x", "<link href='u'>"),
              (4, "http://c.org/y", '<link rel="canonical" href="http://b.org/x"><p>'), (5, "http://b.net/es/q?utm_source=f", None), (6, None, "x"),
