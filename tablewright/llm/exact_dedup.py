@@ -19,6 +19,9 @@ WORDS = BLOCK_BITS // 64
 #: Rows that one filter serves. It has at most 2 * SLICE_ROWS * ROW_BITS / BLOCK_BITS blocks of some 100 bytes
 #: (0.4 GB), which is the bound of what is broadcast at a time; larger tables are filtered in slices of the hashes.
 SLICE_ROWS = 1 << 26
+#: Groups of copies with a share of 1 / HEAVY_GROUPS of all rows, and HEAVY_ROWS at least, are broadcast; that many exist at most.
+HEAVY_GROUPS = 10_000
+HEAVY_ROWS = 64
 
 
 def squeezed(text: Column) -> Column:
@@ -65,8 +68,8 @@ def may_repeat(rows: DataFrame, bits: DataFrame, blocks: int) -> DataFrame:
     return looked.withColumn("possible", F.coalesce(held[0] & held[1], F.lit(False))).drop("block", *[f"w{j}" for j in range(WORDS)])
 
 
-def _judge(marks: DataFrame, rows: int) -> DataFrame:
-    """Verdicts on one slice of the written marks."""
+def _judge(marks: DataFrame, rows: int, total: int) -> DataFrame:
+    """Verdicts on one slice of the written marks, of ``total`` rows in all slices."""
     blocks = _blocks(rows)
     marks = may_repeat(marks, repeated_bits(marks.select("h"), blocks), blocks)
     possible = marks.where("possible")
@@ -74,10 +77,16 @@ def _judge(marks: DataFrame, rows: int) -> DataFrame:
     order = F.struct(-F.col("n_chars"), F.col("doc_id").isNull(), "doc_id", "row")
     groups = possible.groupBy("digest").agg(F.count(F.lit(1)).alias("size"), F.min(order).alias("best")).where(
         "size > 1").select("digest", "size", F.col("best.doc_id").alias("best_id"), F.col("best.row").alias("best_row"))
+    # Rows of a large group look it up where they are: there are at most HEAVY_GROUPS of that size. Others meet by digest.
+    heavy = F.col("size") >= max(HEAVY_ROWS, total // HEAVY_GROUPS)
+    large = groups.where(heavy).select("digest", *[F.col(c).alias(f"large_{c}") for c in ("size", "best_id", "best_row")])
+    possible = possible.join(F.broadcast(large), "digest", "left")
+    of_large = possible.where("large_size IS NOT NULL").select(
+        "doc_id", F.col("large_best_id"), F.col("large_size"), F.col("row") == F.col("large_best_row"), "digest")
     found = F.col("size").isNotNull()
     passed = marks.where("NOT possible").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "digest")
-    return passed.union(possible.join(groups, "digest", "left").select(
+    return passed.union(of_large).union(possible.where("large_size IS NULL").join(groups.where(~heavy), "digest", "left").select(
         "doc_id", F.when(found, F.col("best_id")).otherwise(F.col("doc_id")), F.coalesce("size", F.lit(1)),
         ~found | (F.col("row") == F.col("best_row")), "digest"))
 
@@ -106,7 +115,7 @@ def find_copies(docs: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     (marks.write.partitionBy("slice") if slices > 1 else marks.write).parquet(path)
     marks = docs.sparkSession.read.schema(marks.schema).parquet(path)
     # Distinct hashes spread evenly; copies fill one slice more than others, but not its filter.
-    parts = [_judge(marks.where(F.col("slice") == k), -(-total // slices)) for k in range(slices)]
+    parts = [_judge(marks.where(F.col("slice") == k), -(-total // slices), total) for k in range(slices)]
     return reduce(DataFrame.union, parts).select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
