@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +17,6 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MIRROR_HOST = r"^(www|m)\."
 PAGE_SUFFIX = r"(/|\.html)$"
 TRACKING = r"(^|&)(utm_[a-z]+|ref|fbclid|gclid)=[^&]*"
-CANONICAL = r"""(?i)<link[^>]*rel=["']?canonical["']?[^>]*href=["']([^"']+)["']"""
-REFRESH = r"""(?i)<meta[^>]*http-equiv=["']?refresh["']?[^>]*content=["'][^"'>]*url=([^"'>]+)["']"""
 
 #: Whole tags (a ">" in quotes does not end one), and an attribute: name, then value with its quotes.
 TAGS = r"""(?is)<(?:link|meta|base)(?=[\s/])(?:[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+>|[^>]*+>)"""
@@ -72,34 +70,60 @@ def match_rules(addresses: DataFrame, rules: DataFrame) -> DataFrame:
     return best.select("url", "host", "path", "key", "best.rule", "best.action")
 
 
-def _attribute(tag: Column, name: str) -> Column:
-    """Value of a tag's first attribute of that name, without quotes; NULL without one."""
-    names = F.transform(F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(1)), F.lower)
-    values = F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(2))
-    found = F.get(values, (F.array_position(names, name) - 1).cast("int"))
-    return F.trim(F.regexp_replace(F.regexp_replace(found, r"""(?s)^(["'])(.*)\1$""", "$2"), "&amp;", "&"))
+def _bound(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is worked out once, however often ``then`` names it.
+
+    A column that is named twice becomes two copies of its expression when the optimizer merges
+    projections; the variable of a lambda function stays one.
+    """
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _tag(tag: Column) -> Column:
+    """Kind of a tag and its first rel, href, http-equiv (event) and content, without quotes; NULL where it has none."""
+    pairs = F.struct(F.transform(F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(1)), F.lower).alias("names"),
+                     F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(2)).alias("values"))
+
+    def value(read: Column, name: str) -> Column:
+        found = F.get(read["values"], (F.array_position(read["names"], name) - 1).cast("int"))
+        return F.trim(F.regexp_replace(F.regexp_replace(found, r"""(?s)^(["'])(.*)\1$""", "$2"), "&amp;", "&"))
+
+    return _bound(pairs, lambda read: F.struct(F.lower(F.substring(tag, 2, 4)).alias("kind"), *[
+        value(read, name).alias(to) for name, to in (("rel", "rel"), ("href", "href"), ("http-equiv", "event"), ("content", "content"))]))
 
 
 def _resolved(target: Column, base: Column) -> Column:
     """A target as an address: relative ones from scheme, host and path of ``base``; NULL if that names none."""
-    target = F.regexp_replace(target, r"[\t\r\n]", "")
-    scheme, host = F.regexp_extract(base, r"^([^/?#]*):", 1), F.regexp_extract(base, r"^([^/?#]*://[^/?#]*)", 1)
-    path = F.regexp_extract(base, r"^[^/?#]*://[^/?#]*([^?#]*)", 1)
-    folder = F.concat(host, F.regexp_extract(path, r"(?s)^(.*/)?", 1), F.when(path == "", "/").otherwise(""))
-    whole = F.when(F.length(target) == 0, None).when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), target).when(
-        host == "", None).when(F.startswith(target, F.lit("//")), F.concat(scheme, F.lit(":"), target)).when(
-        F.startswith(target, F.lit("/")), F.concat(host, target)).when(
-        F.startswith(target, F.lit("?")), F.concat(host, path, target)).when(
-        F.startswith(target, F.lit("#")), F.concat(F.regexp_extract(base, r"^([^#]*)", 1), target)).otherwise(F.concat(folder, target))
-    # "." and ".." in the path; the first element is empty, as the path begins with "/".
-    steps = F.split(F.regexp_extract(whole, r"^[^/?#]*://[^/?#]*([^?#]*)", 1), "/")
-    walked = F.aggregate(steps, F.array().cast("array<string>"), lambda at, step: F.when(step == ".", at).when(
-        step == "..", F.slice(at, 1, F.greatest(F.lit(1), F.size(at) - 1))).otherwise(F.concat(at, F.array(step))))
-    closed = F.when(F.element_at(steps, -1).isin(".", ".."), F.concat(walked, F.array(F.lit("")))).otherwise(walked)
-    plain = F.concat(F.regexp_extract(whole, r"^([^/?#]*://[^/?#]*)", 1), F.array_join(closed, "/"),
-                     F.regexp_extract(whole, r"(?s)^[^?#]*(.*)", 1))
-    dotted = F.exists(steps, lambda step: step.isin(".", ".."))
-    return F.when(whole.contains("://"), F.when(dotted, plain).otherwise(whole))
+    parts = F.struct(F.regexp_replace(target, r"[\t\r\n]", "").alias("to"), base.alias("base"), F.regexp_extract(base, r"^([^/?#]*):", 1).alias("scheme"),
+                     F.regexp_extract(base, r"^([^/?#]*://[^/?#]*)", 1).alias("host"), F.regexp_extract(base, r"^[^/?#]*://[^/?#]*([^?#]*)", 1).alias("path"))
+
+    def whole(p: Column) -> Column:
+        to = p["to"]
+        folder = F.concat(p["host"], F.regexp_extract(p["path"], r"(?s)^(.*/)?", 1), F.when(p["path"] == "", "/").otherwise(""))
+        return F.when(F.length(to) == 0, None).when(to.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), to).when(p["host"] == "", None).when(
+            F.startswith(to, F.lit("//")), F.concat(p["scheme"], F.lit(":"), to)).when(F.startswith(to, F.lit("/")), F.concat(p["host"], to)).when(
+            F.startswith(to, F.lit("?")), F.concat(p["host"], p["path"], to)).when(
+            F.startswith(to, F.lit("#")), F.concat(F.regexp_extract(p["base"], r"^([^#]*)", 1), to)).otherwise(F.concat(folder, to))
+
+    def plain(p: Column) -> Column:
+        """The address without "." and ".." in its path, whose first step is empty, as it begins with "/"."""
+        steps = p["steps"]
+        walked = F.aggregate(steps, F.array().cast("array<string>"), lambda at, step: F.when(step == ".", at).when(
+            step == "..", F.slice(at, 1, F.greatest(F.lit(1), F.size(at) - 1))).otherwise(F.concat(at, F.array(step))))
+        closing = F.when(F.element_at(steps, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+        joined = F.concat(F.regexp_extract(p["whole"], r"^([^/?#]*://[^/?#]*)", 1), F.array_join(F.concat(walked, closing), "/"),
+                          F.regexp_extract(p["whole"], r"(?s)^[^?#]*(.*)", 1))
+        return F.when(p["whole"].contains("://"), F.when(F.exists(steps, lambda step: step.isin(".", "..")), joined).otherwise(p["whole"]))
+
+    return _bound(parts, lambda p: _bound(whole(p), lambda w: _bound(F.struct(
+        w.alias("whole"), F.split(F.regexp_extract(w, r"^[^/?#]*://[^/?#]*([^?#]*)", 1), "/").alias("steps")), plain)))
+
+
+def _named(tag: Column) -> Column:
+    """What a tag's canonical link or refresh names, as it is written; else NULL."""
+    later = F.concat(*[F.regexp_extract(tag["content"], REFRESH_URL, k) for k in (1, 2, 3)])
+    return F.when((tag["kind"] == "link") & F.array_contains(F.split(F.lower(tag["rel"]), r"\s+"), "canonical"), tag["href"]).when(
+        (tag["kind"] == "meta") & (F.lower(tag["event"]) == "refresh"), F.trim(later))
 
 
 def page_edges(pages: DataFrame) -> DataFrame:
@@ -110,32 +134,32 @@ def page_edges(pages: DataFrame) -> DataFrame:
     """
     marked = pages.select("url", "html").where(
         "url IS NOT NULL").where(F.lower("html").contains("canonical") | F.lower("html").contains("refresh"))
-    read = F.transform(F.regexp_extract_all("html", F.lit(TAGS), F.lit(0)), lambda tag: F.struct(
-        F.lower(F.substring(tag, 2, 4)).alias("kind"), *[_attribute(tag, a).alias(k) for a, k in (
-            ("rel", "rel"), ("href", "href"), ("http-equiv", "event"), ("content", "content"))]))
-    tags = marked.select("url", read.alias("tags"))
-    of_base = F.get(F.filter("tags", lambda t: (t["kind"] == "base") & t["href"].isNotNull()), F.lit(0))["href"]
-    tags = tags.select("url", F.coalesce(_resolved(of_base, F.col("url")), F.col("url")).alias("base"), F.explode("tags").alias("tag"))
-    later = F.concat(*[F.regexp_extract("tag.content", REFRESH_URL, k) for k in (1, 2, 3)])
-    target = F.when((F.col("tag.kind") == "link") & F.array_contains(F.split(F.lower("tag.rel"), r"\s+"), "canonical"), F.col("tag.href")).when(
-        (F.col("tag.kind") == "meta") & (F.lower("tag.event") == "refresh"), F.trim(later))
-    found = tags.select("url", "base", target.alias("found")).where("found IS NOT NULL")
-    return found.select(F.col("url").alias("source"), _resolved(F.col("found"), F.col("base")).alias("target")).where("target IS NOT NULL")
+
+    def targets(tags: Column) -> Column:
+        """Addresses that a page's tags name."""
+        of_base = F.get(F.filter(tags, lambda t: (t["kind"] == "base") & t["href"].isNotNull()), F.lit(0))["href"]
+        return _bound(F.coalesce(_resolved(of_base, F.col("url")), F.col("url")), lambda base: F.transform(
+            F.filter(F.transform(tags, _named), lambda name: name.isNotNull()), lambda name: _resolved(name, base)))
+
+    read = F.transform(F.regexp_extract_all("html", F.lit(TAGS), F.lit(0)), _tag)
+    # The outer form keeps Spark from testing the whole expression once more in a filter before it.
+    found = marked.select(F.col("url").alias("source"), F.explode_outer(_bound(read, targets)).alias("target"))
+    return found.where("target IS NOT NULL")
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None = None,
                default: str = "allow") -> DataFrame:
     """Per page: page_id, url, host, path, rule, action, verdict.
 
-    A rule that fits decides. Pages without one follow their group: addresses with one canonical
-    form, joined by canonical links and refresh redirects in the HTML and by ``redirects``
-    (source, target), in either direction. A group in which a rule blocks an address is blocked,
-    unless a rule explicitly allows one of its addresses; a group without rules gets ``default``.
-    Targets that are no pages count with their rules.
+    A rule that fits decides. Pages without one follow their group: a connected component of the graph
+    of addresses, whose edges are canonical links and refresh redirects in the HTML, ``redirects``
+    (source, target), and each address with its canonical form, in either direction. A group in which a
+    rule blocks an address is blocked, unless a rule explicitly allows one of its addresses; a group
+    without rules gets ``default``. Targets that are no pages count with their rules.
 
-    Works on distinct addresses, so a hot address is judged once; groups of one canonical form
-    are an aggregation, only explicit links need rounds of joins. NULL addresses have empty host
-    and path, no rule and no group. Repeated rows are all kept.
+    Works on distinct addresses, so a hot address is judged once. Addresses that share their form with no
+    other and have no link stay out of the graph. NULL addresses have empty host and path, no rule and no
+    group. Repeated rows are all kept; other columns are ignored; an empty table gives no row.
     """
     pages = pages.select("page_id", F.col("url").cast("string"), F.col("html").cast("string"))
     edges = page_edges(pages)
@@ -145,20 +169,15 @@ def judge_urls(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None =
     ends = edges.select(F.col("source").alias("url")).union(edges.select(F.col("target").alias("url")))
     urls = pages.select("url").where("url IS NOT NULL").union(ends).distinct()
     judged = materialize(match_rules(with_address(urls), rules), "url-rules")
-    keys = judged.select("url", "key")
-    links = (edges.join(keys.select(F.col("url").alias("source"), F.col("key").alias("a")), "source")
-             .join(keys.select(F.col("url").alias("target"), F.col("key").alias("b")), "target").select("a", "b"))
-    groups = components(links) if not edges.isEmpty() else None
-    ruled = judged.where("action IS NOT NULL").groupBy("key").agg(
+    # Nodes are addresses and forms, told apart by their first letter.
+    forms = judged.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    address = F.concat(F.lit("a:"), F.col("url"))
+    links = judged.join(forms, "key").select(address.alias("a"), F.concat(F.lit("f:"), F.col("key")).alias("b")).union(
+        edges.select(*[F.concat(F.lit("a:"), F.col(c)) for c in ("source", "target")]))
+    groups = components(links)
+    judged = judged.withColumn("node", address).join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
+    by_group = judged.where("action IS NOT NULL").groupBy("group").agg(
         F.bool_or(F.col("action") == "block").alias("blocked"), F.bool_or(F.col("action") == "allow").alias("allowed"))
-    if groups is not None:
-        # Group verdicts: keys without links are their own group.
-        group = F.coalesce("component", "key")
-        by_group = ruled.join(groups.withColumnRenamed("node", "key"), "key", "left").groupBy(group.alias("group")).agg(
-            F.bool_or("blocked").alias("blocked"), F.bool_or("allowed").alias("allowed"))
-        judged = judged.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("group", group)
-    else:
-        by_group, judged = ruled.withColumnRenamed("key", "group"), judged.withColumn("group", F.col("key"))
     carried = F.when(F.col("blocked") & ~F.col("allowed"), "block").otherwise(default)
     verdicts = judged.join(by_group, "group", "left").select(
         "url", "host", "path", "rule", "action", F.coalesce("action", carried).alias("verdict"))
@@ -185,13 +204,50 @@ def _address_sql(source: str) -> str:
         FROM {source})"""
 
 
-_QUOTED = {"c": CANONICAL.replace("'", "''"), "r": REFRESH.replace("'", "''")}
+def _resolved_sql(target: str, base: str) -> str:
+    """The address that a target names from a base, as one expression."""
+    plain = f"regexp_replace({target}, '[\\t\\r\\n]', '', 'g')"
+    origin = f"regexp_extract({base}, '^[^/?#]*://[^/?#]*')"
+    path = f"regexp_extract({base}, '^[^/?#]*://[^/?#]*([^?#]*)', 1)"
+    whole = f"""CASE WHEN {plain} = '' THEN NULL WHEN regexp_matches({plain}, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN {plain}
+      WHEN {origin} = '' THEN NULL WHEN starts_with({plain}, '//') THEN regexp_extract({base}, '^[^/?#]*:') || {plain}
+      WHEN starts_with({plain}, '/') THEN {origin} || {plain} WHEN starts_with({plain}, '?') THEN {origin} || {path} || {plain}
+      WHEN starts_with({plain}, '#') THEN regexp_extract({base}, '^[^#]*') || {plain}
+      ELSE {origin} || CASE WHEN {path} = '' THEN '/' ELSE regexp_extract({path}, '(?s)^(.*/)?') END || {plain} END"""
+    return f"""(SELECT CASE WHEN strpos(w, '://') = 0 THEN NULL WHEN NOT list_has_any(steps, ['.', '..']) THEN w
+      ELSE regexp_extract(w, '^[^/?#]*://[^/?#]*') || list_reduce(list_prepend('', steps[2:]), lambda x, y: CASE y
+             WHEN '.' THEN x WHEN '..' THEN regexp_replace(x, '/[^/]*$', '') ELSE x || '/' || y END)
+           || CASE WHEN steps[-1] IN ('.', '..') THEN '/' ELSE '' END || regexp_extract(w, '^[^?#]*((?s).*)', 1) END
+    FROM (SELECT w, string_split(regexp_extract(w, '^[^/?#]*://[^/?#]*([^?#]*)', 1), '/') AS steps FROM (SELECT {whole} AS w)))"""
+
+
+def _value_sql(name: str) -> str:
+    return f"""trim(replace(regexp_replace(list_extract(vals, list_position(names, '{name}')), '^("(.*)"|''(.*)'')$', '\\2\\3', 's'), '&amp;', '&'))"""
+
+
+_ATTRIBUTE = ATTRIBUTE.replace("'", "''")
 OP9_SQL = f"""
-WITH RECURSIVE edges AS (
-  SELECT DISTINCT url AS source, target
-  FROM (SELECT url, unnest([regexp_extract(html, '{_QUOTED["c"]}', 1), regexp_extract(html, '{_QUOTED["r"]}', 1)]) AS target
-        FROM pages)
-  WHERE url IS NOT NULL AND target LIKE '%://%'),
+WITH RECURSIVE tags AS (
+  SELECT page, url, row_number() OVER () AS place, tag FROM (
+    SELECT page, url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta|base)[\\s/](?:(?:[^>"'']|"[^"]*"|''[^'']*'')*>|[^>]*>)')) AS tag
+    FROM (SELECT row_number() OVER () AS page, url, html FROM pages)
+    WHERE url IS NOT NULL AND (contains(lower(html), 'canonical') OR contains(lower(html), 'refresh')))),
+read AS (
+  SELECT page, url, place, lower(tag[2:5]) AS kind, {_value_sql("rel")} AS rel, {_value_sql("href")} AS href,
+         {_value_sql("http-equiv")} AS event, {_value_sql("content")} AS content
+  FROM (SELECT *, list_transform(regexp_extract_all(tag, '{_ATTRIBUTE}', 1), lambda n: lower(n)) AS names,
+               regexp_extract_all(tag, '{_ATTRIBUTE}', 2) AS vals FROM tags)),
+based AS (
+  SELECT page, url, coalesce({_resolved_sql("href", "url")}, url) AS base
+  FROM (SELECT page, url, arg_min(href, place) FILTER (kind = 'base' AND href IS NOT NULL) AS href FROM read GROUP BY page, url)),
+named AS (
+  SELECT page, href AS name FROM read WHERE kind = 'link' AND list_contains(string_split_regex(lower(rel), '\\s+'), 'canonical') AND href IS NOT NULL
+  UNION ALL
+  SELECT page, trim(concat({", ".join(f"regexp_extract(content, '{REFRESH_URL.replace(chr(39), chr(39) * 2)}', {k})" for k in (1, 2, 3))}))
+  FROM read WHERE kind = 'meta' AND lower(event) = 'refresh' AND content IS NOT NULL),
+edges AS (
+  SELECT DISTINCT source, target FROM (SELECT b.url AS source, {_resolved_sql("n.name", "b.base")} AS target FROM named n JOIN based b ON b.page = n.page)
+  WHERE target IS NOT NULL),
 urls AS (SELECT url FROM pages WHERE url IS NOT NULL UNION SELECT source FROM edges UNION SELECT target FROM edges),
 addressed AS ({_address_sql("urls")}),
 rules(rule_host, rule_path, action) AS (VALUES {", ".join(str(r) for r in PAGE_RULES)}),
@@ -202,17 +258,16 @@ judged AS (
     FROM addressed a LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
   WHERE place = 1),
 links AS (
-  SELECT s.key AS a, t.key AS b FROM edges JOIN judged s ON s.url = source JOIN judged t ON t.url = target),
-reach(key, other) AS (
-  SELECT DISTINCT key, key FROM judged
-  UNION
-  SELECT r.key, l.b FROM reach r JOIN (SELECT a, b FROM links UNION SELECT b, a FROM links) l ON l.a = r.other),
+  SELECT source AS a, target AS b FROM edges UNION SELECT target, source FROM edges
+  UNION SELECT x.url, y.url FROM judged x JOIN judged y ON x.key = y.key AND x.url <> y.url),
+reach(url, other) AS (
+  SELECT url, url FROM judged UNION SELECT r.url, l.b FROM reach r JOIN links l ON l.a = r.other),
 carried AS (
-  SELECT r.key, bool_or(action = 'block') AND NOT bool_or(action = 'allow') AS blocked
-  FROM reach r JOIN judged j ON j.key = r.other WHERE action IS NOT NULL GROUP BY r.key)
+  SELECT r.url, bool_or(action = 'block') AND NOT bool_or(action = 'allow') AS blocked
+  FROM reach r JOIN judged j ON j.url = r.other WHERE action IS NOT NULL GROUP BY r.url)
 SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
        coalesce(action, CASE WHEN blocked THEN 'block' END, 'allow') AS verdict
-FROM pages p LEFT JOIN judged j ON p.url = j.url LEFT JOIN carried c ON c.key = j.key
+FROM pages p LEFT JOIN judged j ON p.url = j.url LEFT JOIN carried c ON c.url = j.url
 """
 
 
