@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from ..functions.response import linear_predictor, total
 from ..functions.tails import t_quantile, t_two_sided
 from ..schema import number, quoted
+from . import tiles
+from .sweep import SweptSelection
 
 #: Up to this many columns the moments are built-in aggregates; beyond, Arrow batches. The
 #: number of pairs grows with the square, and past this point compiling the generated
@@ -56,11 +58,15 @@ class Moments:
         return bool(self.comoment[j, j] <= max(self.n, 1) * noise * noise)
 
 
-def moments(df: DataFrame, columns: Sequence[str]) -> Moments:
-    """Cross moments of the rows in which none of the columns is missing."""
+def moments(df: DataFrame, columns: Sequence[str], tile: int = tiles.TILE) -> Moments:
+    """Cross moments of the rows in which none of the columns is missing.
+
+    Many columns are worked off in tiles of ``tile`` of them each way, see ``tiles``: a task's memory and
+    what one task adds up do not grow with their square.
+    """
     columns = list(dict.fromkeys(columns))
-    reduce_rows = _moments_builtin if len(columns) <= NARROW_COLUMNS else _moments_arrow
-    n, total_rows, mean, comoment = reduce_rows(_numbered(df, columns))
+    values = _numbered(df, columns)
+    n, total_rows, mean, comoment = _moments_builtin(values) if len(columns) <= NARROW_COLUMNS else _moments_tiled(values, tile)
     return Moments(tuple(columns), n, total_rows - n, mean, comoment)
 
 
@@ -88,42 +94,15 @@ def _moments_builtin(values: DataFrame):
     return n, row["total"], mean, comoment
 
 
-def _centre(values: DataFrame) -> tuple[int, np.ndarray]:
-    """Row count and column means; the means only have to be near the data's middle."""
-    row = values.agg(F.count(F.lit(1)).alias("rows"), *[F.avg(c).alias(c) for c in values.columns]).first()
-    return row["rows"], np.array([row[c] or 0.0 for c in values.columns])
-
-
-def _moments_arrow(values: DataFrame):
-    """Means first, then matrix products of Arrow batches shifted by those means."""
-    total_rows, shift = _centre(values)
+def _moments_tiled(values: DataFrame, tile: int):
+    """Means first, then matrix products of Arrow batches shifted by those means, tile by tile."""
+    total_rows, shift = tiles.column_means(values)
     size = len(shift)
-
-    def kernel(batches):
-        import numpy as np
-        import pyarrow as pa
-        upper = np.triu_indices(size + 1)
-        held = None
-        for batch in batches:
-            x = np.ones((batch.num_rows, size + 1))
-            for i in range(size):
-                x[:, i + 1] = batch.column(i).to_numpy(zero_copy_only=False)
-            x[:, 1:] -= shift
-            missing = np.isnan(x).any(axis=1)
-            if missing.any():
-                x = x[~missing]
-            part = x.T @ x
-            held = part if held is None else held + part
-        if held is not None:
-            yield pa.RecordBatch.from_pydict({"cells": [held[upper]]})
-
-    cells = _sum_cells(values.mapInArrow(kernel, "cells array<double>"))
-    n = round(cells[0]) if cells.size else 0
+    full = tiles.assemble(tiles.complete_products(values, shift, tile), size + 1, tile)
+    n = 0 if full is None else round(full[0, 0, 0])
     if n == 0:
         return 0, total_rows, np.zeros(size), np.zeros((size, size))
-    full = np.zeros((size + 1, size + 1))
-    full[np.triu_indices(size + 1)] = cells
-    full = full + full.T - np.diag(np.diag(full))
+    full = tiles.mirrored(full[0], full[0])
     slip = full[0, 1:] / n
     return n, total_rows, shift + slip, full[1:, 1:] - n * np.outer(slip, slip)
 
@@ -141,8 +120,8 @@ def _sum_cells(partials: DataFrame) -> np.ndarray:
     return total_.toArray() if total_ is not None else np.zeros(0)
 
 
-def pairwise_correlation(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
-    """Pearson matrix, each cell over the rows in which its two columns are present."""
+def pairwise_correlation(df: DataFrame, columns: Sequence[str], tile: int = tiles.TILE) -> np.ndarray:
+    """Pearson matrix, each cell over the rows in which its two columns are present; wide tables in tiles."""
     size = len(columns)
     values = _numbered(df, columns)
     if size <= NARROW_PAIRS:
@@ -157,29 +136,12 @@ def pairwise_correlation(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
             r = row[f"r{i}_{j}"]
             matrix[i, j] = matrix[j, i] = np.nan if r is None else r
         return np.clip(matrix, -1.0, 1.0)
-    _, shift = _centre(values)
-
-    def kernel(batches):
-        import numpy as np
-        import pyarrow as pa
-        held = None
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False)
-                                 for i in range(size)]).astype(float) - shift
-            here = ~np.isnan(x)
-            x[~here] = 0.0
-            mask = here.astype(float)
-            part = np.stack([mask.T @ mask, x.T @ mask, (x * x).T @ mask, x.T @ x])
-            held = part if held is None else held + part
-        if held is not None:
-            yield pa.RecordBatch.from_pydict({"cells": [held.ravel()]})
-
-    cells = _sum_cells(values.mapInArrow(kernel, "cells array<double>"))
-    if cells.size == 0:
+    _, shift = tiles.column_means(values)
+    found = tiles.assemble(tiles.pairwise_products(values, shift, tile), size, tile, len(tiles.PAIR_LAYERS))
+    if found is None:
         return np.full((size, size), np.nan)
-    both, sums, squares, products = cells.reshape(4, size, size)
+    layer = dict(zip(tiles.PAIR_LAYERS, found))
+    both, sums, squares, products = (tiles.mirrored(layer[a], layer[b]) for a, b in (("count", "count"), ("a", "b"), ("aa", "bb"), ("ab", "ab")))
     with np.errstate(divide="ignore", invalid="ignore"):
         covariance = products - sums * sums.T / both
         spread = squares - sums * sums / both
@@ -280,86 +242,38 @@ def fit(found: Moments, target: str, features: Sequence[str]) -> LinearModel:
 def stepwise(found: Moments, target: str, candidates: Sequence[str], *,
              initial: Sequence[str] = (), threshold_in: float = 0.05,
              threshold_out: float = 0.1) -> list[str]:
-    """Forward-backward selection by p-value; no pass over the table.
+    """Forward-backward selection by p-value; no pass over the table, one sweep a step.
 
     Each round adds the outside column with the least p-value under ``threshold_in``, then
     removes the inside column with the greatest one over ``threshold_out``, until neither happens. Equal
-    p-values go to the larger t, then to column order. A set that comes back is an error.
+    p-values go to column order. A set that comes back is an error.
     """
     if threshold_in >= threshold_out:
         raise ValueError("threshold_in must be below threshold_out, or selection may not end")
-    pool = [c for c in dict.fromkeys(candidates) if c != target and not found.constant(c)]
-    chosen = list(initial)
-    seen: set[frozenset[str]] = set()
+    names = [c for c in dict.fromkeys([*candidates, *initial]) if c != target]
+    ix = found.index([*names, target])
+    state = SweptSelection(found.comoment[np.ix_(ix, ix)], found.mean[ix], found.n)
+    pool = [j for j, c in enumerate(names) if c in set(candidates) and not found.constant(c)]
+    for c in initial:
+        state.enter(names.index(c))
+    seen: set[frozenset[int]] = set()
     while True:
         # The next round depends on the set alone: one that comes back comes back for ever.
-        if frozenset(chosen) in seen:
-            raise ValueError(f"selection goes round: {sorted(chosen)} came up again")
-        seen.add(frozenset(chosen))
-        changed = False
-        outside = [c for c in pool if c not in chosen]
-        best = _best_addition(found, target, chosen, outside) if outside else None
+        if frozenset(state.chosen) in seen:
+            raise ValueError(f"selection goes round: {sorted(names[j] for j in state.chosen)} came up again")
+        seen.add(frozenset(state.chosen))
+        changed, inside = False, set(state.chosen)
+        best = state.best_outside([j for j in pool if j not in inside])
         if best and best[0] < threshold_in:
-            chosen.append(best[1])
+            state.enter(best[1])
+            changed = True
+        worst = state.worst_inside()
+        if worst and worst[0] > threshold_out:
+            state.leave(worst[1])
             changed = True
-        if chosen:
-            p = fit(found, target, chosen).p_values()[1:]
-            p = np.where(np.isnan(p), -np.inf, p)
-            worst = int(p.argmax())
-            if p[worst] > threshold_out:
-                chosen.pop(worst)
-                changed = True
         if not changed:
             break
-    return chosen
-
-
-def _best_addition(found: Moments, target: str, chosen: Sequence[str],
-                   outside: Sequence[str]) -> tuple[float, str] | None:
-    """Least p-value any single outside column would have next to the chosen ones.
-
-    Columns that add a new direction share one projection (what the chosen columns leave of
-    each of them); a column the chosen ones already span is fitted on its own.
-    """
-    ix, io, iy = found.index(chosen), found.index(outside), found.columns.index(target)
-    scale = np.sqrt(np.diag(found.comoment))
-    scale[scale == 0] = 1.0
-    corr = found.comoment / np.outer(scale, scale)
-    if ix:
-        eigenvalues, vectors = np.linalg.eigh(corr[np.ix_(ix, ix)])
-        used = eigenvalues > RANK_TOLERANCE * eigenvalues.max()
-        inverse = (vectors[:, used] / eigenvalues[used]) @ vectors[:, used].T
-        reach = corr[np.ix_(io, ix)]
-        left = 1.0 - np.einsum("ij,jk,ik->i", reach, inverse, reach)
-        with_y = corr[io, iy] - reach @ inverse @ corr[ix, iy]
-        rest = corr[iy, iy] - corr[iy, ix] @ inverse @ corr[ix, iy]
-        rank = int(used.sum()) + 1
-    else:
-        left, with_y, rest, rank = np.ones(len(io)), corr[io, iy], corr[iy, iy], 1
-    df_resid = found.n - rank - 1
-    ranked: list[tuple[float, float, int]] = []
-    for j in range(len(io)):
-        if left[j] > RANK_TOLERANCE * 10:
-            if df_resid <= 0:
-                continue
-            gain = with_y[j] ** 2 / left[j]
-            remaining = max(rest - gain, 0.0) / df_resid
-            t = math.inf if remaining == 0 else math.sqrt(gain / remaining)
-            ranked.append((math.nan, -t, j))
-        else:
-            model = fit(found, target, [*chosen, outside[j]])
-            t, p = float(abs(model.t_values()[-1])), float(model.p_values()[-1])
-            if not math.isnan(p):
-                ranked.append((p, -t, j))
-    # Among columns sharing the degrees of freedom only the largest t can have the least p.
-    fresh = min((r for r in ranked if math.isnan(r[0])), key=lambda r: r[1:], default=None)
-    final = [r for r in ranked if not math.isnan(r[0])]
-    if fresh:
-        final.append((t_two_sided(fresh[1], df_resid), *fresh[1:]))
-    if not final:
-        return None
-    p, _, j = min(final)
-    return p, outside[j]
+    return [names[j] for j in state.chosen]
 
 
 def train(found: Moments, target: str, candidates: Sequence[str], *, select: bool = True,
