@@ -13,7 +13,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,7 +86,7 @@ def kmeans_fit(df: DataFrame, columns: Sequence[str], k: int = 3, *, seed: int =
     keep a NULL cluster.
     """
     width = _width(df, columns)
-    runs, n = _fit_runs(df, columns, width, [k] if start is not None else [k] * (1 if k == 1 else n_init),
+    runs, n, _ = _fit_runs(df, columns, width, [k] if start is not None else [k] * (1 if k == 1 else n_init),
                         None if start is None else [np.asarray(start, dtype=float)], seed, max_iter, tolerance)
     best = min(runs, key=lambda r: r.cost)
     point = _point(df, columns)
@@ -109,7 +109,7 @@ def kmeans_sweep(df: DataFrame, columns: Sequence[str], k_values: Sequence[int]
     """
     ks = [k for k in k_values for _ in range(1 if k == 1 or starts is not None else n_init)]
     given = None if starts is None else [np.asarray(starts[k], dtype=float) for k in ks]
-    runs, _ = _fit_runs(df, columns, _width(df, columns), ks, given, seed, max_iter, tolerance)
+    runs, _, _ = _fit_runs(df, columns, _width(df, columns), ks, given, seed, max_iter, tolerance)
     best: dict[int, _Run] = {}
     for run in runs:
         if run.k not in best or run.cost < best[run.k].cost:
@@ -118,22 +118,42 @@ def kmeans_sweep(df: DataFrame, columns: Sequence[str], k_values: Sequence[int]
         [(int(k), float(best[k].cost), best[k].converged) for k in k_values], "k int, inertia double, converged boolean")
 
 
+class _Work(NamedTuple):
+    """What a fit cost: passes to find starts, passes of updates, distances worked out and those a plain fit needs."""
+
+    seeding: int
+    passes: int
+    tested: int
+    plain: int
+
+
 def _fit_runs(df: DataFrame, columns: Sequence[str], width: int, ks: Sequence[int],
               starts: Sequence[np.ndarray] | None, seed: int, max_iter: int,
-              tolerance: float) -> tuple[list[_Run], int]:
-    """All runs to their end, and the number of complete rows."""
+              tolerance: float) -> tuple[list[_Run], int, _Work]:
+    """All runs to their end, the number of complete rows, and the work done.
+
+    Every point carries, for each run, its centre and by how much that was nearer than the next at some
+    earlier time. While the centres have moved less than that margin the point cannot change sides: it is
+    added to its centre's sum without a distance. When too few points are settled, the points are written
+    again with the margins of the present centres.
+    """
     point = _point(df, columns)
     points = df.select(F.when(_complete(point, width), point).alias("p")).where("p IS NOT NULL")
     points = materialize(points.select("p", F.xxhash64("p").alias("h")), "points")
     n, shift, spread = _moments(points, width)
     if n == 0:
         raise ValueError("No complete rows to cluster.")
-    centres = list(starts) if starts is not None else _spread_starts(points, ks, seed)
+    centres, seeding = (list(starts), 0) if starts is not None else _spread_starts(points, ks, seed)
     slack = tolerance * spread
     done: list[_Run | None] = [None] * len(ks)
     active = list(range(len(ks)))
+    margins: _Margins | None = None
+    table, since, passes, tested, plain = points.select("p"), 0, 0, 0, 0
     for step in range(max_iter + 1):
-        counts, sums, cost = _assignment_pass(points.select("p"), [centres[i] for i in active], shift)
+        counts, sums, cost, open_points = _assignment_pass(table, [centres[i] for i in active], shift, active, margins)
+        passes, since = passes + 1, since + 1
+        work = [int(o) * ks[i] for o, i in zip(open_points, active)]
+        tested, plain = tested + sum(work), plain + n * sum(ks[i] for i in active)
         moving, offset = [], 0
         for position, i in enumerate(active):
             part = slice(offset, offset + ks[i])
@@ -149,67 +169,156 @@ def _fit_runs(df: DataFrame, columns: Sequence[str], width: int, ks: Sequence[in
                 moving.append(i)
         if not moving:
             break
+        if step < max_iter and since >= MARGIN_PASSES and sum(work) > OPEN_SHARE * n * sum(ks[i] for i in active):
+            margins = _Margins(moving, [centres[i] for i in moving])
+            table = materialize(_with_margins(points.select("p"), margins, shift), "point-margins")
+            tested, since = tested + n * sum(ks[i] for i in moving), 0
         active = moving
-    return [run for run in done if run is not None], n
+    return [run for run in done if run is not None], n, _Work(seeding, passes, tested, plain)
 
 
 def _moments(points: DataFrame, width: int) -> tuple[int, np.ndarray, float]:
     """Number of points, their mean, and the mean of their variances."""
+    row = points.select("p").first()
+    if row is None:
+        return 0, np.zeros(width), 0.0
+    # Squares are of the distance to one of the points, or values far from zero would cancel.
+    origin = np.array(row["p"])
+
     def kernel(batches):
         import numpy as np
         import pyarrow as pa
         cells = np.zeros(1 + 2 * width)
         for batch in batches:
-            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, width)
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, width) - origin
             cells += np.concatenate([[len(x)], x.sum(axis=0), (x ** 2).sum(axis=0)])
         yield pa.RecordBatch.from_pydict({"cells": [cells]})
 
     cells = _sum_cells(points.select("p").mapInArrow(kernel, "cells array<double>"))
-    if not len(cells) or cells[0] == 0:
-        return 0, np.zeros(width), 0.0
     mean = cells[1:width + 1] / cells[0]
-    return int(cells[0]), mean, float(np.maximum(cells[width + 1:] / cells[0] - mean ** 2, 0).mean())
+    return int(cells[0]), origin + mean, float(np.maximum(cells[width + 1:] / cells[0] - mean ** 2, 0).mean())
+
+
+# --- starting centres
+
+#: Rounds of draws after the first centre, points drawn in each as a multiple of k, and sums kept apart while they meet.
+SEED_ROUNDS = 4
+SEED_SHARE = 2
+SEED_GROUPS = 64
 
 
-def _spread_starts(points: DataFrame, ks: Sequence[int], seed: int) -> list[np.ndarray]:
-    """Starting centres of every run, drawn over all rows.
+def _spread_starts(points: DataFrame, ks: Sequence[int], seed: int) -> tuple[list[np.ndarray], int]:
+    """Starting centres of every run, drawn over all rows, and the passes that took.
 
-    Each further centre is drawn in proportion to the squared distance to the nearest one so far:
-    the row with the greatest log(u) / distance, where u is a uniform number made of the row's
-    content, the run and the step. That is one pass per step for all runs, gives one row per
-    run, and does not depend on the partitions. Equal rows count once in a draw.
+    One point, then ``SEED_ROUNDS`` times ``SEED_SHARE`` k points at once, each drawn in proportion to its
+    squared distance to the nearest one so far: the rows with the greatest log(u) / distance, where u is
+    a uniform number made of the row's content, the run and the round. A last pass counts the rows
+    nearest to each drawn point, and k of these weighted points become the starts. That are six passes
+    for all runs and any k, and what comes to the driver is a multiple of k. It does not depend on the
+    partitions, and equal rows count once in a draw.
     """
-    chosen: list[list[np.ndarray]] = [[] for _ in ks]
-    for step in range(max(ks)):
-        runs = [(i, np.array(chosen[i])) for i, k in enumerate(ks) if k > step]
-
-        def kernel(batches, runs=runs, step=step):
-            import numpy as np
-            import pyarrow as pa
-            best: dict[int, tuple[float, list[float]]] = {}
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-                h = batch.column(1).to_numpy().astype(np.uint64)
-                for i, centres in runs:
-                    u = _uniform(h, (seed * 1_000_003 + i) * 1_009 + step)
-                    key = np.log(u)
-                    if step:
-                        gap = ((x[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2).min(axis=1)
-                        with np.errstate(divide="ignore", over="ignore"):
-                            key = np.where(gap > 0, np.maximum(key / gap, -1e299), -1e300 * (2 - u))
-                    at = int(key.argmax())
-                    if i not in best or (key[at], x[at].tolist()) > best[i]:
-                        best[i] = float(key[at]), x[at].tolist()
-            yield pa.RecordBatch.from_pydict({"run": pa.array(list(best), pa.int32()), "key": pa.array([v[0] for v in best.values()], pa.float64()),
-                                              "p": pa.array([v[1] for v in best.values()], pa.list_(pa.float64()))})
-
-        drawn = (points.mapInArrow(kernel, "run int, key double, p array<double>")
-                 .groupBy("run").agg(F.max(F.struct("key", "p")).alias("best")))
-        for row in drawn.collect():
-            chosen[row["run"]].append(np.array(row["best"]["p"]))
-    return [np.array(c) for c in chosen]
+    drawn: list[np.ndarray] = _draw(points, [np.zeros((0, 0))] * len(ks), [1] * len(ks), seed, 0)
+    wide = [i for i, k in enumerate(ks) if k > 1]
+    passes = 1
+    for step in range(1, SEED_ROUNDS + 1 if wide else 0):
+        new = _draw(points, [drawn[i] for i in wide], [SEED_SHARE * ks[i] for i in wide], seed, step, wide)
+        passes += 1
+        if not any(len(x) for x in new):
+            break
+        for i, x in zip(wide, new):
+            drawn[i] = np.vstack([drawn[i], x]) if len(x) else drawn[i]
+    if not wide:
+        return drawn, passes
+    counts, _, _, _ = _assignment_pass(points.select("p"), [drawn[i] for i in wide], drawn[0][0], wide, None)
+    edges = np.cumsum([0] + [len(drawn[i]) for i in wide])
+    starts = [x[:1] for x in drawn]
+    for i, low, high in zip(wide, edges[:-1], edges[1:]):
+        starts[i] = _reduce_weighted(drawn[i], counts[low:high], ks[i], np.random.default_rng([seed, i]))
+    return starts, passes + 1
+
+
+def _draw(points: DataFrame, so_far: Sequence[np.ndarray], wanted: Sequence[int], seed: int, step: int,
+          runs: Sequence[int] | None = None) -> list[np.ndarray]:
+    """The ``wanted`` points of each run with the greatest keys; fewer if fewer differ from those so far."""
+    runs = list(range(len(so_far))) if runs is None else list(runs)
+
+    def kernel(batches):
+        import numpy as np
+        import pyarrow as pa
+        best: dict[int, dict[bytes, tuple[float, np.ndarray]]] = {i: {} for i in runs}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            h = batch.column(1).to_numpy().astype(np.uint64)
+            for i, centres, most in zip(runs, so_far, wanted):
+                key = np.log(_uniform(h, (seed * 1_000_003 + i) * 1_009 + step))
+                usable = np.ones(len(x), bool)
+                if len(centres):
+                    gap = _nearest_gap(x, centres)
+                    usable = gap > 0
+                    with np.errstate(divide="ignore", over="ignore"):
+                        key = np.where(usable, np.maximum(key / gap, -1e299), -np.inf)
+                order = np.flatnonzero(usable)
+                if len(order) > 4 * most:
+                    order = order[np.argpartition(-key[order], 4 * most)[:4 * most]]
+                held = best[i]
+                for at in order[np.argsort(-key[order], kind="stable")].tolist():
+                    if len(held) >= most and key[at] < min(v[0] for v in held.values()):
+                        break
+                    held[x[at].tobytes()] = (float(key[at]), x[at])
+                    if len(held) > most:
+                        del held[min(held, key=lambda b: (held[b][0], b))]
+        rows = [(i, k, p) for i, held in best.items() for k, p in held.values()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.float64()),
+                                          pa.array([r[2] for r in rows], pa.list_(pa.float64()))], ["run", "key", "p"])
+
+    found = points.mapInArrow(kernel, "run int, key double, p array<double>").distinct()
+    most = max(wanted)
+    # First among a share of the tasks' points, then among what is left of each share.
+    for group in (["run", F.pmod(F.xxhash64("p"), F.lit(SEED_GROUPS))], ["run"]):
+        place = F.row_number().over(Window.partitionBy(*group).orderBy(F.desc("key"), F.desc("p")))
+        found = found.withColumn("place", place).where(F.col("place") <= most)
+    rows: dict[int, list] = {i: [] for i in runs}
+    for row in found.orderBy("run", "place").collect():
+        rows[row["run"]].append(row["p"])
+    return [np.array(rows[i][:m], dtype=float) if rows[i] else np.zeros((0, 0)) for i, m in zip(runs, wanted)]
+
+
+def _nearest_gap(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distance of every point to the nearest centre; exactly 0 for a point that is one."""
+    out = np.empty(len(x))
+    for at in range(0, len(x), 1024):
+        part = x[at:at + 1024] - centres[0]
+        moved = centres - centres[0]
+        gaps = (part ** 2).sum(axis=1)[:, None] + (moved ** 2).sum(axis=1) - 2.0 * (part @ moved.T)
+        nearest = gaps.argmin(axis=1)
+        out[at:at + 1024] = ((part - moved[nearest]) ** 2).sum(axis=1)
+    return out
+
+
+def _reduce_weighted(x: np.ndarray, weights: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 10) -> np.ndarray:
+    """k centres of weighted points: drawn apart from each other, then moved a few times; points repeat if there are too few."""
+    if len(x) <= k:
+        return x[np.arange(k) % len(x)]
+    chosen = [int(rng.choice(len(x), p=weights / weights.sum()))]
+    gap = ((x - x[chosen[0]]) ** 2).sum(axis=1)
+    for _ in range(k - 1):
+        share = weights * gap
+        total_ = share.sum()
+        # Only points without rows near them may be left: then the farthest of all.
+        at = int(rng.choice(len(x), p=share / total_)) if total_ > 0 else int(gap.argmax())
+        chosen.append(at)
+        gap = np.minimum(gap, ((x - x[at]) ** 2).sum(axis=1))
+    centres = x[chosen].copy()
+    for _ in range(rounds):
+        nearest = ((x[:, None, :] - centres) ** 2).sum(axis=2).argmin(axis=1) if x.size * k < 1 << 24 else np.array(
+            [((centres - row) ** 2).sum(axis=1).argmin() for row in x])
+        mass = np.bincount(nearest, weights, minlength=k)
+        moved = np.zeros_like(centres)
+        np.add.at(moved, nearest, x * weights[:, None])
+        centres[mass > 0] = moved[mass > 0] / mass[mass > 0, None]
+    return centres
 
 
 def _uniform(h: np.ndarray, salt: int) -> np.ndarray:
@@ -220,39 +329,102 @@ def _uniform(h: np.ndarray, salt: int) -> np.ndarray:
     return ((z ^ (z >> np.uint64(31))) >> np.uint64(12)).astype(float) / 2**52 + 2**-54
 
 
-def _assignment_pass(points: DataFrame, runs: Sequence[np.ndarray], shift: np.ndarray):
-    """Counts and sums per centre and cost per run, over the whole table in one pass."""
-    centres = np.vstack(runs) - shift
+# --- passes over the points
+
+#: Passes between two writings of margins, and the share of open distances above which they are written again.
+MARGIN_PASSES = 3
+OPEN_SHARE = 0.5
+
+
+class _Margins(NamedTuple):
+    """Runs, and their centres, to which the written margins refer."""
+
+    runs: list[int]
+    centres: list[np.ndarray]
+
+
+def _with_margins(points: DataFrame, margins: _Margins, shift: np.ndarray) -> DataFrame:
+    """The points with each run's nearest centre ``a`` and the margin ``m`` to the next, a little understated."""
+    width = len(shift)
+    runs = [c - shift for c in margins.centres]
+
+    def kernel(batches):
+        import numpy as np
+        import pyarrow as pa
+        for batch in batches:
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, width) - shift
+            own = (x ** 2).sum(axis=1)
+            nearest, margin = np.zeros((len(x), len(runs)), np.int32), np.full((len(x), len(runs)), np.inf, np.float32)
+            for r, centres in enumerate(runs):
+                squares = (centres ** 2).sum(axis=1)
+                gaps = np.sqrt(np.maximum(own[:, None] + squares - 2.0 * (x @ centres.T), 0.0))
+                nearest[:, r] = gaps.argmin(axis=1)
+                if len(centres) > 1 and len(x):
+                    two = np.partition(gaps, 1, axis=1)
+                    # Rounding must not make a margin wider than it is.
+                    noise = 1e-7 * (np.sqrt(own) + np.sqrt(squares.max()))
+                    margin[:, r] = (two[:, 1] - two[:, 0]) * (1 - 1e-6) - noise
+            edges = pa.array(np.arange(0, nearest.size + 1, len(runs)), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(edges, pa.array(nearest.ravel())),
+                                              pa.ListArray.from_arrays(edges, pa.array(margin.ravel()))], ["p", "a", "m"])
+
+    return points.mapInArrow(kernel, "p array<double>, a array<int>, m array<float>")
+
+
+def _assignment_pass(points: DataFrame, runs: Sequence[np.ndarray], shift: np.ndarray, ids: Sequence[int],
+                     margins: _Margins | None):
+    """Counts and sums per centre, cost per run and points whose distances were needed, in one pass."""
+    width = len(shift)
+    placed = [r - shift for r in runs]
     edges = np.cumsum([0] + [len(r) for r in runs])
-    rows, width = centres.shape
+    rows = int(edges[-1])
+    column, limits = [], []
+    for i, centres in zip(ids, runs):
+        at = margins.runs.index(i) if margins is not None and i in margins.runs else None
+        column.append(at)
+        limits.append(None)
+        if at is not None:
+            moved = np.sqrt(((centres - margins.centres[at]) ** 2).sum(axis=1))
+            others = np.array([np.delete(moved, j).max(initial=0.0) for j in range(len(moved))])
+            limits[-1] = moved + others
 
     def kernel(batches):
         import numpy as np
         import pyarrow as pa
         counts, sums = np.zeros(rows), np.zeros((rows, width))
-        cost = np.zeros(len(edges) - 1)
-        squares = (centres ** 2).sum(axis=1)
+        tested, own = np.zeros(len(placed)), 0.0
+        squares = [(c ** 2).sum(axis=1) for c in placed]
         for batch in batches:
-            flat = batch.column(0).flatten().to_numpy(zero_copy_only=False)
-            table = flat.reshape(batch.num_rows, width) - shift
-            for at in range(0, len(table), 4096):
-                x = table[at:at + 4096]
-                own = (x ** 2).sum(axis=1)
-                distance = squares - 2.0 * (x @ centres.T)
-                for run in range(len(edges) - 1):
-                    low, high = edges[run], edges[run + 1]
-                    nearest = distance[:, low:high].argmin(axis=1)
-                    chosen = np.zeros((len(x), high - low))
-                    chosen[np.arange(len(x)), nearest] = 1.0
-                    counts[low:high] += chosen.sum(axis=0)
-                    sums[low:high] += chosen.T @ x
-                    gap = own + distance[np.arange(len(x)), low + nearest]
-                    cost[run] += np.maximum(gap, 0.0).sum()
-        yield pa.RecordBatch.from_pydict({"cells": [np.concatenate([counts, sums.ravel(), cost])]})
+            if not batch.num_rows:
+                continue
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, width) - shift
+            own += (x ** 2).sum()
+            if margins is not None:
+                known = batch.column(1).flatten().to_numpy().reshape(len(x), -1)
+                margin = batch.column(2).flatten().to_numpy().reshape(len(x), -1)
+            for run, centres in enumerate(placed):
+                if column[run] is None:
+                    nearest, unsettled = np.zeros(len(x), np.int64), np.arange(len(x))
+                else:
+                    nearest = known[:, column[run]].astype(np.int64)
+                    unsettled = np.flatnonzero(~(margin[:, column[run]] > limits[run][nearest]))
+                tested[run] += len(unsettled)
+                for at in range(0, len(unsettled), 4096):
+                    part = unsettled[at:at + 4096]
+                    nearest[part] = (squares[run] - 2.0 * (x[part] @ centres.T)).argmin(axis=1)
+                order = np.argsort(nearest, kind="stable")
+                found, first = np.unique(nearest[order], return_index=True)
+                counts[edges[run] + found] += np.diff(np.append(first, len(x)))
+                sums[edges[run] + found] += np.add.reduceat(x[order], first, axis=0)
+        yield pa.RecordBatch.from_pydict({"cells": [np.concatenate([counts, sums.ravel(), tested, [own]])]})
 
     cells = _sum_cells(points.mapInArrow(kernel, "cells array<double>"))
-    return (cells[:rows], cells[rows:rows * (width + 1)].reshape(rows, width),
-            cells[rows * (width + 1):])
+    counts, sums = cells[:rows], cells[rows:rows * (width + 1)].reshape(rows, width)
+    # Squared distances to the own centres, from the sums alone.
+    centres = np.vstack(placed)
+    saved = (2.0 * (centres * sums).sum(axis=1) - counts * (centres ** 2).sum(axis=1))
+    cost = np.maximum(cells[-1] - np.add.reduceat(saved, edges[:-1]), 0.0)
+    return counts, sums, cost, cells[rows * (width + 1):-1]
 
 
 # --- assignment and quality ----------------------------------------------------------------
