@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.labels import label_list
 from ..schema import is_numeric, number, numeric_columns, quoted
+from .frequent import frequent_values, text_tops
 from .quantiles import quantiles
 from .regression import pairwise_correlation
 
@@ -100,7 +101,7 @@ def summary(df: DataFrame, columns: Sequence[str] | None = None,
     """Per column: count, unique, top, freq, mean, std, min, quartiles, max, earliest and latest.
 
     Measures that do not apply to a column's type are NULL. Numeric measures come from one
-    aggregation plus the quantile passes; text measures from one grouped count.
+    aggregation plus the quantile passes; text measures from one count by digest.
     """
     chosen = list(columns) if columns else df.columns
     numeric = [c for c in chosen if is_numeric(df, c)]
@@ -119,7 +120,7 @@ def summary(df: DataFrame, columns: Sequence[str] | None = None,
     stats = df.agg(*aggs).first()
     quartiles = quantiles(df, numeric, (0.25, 0.5, 0.75), accuracy,
                           {c: stats[f"count_{i}"] for i, c in enumerate(numeric)})
-    tops = {r["column"]: r for r in top_values(df, other).collect()} if other else {}
+    tops = {r["column"]: r for r in text_tops(df, other).collect()} if other else {}
 
     rows = []
     for c in chosen:
@@ -199,8 +200,14 @@ def explode_labels(df: DataFrame, column: str, separator: str = "; ",
     return df.withColumn(name, F.explode(label_list(quoted(column), separator)))
 
 
-def top_labels(df: DataFrame, column: str, n: int = 20, separator: str = "; ") -> DataFrame:
-    """The ``n`` most frequent labels; equal counts in label order."""
+def top_labels(df: DataFrame, column: str, n: int = 20, separator: str = "; ", *, few: bool = True) -> DataFrame:
+    """The ``n`` most frequent labels; equal counts in label order.
+
+    ``few=False`` is for labels of very many kinds: they are found by a summary instead of grouping them all.
+    """
+    if not few:
+        labels = df.select(F.explode(label_list(quoted(column), separator)).alias("label"))
+        return frequent_values(labels, ["label"], n).select(F.col("value").alias("label"), F.col("freq").alias("count"))
     return (df.select(F.explode(label_list(quoted(column), separator)).alias("label"))
             .groupBy("label").agg(F.count(F.lit(1)).alias("count"))
             .orderBy(F.desc("count"), "label").limit(n))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import is_numeric, matches_type, number, quoted
+from .membership import count_not_in
 
 DETAIL_COLUMNS = ("status", "dtype", "dtype_expected", "missing_count", "rows_dropped",
                   "below_min", "above_max", "error")
@@ -21,18 +22,26 @@ _DETAIL_TYPES = ("status string, dtype string, dtype_expected string, missing_co
 
 @dataclass(frozen=True)
 class Expectation:
-    """What one column should look like; bounds are inclusive."""
+    """What one column should look like; bounds are inclusive.
+
+    ``allowed`` are the values it may have: a list, or the first column of a table of any size.
+    """
 
     name: str
     dtype: str | None = None
     required: bool = True
     min: float | None = None
     max: float | None = None
+    allowed: Sequence[Any] | DataFrame | None = None
 
     @classmethod
-    def from_config(cls, entry: Mapping[str, Any]) -> Expectation:
+    def from_config(cls, entry: Mapping[str, Any], spark: SparkSession | None = None) -> Expectation:
+        """``allowed_values`` lists values, or names a Parquet table whose first column holds them."""
         known = {k: entry[k] for k in ("dtype", "required", "min", "max") if k in entry}
-        return cls(entry["name"], **known)
+        allowed = entry.get("allowed_values")
+        if isinstance(allowed, str):
+            allowed = (spark or SparkSession.active()).read.parquet(allowed)
+        return cls(entry["name"], **known, allowed=allowed)
 
 
 @dataclass
@@ -42,6 +51,16 @@ class QualityReport:
     errors: list[str] = field(default_factory=list)
     warnings: list[str] = field(default_factory=list)
     details: dict[str, dict[str, Any]] = field(default_factory=dict)
+    #: Whether a column was checked against allowed values; the tables then have ``not_allowed``.
+    membership: bool = False
+
+    @property
+    def _columns(self) -> tuple[str, ...]:
+        return DETAIL_COLUMNS + (("not_allowed",) if self.membership else ())
+
+    @property
+    def _types(self) -> str:
+        return _DETAIL_TYPES + (", not_allowed long" if self.membership else "")
 
     @property
     def result(self) -> str:
@@ -49,26 +68,29 @@ class QualityReport:
 
     def table(self, spark: SparkSession) -> DataFrame:
         """One row per expected column; keys that do not apply are NULL."""
-        rows = [(c, *(d.get(k) for k in DETAIL_COLUMNS)) for c, d in self.details.items()]
-        return spark.createDataFrame(rows, "column string, " + _DETAIL_TYPES)
+        rows = [(c, *(d.get(k) for k in self._columns)) for c, d in self.details.items()]
+        return spark.createDataFrame(rows, "column string, " + self._types)
 
     def document(self, spark: SparkSession) -> DataFrame:
         """One row ``result, errors, warnings, details`` for the report sink."""
-        details = {c: tuple(d.get(k) for k in DETAIL_COLUMNS) for c, d in self.details.items()}
+        details = {c: tuple(d.get(k) for k in self._columns) for c, d in self.details.items()}
         return spark.createDataFrame(
             [(self.result, self.errors, self.warnings, details)],
             "result string, errors array<string>, warnings array<string>,"
-            f" details map<string, struct<{_DETAIL_TYPES.replace(' ', ': ').replace(',: ', ', ')}>>")
+            f" details map<string, struct<{self._types.replace(' ', ': ').replace(',: ', ', ')}>>")
 
 
-def validate(df: DataFrame, expectations: Sequence[Expectation]) -> QualityReport:
-    """Check presence and type on the schema, then all counts in a single aggregation."""
+Check = tuple[Expectation, str, Column]
+
+
+def planned(df: DataFrame, expectations: Sequence[Expectation]) -> tuple[QualityReport, list[Check]]:
+    """What the schema alone tells (presence and type), and the conditions whose rows are to be counted."""
     report = QualityReport()
-    counted: list[tuple[Expectation, str, str]] = []
-    aggregates: list[Column] = []
+    checks: list[Check] = []
     for e in expectations:
         detail: dict[str, Any] = {}
         report.details[e.name] = detail
+        report.membership |= e.allowed is not None
         if e.name not in df.columns:
             if e.required:
                 detail |= {"status": "missing", "error": f"Missing required column: {e.name}"}
@@ -85,18 +107,42 @@ def validate(df: DataFrame, expectations: Sequence[Expectation]) -> QualityRepor
             report.errors.append(message)
             continue
         value = number(df, e.name) if is_numeric(df, e.name) else quoted(e.name)
-        checks = {"missing_count": value.isNull()}
+        checks.append((e, "missing_count", value.isNull()))
         if e.min is not None:
-            checks["below_min"] = value < F.lit(e.min)
+            checks.append((e, "below_min", value < F.lit(e.min)))
         if e.max is not None:
-            checks["above_max"] = value > F.lit(e.max)
-        for kind, condition in checks.items():
-            counted.append((e, kind, f"n{len(counted)}"))
-            aggregates.append(F.count_if(condition).alias(counted[-1][2]))
-    row = df.agg(*aggregates).first() if aggregates else {}
-    for e, kind, alias in counted:
-        if row[alias]:
-            _record(report, e, kind, row[alias])
+            checks.append((e, "above_max", value > F.lit(e.max)))
+        if e.allowed is not None and not isinstance(e.allowed, DataFrame):
+            checks.append((e, "not_allowed", ~value.isin(list(e.allowed))))
+    return report, checks
+
+
+def counts_of(checks: Sequence[Check]) -> list[Column]:
+    """The aggregates of the checks, one row for all of them."""
+    return [F.count_if(condition).alias(f"n{i}") for i, (_, _, condition) in enumerate(checks)]
+
+
+def validate(df: DataFrame, expectations: Sequence[Expectation]) -> QualityReport:
+    """Check presence and type on the schema, then all counts in a single aggregation.
+
+    Columns whose allowed values are a table take a job each, see ``membership``.
+    """
+    report, checks = planned(df, expectations)
+    row = df.agg(*counts_of(checks)).first() if checks else ()
+    known = {(e.name, kind): n for (e, kind, _), n in zip(checks, row)}
+    # Columns that stand in the table with the type they should have.
+    sound = {e.name for e, kind, _ in checks if kind == "missing_count"}
+    known |= {(e.name, "not_allowed"): count_not_in(df, e.name, e.allowed) for e in expectations
+              if e.name in sound and isinstance(e.allowed, DataFrame)}
+    return reported(report, expectations, known)
+
+
+def reported(report: QualityReport, expectations: Sequence[Expectation], known: Mapping[tuple[str, str], int]) -> QualityReport:
+    """The report with the counts per column and kind that are not 0."""
+    for e in expectations:
+        for kind in ("missing_count", "below_min", "above_max", "not_allowed"):
+            if known.get((e.name, kind)):
+                _record(report, e, kind, known[e.name, kind])
     return report
 
 
@@ -109,6 +155,8 @@ def _record(report: QualityReport, e: Expectation, kind: str, n: int) -> None:
         level = "required" if e.required else "optional"
         (report.errors if e.required else report.warnings).append(
             f"Column '{e.name}' had {n} missing values ({level}); rows dropped.")
+    elif kind == "not_allowed":
+        report.errors.append(f"Column '{e.name}' has {n} values that are not allowed")
     else:
         side, bound = ("below min", e.min) if kind == "below_min" else ("above max", e.max)
         report.errors.append(f"Column '{e.name}' has {n} values {side} ({bound})")
@@ -120,7 +168,7 @@ def validate_config(df: DataFrame, config: Mapping[str, Any]) -> QualityReport |
     if not section.get("enabled", True):
         return None
     columns = section.get("schema", {}).get("columns", [])
-    return validate(df, [Expectation.from_config(c) for c in columns])
+    return validate(df, [Expectation.from_config(c, df.sparkSession) for c in columns])
 
 
 def enforce(report: QualityReport, action: str = "raise") -> None:
