@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.operators import quality
+from tablewright.operators import incremental, quality, regression
 from tablewright.operators.prep import ColumnTransform, Preprocessor
 from tablewright.operators.scoring import Scorer
 from tablewright.plans import jobs
-from tablewright.session import shared_folder
+from tablewright.session import shared_folder, written
 from tablewright.sources import sinks
+from tablewright.streaming.quality import stream_report, watch_quality
 from tablewright.streaming.scoring import open_stream, route_stream, score_stream
 
 from .base import (ORACLES, PART_FEATURES_SQL, PLANTED_FEATURES_SQL, fixed_model, fixed_prediction_sql,
                    part_features, planted_features, query, read, rounded, t_quantile_sql)
 from .model_queries import _iqr_step
+from .table_queries import _summary_sql
 
 # --- streaming -----------------------------------------------------------------------------
 
@@ -318,19 +323,19 @@ def _metrics(table):
     return rounded(rounded(table, 6, "mse", "rmse", "mae", "mape"), 8, "r2", "adj_r2")
 
 
-@query("job_train", _planted_metrics("test", "test"))
-def job_train(spark, d):
+@query("job_train_planted", _planted_metrics("test", "test"))
+def job_train_planted(spark, d):
     return _metrics(jobs.train(_planted_job(spark, d))[1])
 
 
-@query("job_evaluate", _planted_metrics("true", "all"))
-def job_evaluate(spark, d):
+@query("job_evaluate_planted", _planted_metrics("true", "all"))
+def job_evaluate_planted(spark, d):
     job = _planted_job(spark, d)
     jobs.train(job)
     return _metrics(jobs.evaluate(job, split_label="all"))
 
 
-@query("job_score", _PLANTED_SQL + f""",
+@query("job_score_planted", _PLANTED_SQL + f""",
 held AS (SELECT ranked.*, (qty - q0) / (q1 - q0) AS x1, (disc - d0) / (d1 - d0) AS x2 FROM ranked, r WHERE rn <= ceil(total * 0.1)),
 z AS (SELECT held.*, b0 + b1 * x1 + b2 * x2 AS point, {t_quantile_sql('(n - 3)')} * sqrt(v * (1 + 1.0 / n
              + ((x1 - m1) * (x1 - m1) * s22 - 2 * (x1 - m1) * (x2 - m2) * s12 + (x2 - m2) * (x2 - m2) * s11) / det)) AS h
@@ -338,9 +343,148 @@ z AS (SELECT held.*, b0 + b1 * x1 + b2 * x2 AS point, {t_quantile_sql('(n - 3)')
 SELECT p_partkey, p_name, p_type, p_size, round(p_retailprice, 6) AS p_retailprice, qty, round(disc, 9) AS disc, n_lines,
        round(tax, 9) AS tax, round(price, 8) AS price, round(revenue, 7) AS revenue, round(point, 5) AS prediction,
        round(point - h, 5) AS prediction_pi_lower, round(point + h, 5) AS prediction_pi_upper FROM z""")
-def job_score(spark, d):
+def job_score_planted(spark, d):
     job = _planted_job(spark, d)
     jobs.train(job)
     held = spark.read.parquet(f"{job.base_dir}/holdout")
     scored = spark.read.parquet(jobs.batch_score(job, held, f"{job.base_dir}/predictions"))
     return _with_inputs(scored, 5)
+
+
+# The same jobs with all polynomials and the real target; tests hold them against row-level least squares.
+@query("job_train")
+def job_train(spark, d):
+    return jobs.train(_trained(spark, d))[1]
+
+
+@query("job_evaluate")
+def job_evaluate(spark, d):
+    job = _trained(spark, d)
+    jobs.train(job)
+    return jobs.evaluate(job, split_label="all")
+
+
+@query("job_score")
+def job_score(spark, d):
+    job = _trained(spark, d)
+    jobs.train(job)
+    held = spark.read.parquet(f"{job.base_dir}/holdout")
+    return spark.read.parquet(jobs.batch_score(job, held, f"{job.base_dir}/predictions"))
+
+
+@query("job_run_all", _single_metrics("test", "test") + " UNION ALL " + "SELECT * FROM (" + _single_metrics("true", "test") + ")")
+def job_run_all(spark, d):
+    """All steps in one call: the metrics of the training and those of the evaluation over all rows."""
+    base = _job(spark, d).base_dir
+    out = jobs.run_all(jobs.JobContext(spark, _SINGLE, base), f"{base}/datasets")
+    return _shown(out["trained"].unionByName(out["evaluated"]))
+
+
+@query("job_cluster")
+def job_cluster(spark, d):
+    """The clustering job: rows and means per cluster of its assignment; tests hold it against plain steps."""
+    job = jobs.JobContext(spark, {**_CONFIG, "model": {**_CONFIG["model"], "kmeans": {"k_max": 4, "n_clusters": 3}}}, _job(spark, d).base_dir)
+    jobs.preprocess(job)
+    out = jobs.cluster(job, ["qty", "disc", "p_retailprice", "price"])
+    return out["assigned"].groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), *[
+        F.avg(c).alias(c) for c in ("qty", "disc", "p_retailprice", "price")])
+
+
+# --- whole results of the jobs ---------------------------------------------------------------
+
+_WIDTHS = {"disc": 9, "tax": 9, "p_retailprice": 6, "price": 8, "revenue": 7}
+
+
+def _wide_rows(table):
+    for name, digits in _WIDTHS.items():
+        table = rounded(table, digits, name)
+    return table
+
+
+_WIDE_SELECT = "SELECT p_partkey, p_name, p_type, p_size, qty, n_lines, " + ", ".join(f"round({c}, {n}) AS {c}" for c, n in _WIDTHS.items())
+
+
+@query("job_holdout_rows", f"""
+WITH {PART_FEATURES_SQL},
+ranked AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || p_partkey)) AS rn, count(*) OVER () AS total FROM pf)
+{_WIDE_SELECT} FROM ranked WHERE rn <= ceil(total * 0.1)""")
+def job_holdout_rows(spark, d):
+    job = _job(spark, d)
+    jobs.preprocess(job)
+    return _wide_rows(spark.read.parquet(f"{job.base_dir}/holdout"))
+
+
+@query("job_profile_sample", f"WITH {PART_FEATURES_SQL} {_WIDE_SELECT} FROM pf ORDER BY p_partkey LIMIT 100")
+def job_profile_sample(spark, d):
+    job = _job(spark, d)
+    return _wide_rows(jobs.load_and_profile(job, f"{job.base_dir}/datasets")["sample"])
+
+
+@query("job_profile_summary", f"WITH {PART_FEATURES_SQL}" + _summary_sql(
+    "pf", ["p_partkey", "p_size", "p_retailprice", "qty", "n_lines", "disc", "tax", "price", "revenue"], ["p_name", "p_type"], [])
+    .replace("CAST(min(", "round(min(").replace(" AS DOUBLE) AS min", ", 6) AS min").replace("CAST(max(", "round(max(").replace(" AS DOUBLE) AS max", ", 6) AS max"))
+def job_profile_summary(spark, d):
+    job = _job(spark, d)
+    summary = jobs.load_and_profile(job, f"{job.base_dir}/datasets")["summary"]
+    return rounded(rounded(summary, 4, "mean", "std", "q25", "q50", "q75"), 6, "min", "max")
+
+
+@query("job_validate_report", f"""
+WITH {PART_FEATURES_SQL},
+r AS (SELECT count(*) FILTER (p_size < 3) AS low, count(*) FILTER (p_size > 48) AS high FROM pf)
+SELECT 'p_size' AS "column", 'present' AS status, CAST(NULL AS VARCHAR) AS dtype, CAST(NULL AS VARCHAR) AS dtype_expected,
+       CAST(NULL AS BIGINT) AS missing_count, CAST(NULL AS BIGINT) AS rows_dropped, nullif(low, 0) AS below_min, nullif(high, 0) AS above_max, CAST(NULL AS VARCHAR) AS error FROM r
+""" + "".join(f"UNION ALL SELECT '{c}', 'present', NULL, NULL, NULL, NULL, NULL, NULL, NULL\n" for c in ("p_partkey", "p_name", "disc")))
+def job_validate_report(spark, d):
+    job = _job(spark, d)
+    jobs.load_and_profile(job, f"{job.base_dir}/datasets")
+    return jobs.validate(job, f"{job.base_dir}/datasets").table(spark)
+
+
+# --- versions, streams, refits ---------------------------------------------------------------
+
+
+@query("io_versions_kept", """
+SELECT CAST(v AS BIGINT) AS version, o_orderstatus, count(*) AS n FROM orders, (VALUES (3), (4)) t(v) WHERE o_orderkey % 5 < v GROUP BY ALL""")
+def io_versions_kept(spark, d):
+    """Four versions published, the last two kept."""
+    root, orders = shared_folder(spark, "datasets"), read(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    for version in range(1, 5):
+        sinks.publish(orders.where(f"o_orderkey % 5 < {version}"), root, "orders", keep=2)
+    parts = [sinks.read_dataset(spark, root, f"orders:{v}").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit(v).cast("long").alias("version"), "o_orderstatus", "n") for v in sinks.dataset_versions(spark, root, "orders")]
+    return reduce(DataFrame.union, parts)
+
+
+_EVENT_EXPECTATIONS = (
+    quality.Expectation("event_id", "int", min=100), quality.Expectation("value", "float", min=1.0, max=120.0),
+    quality.Expectation("event_type", "str", allowed=("click", "view")), quality.Expectation("user_id", "int", required=False, max=50))
+
+
+@query("stream_quality", """
+SELECT 'event_id' AS "column", nullif(count(*) FILTER (event_id < 100), 0) AS below_min, CAST(NULL AS BIGINT) AS above_max,
+       CAST(NULL AS BIGINT) AS not_allowed, count(*) AS n_rows FROM events
+UNION ALL SELECT 'value', nullif(count(*) FILTER (value < 1.0), 0), nullif(count(*) FILTER (value > 120.0), 0), NULL, count(*) FROM events
+UNION ALL SELECT 'event_type', NULL, NULL, nullif(count(*) FILTER (event_type NOT IN ('click', 'view')), 0), count(*) FROM events
+UNION ALL SELECT 'user_id', NULL, nullif(count(*) FILTER (user_id > 50), 0), NULL, count(*) FROM events""")
+def stream_quality(spark, d):
+    """The events' halves arrive one after the other, with a restart between; one report in the end."""
+    out, events = shared_folder(spark, "stream"), read(spark, d, "events")
+    for half in (0, 1):
+        events.where(F.col("event_id") % 2 == half).write.mode("append").parquet(f"{out}/in")
+        watch_quality(open_stream(spark, f"{out}/in", events.schema), _EVENT_EXPECTATIONS, f"{out}/counts", f"{out}/checkpoint").awaitTermination()
+    report, rows = stream_report(spark, f"{out}/counts", events, _EVENT_EXPECTATIONS)
+    return report.table(spark).select("column", "below_min", "above_max", "not_allowed", F.lit(rows).cast("long").alias("n_rows"))
+
+
+@query("refit_versions", ORACLES["ols_two_var"])
+def refit_versions(spark, d):
+    """Three versions, one of them read by the last refit; the model is that of all rows."""
+    root = shared_folder(spark, "datasets")
+    with written(part_features(spark, d), "part-features") as table:
+        for part in range(3):
+            sinks.publish(table.where(F.col("p_partkey") % 3 == part), root, "parts")
+            model, read_again = incremental.refit(spark, root, "parts", "revenue", ["qty", "disc"], f"{root}/state", select=False)
+    if read_again != [3]:
+        raise AssertionError(f"versions {read_again} were read")
+    return rounded(rounded(regression.coefficient_table(spark, model), 4, "coefficient", "std_err", "t"), 8, "p")

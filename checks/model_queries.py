@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tablewright.functions.labels import EXPLORATION_PATTERNS, GENRE_PATTERNS
@@ -506,19 +507,105 @@ def stepwise_two_candidates(spark, d):
     return spark.createDataFrame([(p,) for p in picked], "feature string")
 
 
-@query("stepwise", _PLANTED_OLS2_SQL + _COEFFICIENTS_SQL)
-def stepwise(spark, d):
+@query("stepwise_planted", _PLANTED_OLS2_SQL + _COEFFICIENTS_SQL)
+def stepwise_planted(spark, d):
     model, _ = _selected_model(spark, d)
     return _rounded_coefficients(regression.coefficient_table(spark, model))
 
 
-@query("stepwise_metrics", _PLANTED_OLS2_SQL.rstrip() + ", m AS (SELECT revenue AS y, b0 + b1 * qty + b2 * disc AS p FROM pf, e),"
+@query("stepwise_planted_metrics", _PLANTED_OLS2_SQL.rstrip() + ", m AS (SELECT revenue AS y, b0 + b1 * qty + b2 * disc AS p FROM pf, e),"
        + _METRICS_SQL.format(6, 2).replace(" FROM r\n", ", 'train' AS split FROM r\n"))
-def stepwise_metrics(spark, d):
+def stepwise_planted_metrics(spark, d):
     model, table = _selected_model(spark, d)
     return _shown(stats.evaluate(table, model, split_label="train"), 6)
 
 
+@query("stepwise_initial", _PLANTED_OLS2_SQL + _COEFFICIENTS_SQL)
+def stepwise_initial(spark, d):
+    """A starting set of which nothing stays but what makes up the target."""
+    found = regression.moments(materialize(planted_features(spark, d)), [*_CANDIDATES, "revenue"])
+    picked = regression.stepwise(found, "revenue", _CANDIDATES, initial=["p_size", "tax", "disc"])
+    return _rounded_coefficients(regression.coefficient_table(spark, regression.fit(found, "revenue", sorted(picked, key=_CANDIDATES.index))))
+
+
+ALL_CANDIDATES = ("p_size", "p_retailprice", "qty", "n_lines", "disc", "tax", "price")
+
+
+def selected_from_all(spark, d):
+    """Selection from seven columns and all their products, for the real target; tests hold it against row-level fits."""
+    table = features.add_polynomials(materialize(part_features(spark, d)), ALL_CANDIDATES, prefix="poly__")
+    names = [*ALL_CANDIDATES, *[c for c in table.columns if c.startswith("poly__")]]
+    return regression.train(regression.moments(table, [*names, "revenue"]), "revenue", names), table
+
+
+@query("stepwise")
+def stepwise(spark, d):
+    return regression.coefficient_table(spark, selected_from_all(spark, d)[0])
+
+
+@query("stepwise_metrics")
+def stepwise_metrics(spark, d):
+    model, table = selected_from_all(spark, d)
+    return stats.evaluate(table, model, split_label="train")
+
+
+_CROSSED = ("p_size", "p_retailprice", "qty", "n_lines", "disc", "tax", "price", "revenue")
+_CROSSED_TERMS = [(a,) for a in _CROSSED] + [(a, b) for i, a in enumerate(_CROSSED) for b in _CROSSED[i:]]
+
+
+@query("moments_crossed", f"""
+WITH {PART_FEATURES_SQL},
+wide AS (SELECT p_partkey, """ + ", ".join(
+    f"{' * '.join(f'CAST({x} AS DOUBLE)' for x in t)} AS {t[0] if len(t) == 1 else 'poly__' + features.term_name(t)}" for t in _CROSSED_TERMS) + """ FROM pf),
+long AS (UNPIVOT wide ON COLUMNS(* EXCLUDE p_partkey) INTO NAME name VALUE v)
+SELECT x.name AS a, y.name AS b, round(corr(x.v, y.v), 6) AS r FROM long x JOIN long y USING (p_partkey) GROUP BY x.name, y.name""")
+def moments_crossed(spark, d):
+    """Correlations of a crossed feature set, from cross moments in tiles of 16 columns."""
+    table = features.add_polynomials(materialize(part_features(spark, d).select("p_partkey", *[F.col(c).cast("double") for c in _CROSSED])),
+                                     _CROSSED, prefix="poly__")
+    names = [c for c in table.columns if c != "p_partkey"]
+    found = regression.moments(table, names, tile=16)
+    scale = np.sqrt(np.diag(found.comoment))
+    matrix = found.comoment / np.outer(scale, scale)
+    rows = [(a, b, float(matrix[i, j])) for i, a in enumerate(names) for j, b in enumerate(names)]
+    return rounded(spark.createDataFrame(rows, "a string, b string, r double"), 6, "r")
+
+
+_WIDE = 24
+_WIDE_WEIGHTS = [((i * 7) % 11 - 5) / 10.0 for i in range(_WIDE)]
+_WIDE_KERNEL = [0.0005] + [(i % 5 + 1) / 1000.0 for i in range(_WIDE)]
+
+
+@query("prediction_interval_wide", f"""
+WITH x AS (SELECT vec_id, CAST(embedding AS DOUBLE[])[1:{_WIDE}] AS e FROM embeddings),
+s AS (SELECT vec_id, 1.5 + list_sum(list_transform(list_zip(e, {_WIDE_WEIGHTS}::DOUBLE[]), lambda z: z[1] * z[2])) AS y,
+             CAST({_WIDE_KERNEL[0]} AS DOUBLE) + list_sum(list_transform(list_zip(e, {_WIDE_KERNEL[1:]}::DOUBLE[]), lambda z: (z[1] - CAST(0.1 AS DOUBLE)) * (z[1] - CAST(0.1 AS DOUBLE)) * z[2])) AS g FROM x),
+h AS (SELECT vec_id, y, {t_quantile_sql('1975')} * sqrt(CAST({250.0 / 1975!r} AS DOUBLE) * (1 + g)) AS h FROM s)
+SELECT vec_id, round(y, 6) AS prediction, round(y - h, 6) AS prediction_pi_lower, round(y + h, 6) AS prediction_pi_upper FROM h""")
+def prediction_interval_wide(spark, d):
+    """Interval of a model of more than 20 features, which is a matrix product instead of one expression."""
+    names = [f"e{i}" for i in range(_WIDE)]
+    model = regression.LinearModel(tuple(names), "y", 2000, _WIDE + 1, 250.0, 1.5, np.array(_WIDE_WEIGHTS), np.full(_WIDE, 0.1), np.diag(_WIDE_KERNEL))
+    table = read(spark, d, "embeddings").select("vec_id", *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)])
+    kept = ("prediction", "prediction_pi_lower", "prediction_pi_upper")
+    return rounded(regression.predict(table, model).select("vec_id", *kept), 6, *kept)
+
+
+_FEW_CENTRES = [[-0.1, 0.0, 0.1, 0.05], [0.1, 0.1, -0.05, 0.0], [0.0, -0.1, 0.0, 0.1]]
+
+
+@query("nearest_centroid_columns", """
+WITH x AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+n AS (SELECT vec_id, """ + ", ".join(" + ".join(f"(e[{i + 1}] - CAST({v} AS DOUBLE)) * (e[{i + 1}] - CAST({v} AS DOUBLE))" for i, v in enumerate(c)) + f" AS d{j}"
+                                    for j, c in enumerate(_FEW_CENTRES)) + """ FROM x)
+SELECT vec_id, CAST(CASE WHEN d0 <= d1 AND d0 <= d2 THEN 0 WHEN d1 <= d2 THEN 1 ELSE 2 END AS INTEGER) AS cluster FROM n""")
+def nearest_centroid_columns(spark, d):
+    """Centres over separate columns, which is one expression."""
+    names = [f"e{i}" for i in range(4)]
+    table = read(spark, d, "embeddings").select("vec_id", *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)])
+    return clustering.assign_nearest(table, names, _FEW_CENTRES).select("vec_id", "cluster")
+
+
 @query("predict_fixed", f"""
 WITH {PART_FEATURES_SQL}
 SELECT p_partkey, round({fixed_prediction_sql()[0]}, 6) AS prediction FROM pf""")
@@ -618,15 +705,27 @@ v{n}_{k} AS (SELECT vec_id, e, j, d FROM (
 _XS_SQL = "WITH xs AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), "
 
 
-@query("kmeans_assign", f"{_XS_SQL}{_lloyd_sql(3)} SELECT vec_id, j AS cluster FROM v2_3")
+@query("kmeans_assign")
 def kmeans_assign(spark, d):
+    """Three clusters by the default fit: ten drawn starts, updates until rest; tests hold it against plain steps."""
+    return clustering.kmeans_fit(read(spark, d, "embeddings"), ["embedding"], 3).table.select("vec_id", "cluster")
+
+
+@query("kmeans_elbow")
+def kmeans_elbow(spark, d):
+    """One to ten clusters, ten starts each."""
+    return clustering.kmeans_sweep(read(spark, d, "embeddings"), ["embedding"])
+
+
+@query("kmeans_assign_two_updates", f"{_XS_SQL}{_lloyd_sql(3)} SELECT vec_id, j AS cluster FROM v2_3")
+def kmeans_assign_two_updates(spark, d):
     fitted = clustering.kmeans_fit(read(spark, d, "embeddings"), ["embedding"], 3, start=CENTROIDS, max_iter=2, tolerance=0.0)
     return fitted.table.select("vec_id", "cluster")
 
 
-@query("kmeans_elbow", _XS_SQL + ",\n".join(_lloyd_sql(k) for k in (1, 2, 3)) + " " + " UNION ALL ".join(
+@query("kmeans_elbow_two_updates", _XS_SQL + ",\n".join(_lloyd_sql(k) for k in (1, 2, 3)) + " " + " UNION ALL ".join(
     f"SELECT {k} AS k, round(sum(d), 4) AS inertia FROM v2_{k}" for k in (1, 2, 3)))
-def kmeans_elbow(spark, d):
+def kmeans_elbow_two_updates(spark, d):
     found = clustering.kmeans_sweep(read(spark, d, "embeddings"), ["embedding"], (1, 2, 3), max_iter=2, tolerance=0.0,
                                     starts={k: CENTROIDS[:k] for k in (1, 2, 3)})
     return rounded(found.select("k", "inertia"), 4, "inertia")

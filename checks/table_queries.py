@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.operators import columns, profile, quality, split
+from tablewright.operators import columns, frequent, profile, quality, split
 from tablewright.operators.prep import Preprocessor, fit_preprocessor
 from tablewright.operators.stats import regression_metrics
 from tablewright.session import materialize, shared_folder
 from tablewright.sources import sinks, tables
 
-from .base import (EVENTS_WITH_GAPS_SQL, PART_FEATURES_SQL, events_with_gaps, part_features, query,
+from .base import (EVENTS_WITH_GAPS_SQL, ORACLES, PART_FEATURES_SQL, events_with_gaps, part_features, query,
                    read, rounded)
 
 # --- sources and sinks ---------------------------------------------------------------------
@@ -497,3 +497,103 @@ def score_left(spark, d):
     predictions = (part_features(spark, d).filter("n_lines > 30")
                    .select("p_partkey", (F.col("qty") * 0.5).alias("prediction")))
     return columns.attach_left(read(spark, d, "part").select("p_partkey", "p_brand"), predictions, "p_partkey")
+
+
+# --- frequent values, allowed values, exact splits, schema checks ----------------------------
+
+
+def _top_sql(table: str, name: str, n: int) -> str:
+    return f"""SELECT * FROM (SELECT '{name}' AS "column", CAST({name} AS VARCHAR) AS value, count(*) AS freq FROM {table}
+      WHERE {name} IS NOT NULL GROUP BY {name} ORDER BY freq DESC, value LIMIT {n})"""
+
+
+@query("frequent_values", " UNION ALL ".join(_top_sql("documents", c, 2) for c in ("text", "source", "lang")))
+def frequent_values(spark, d):
+    """The two most frequent texts, sources and languages; texts are told apart without grouping them all where one is frequent."""
+    return frequent.frequent_values(read(spark, d, "documents"), ["text", "source", "lang"], 2)
+
+
+@query("label_top20_summary", ORACLES["label_top20"])
+def label_top20_summary(spark, d):
+    return profile.top_labels(_bracketed_names(spark, d), "labels", 20, few=False)
+
+
+_ALLOWED_REPORT_SQL = """
+WITH c AS (SELECT count(*) FILTER (o_orderpriority NOT IN ('1-URGENT', '2-HIGH')) AS p, count(*) FILTER (o_custkey NOT IN (
+             SELECT c_custkey FROM customer WHERE c_nationkey < 20)) AS k FROM orders)
+SELECT 'o_orderpriority' AS "column", 'present' AS status, nullif(p, 0) AS not_allowed,
+       'Column ''o_orderpriority'' has ' || p || ' values that are not allowed' AS message FROM c
+UNION ALL SELECT 'o_custkey', 'present', nullif(k, 0), 'Column ''o_custkey'' has ' || k || ' values that are not allowed' FROM c"""
+
+
+@query("validate_allowed", _ALLOWED_REPORT_SQL)
+def validate_allowed(spark, d):
+    """Allowed values as a list, and as a table."""
+    customers = read(spark, d, "customer").where("c_nationkey < 20").select("c_custkey")
+    report = quality.validate(read(spark, d, "orders"), [
+        quality.Expectation("o_orderpriority", "str", allowed=["1-URGENT", "2-HIGH"]), quality.Expectation("o_custkey", "int", allowed=customers)])
+    messages = spark.createDataFrame([(m.split("'")[1], m) for m in report.errors], "column string, message string")
+    return report.table(spark).select("column", "status", "not_allowed").join(messages, "column")
+
+
+@query("validate_cases", """
+SELECT 'no columns' AS "case", 'pass' AS result, CAST(0 AS BIGINT) AS n_columns, CAST(0 AS BIGINT) AS n_errors
+UNION ALL SELECT 'stops', 'Data validation failed: Column ''o_totalprice'' has ' || count(*) || ' values above max (100000)', 1, 1
+FROM orders WHERE o_totalprice > 100000
+UNION ALL SELECT 'goes on', 'fail', 1, 1""")
+def validate_cases(spark, d):
+    """Disabled (no row), without columns, stopping and going on at an error."""
+    orders, rows = read(spark, d, "orders"), []
+    strict = {"schema": {"columns": [{"name": "o_totalprice", "max": 100000}]}}
+    for case, section in (("disabled", {**strict, "enabled": False}), ("no columns", {}), ("stops", strict), ("goes on", strict)):
+        report = quality.validate_config(orders, {"data_validation": section})
+        if report is None:
+            continue
+        result = report.result
+        try:
+            quality.enforce(report, "raise" if case == "stops" else "warn")
+        except ValueError as error:
+            result = str(error)
+        rows.append((case, result, len(report.details), len(report.errors)))
+    return spark.createDataFrame(rows, "case string, result string, n_columns long, n_errors long")
+
+
+@query("split_repeated_key", """
+WITH k AS (SELECT event_type, count(*) AS n, md5('42:' || event_type) AS h FROM events GROUP BY event_type),
+w AS (SELECT *, CAST(ceil(sum(n) OVER () * CAST('0.37' AS DECIMAL(3, 2))) AS BIGINT) AS wanted, CAST(sum(n) OVER (ORDER BY h) AS BIGINT) - n AS earlier FROM k)
+SELECT event_type, greatest(0, least(n, wanted - earlier)) AS n_part, n - greatest(0, least(n, wanted - earlier)) AS n_rest FROM w""")
+def split_repeated_key(spark, d):
+    """A split of exact size by a key that a few values make up."""
+    rest, part = split.split_rows(read(spark, d, "events"), "event_type", 0.37)
+    both = part.select("event_type", F.lit(1).alias("p"), F.lit(0).alias("r")).union(rest.select("event_type", F.lit(0), F.lit(1)))
+    return both.groupBy("event_type").agg(F.sum("p").alias("n_part"), F.sum("r").alias("n_rest"))
+
+
+_REQUIRED = ("p_partkey", "p_size", "tempo", "p_name", "energy")
+_REQUIRED_SQL = "SELECT name AS feature FROM (VALUES " + ", ".join(f"('{c}')" for c in _REQUIRED) + """) t(name)
+WHERE name NOT IN (SELECT column_name FROM (DESCRIBE part))"""
+
+
+@query("missing_features", _REQUIRED_SQL)
+def missing_features(spark, d):
+    """Required features that a table lacks; asking for them stops."""
+    part = read(spark, d, "part")
+    try:
+        columns.require_columns(part, _REQUIRED)
+    except ValueError:
+        return spark.createDataFrame([(c,) for c in columns.missing_columns(part, _REQUIRED)], "feature string")
+    return spark.createDataFrame([], "feature string")
+
+
+@query("stored_schema_check", """
+SELECT 'Selected features missing from the stored feature table: [' || string_agg(chr(39) || name || chr(39), ', ' ORDER BY place) || ']' AS message
+FROM (SELECT name, row_number() OVER () AS place FROM (VALUES """ + ", ".join(f"('{c}')" for c in _REQUIRED) + """) t(name))
+WHERE name NOT IN (SELECT column_name FROM (DESCRIBE part))""")
+def stored_schema_check(spark, d):
+    """The stored feature table's footer against the features a model selected."""
+    path = sinks.write_table(read(spark, d, "part"), shared_folder(spark, "features"))
+    try:
+        sinks.require_columns_stored(spark, path, _REQUIRED)
+    except ValueError as error:
+        return spark.createDataFrame([(str(error),)], "message string")
+    return spark.createDataFrame([], "message string")
