@@ -149,8 +149,9 @@ def _fit_runs(df: DataFrame, columns: Sequence[str], width: int, ks: Sequence[in
     active = list(range(len(ks)))
     margins: _Margins | None = None
     table, since, passes, tested, plain = points.select("p"), 0, 0, 0, 0
+    tasks = table.rdd.getNumPartitions()
     for step in range(max_iter + 1):
-        counts, sums, cost, open_points = _assignment_pass(table, [centres[i] for i in active], shift, active, margins)
+        counts, sums, cost, open_points = _assignment_pass(table, [centres[i] for i in active], shift, active, margins, tasks)
         passes, since = passes + 1, since + 1
         work = [int(o) * ks[i] for o, i in zip(open_points, active)]
         tested, plain = tested + sum(work), plain + n * sum(ks[i] for i in active)
@@ -169,9 +170,11 @@ def _fit_runs(df: DataFrame, columns: Sequence[str], width: int, ks: Sequence[in
                 moving.append(i)
         if not moving:
             break
-        if step < max_iter and since >= MARGIN_PASSES and sum(work) > OPEN_SHARE * n * sum(ks[i] for i in active):
+        paying = sum(work) * width >= MARGIN_WORK and sum(work) > OPEN_SHARE * n * sum(ks[i] for i in active)
+        if step < max_iter and since >= MARGIN_PASSES and paying:
             margins = _Margins(moving, [centres[i] for i in moving])
             table = materialize(_with_margins(points.select("p"), margins, shift), "point-margins")
+            tasks = table.rdd.getNumPartitions()
             tested, since = tested + n * sum(ks[i] for i in moving), 0
         active = moving
     return [run for run in done if run is not None], n, _Work(seeding, passes, tested, plain)
@@ -334,6 +337,10 @@ def _uniform(h: np.ndarray, salt: int) -> np.ndarray:
 #: Passes between two writings of margins, and the share of open distances above which they are written again.
 MARGIN_PASSES = 3
 OPEN_SHARE = 0.5
+#: Products of one pass from which writing margins pays; results are the same either way.
+MARGIN_WORK = 1 << 28
+#: Up to this many centres a run's sums are a matrix product; beyond, points are sorted by centre.
+FEW_CENTRES = 64
 
 
 class _Margins(NamedTuple):
@@ -372,7 +379,7 @@ def _with_margins(points: DataFrame, margins: _Margins, shift: np.ndarray) -> Da
 
 
 def _assignment_pass(points: DataFrame, runs: Sequence[np.ndarray], shift: np.ndarray, ids: Sequence[int],
-                     margins: _Margins | None):
+                     margins: _Margins | None, tasks: int | None = None):
     """Counts and sums per centre, cost per run and points whose distances were needed, in one pass."""
     width = len(shift)
     placed = [r - shift for r in runs]
@@ -412,13 +419,18 @@ def _assignment_pass(points: DataFrame, runs: Sequence[np.ndarray], shift: np.nd
                 for at in range(0, len(unsettled), 4096):
                     part = unsettled[at:at + 4096]
                     nearest[part] = (squares[run] - 2.0 * (x[part] @ centres.T)).argmin(axis=1)
+                if len(centres) <= FEW_CENTRES:
+                    member = (nearest[:, None] == np.arange(len(centres))).astype(float)
+                    counts[edges[run]:edges[run + 1]] += member.sum(axis=0)
+                    sums[edges[run]:edges[run + 1]] += member.T @ x
+                    continue
                 order = np.argsort(nearest, kind="stable")
                 found, first = np.unique(nearest[order], return_index=True)
                 counts[edges[run] + found] += np.diff(np.append(first, len(x)))
                 sums[edges[run] + found] += np.add.reduceat(x[order], first, axis=0)
         yield pa.RecordBatch.from_pydict({"cells": [np.concatenate([counts, sums.ravel(), tested, [own]])]})
 
-    cells = _sum_cells(points.mapInArrow(kernel, "cells array<double>"))
+    cells = _sum_cells(points.mapInArrow(kernel, "cells array<double>"), tasks)
     counts, sums = cells[:rows], cells[rows:rows * (width + 1)].reshape(rows, width)
     # Squared distances to the own centres, from the sums alone.
     centres = np.vstack(placed)

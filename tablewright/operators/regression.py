@@ -107,16 +107,17 @@ def _moments_tiled(values: DataFrame, tile: int):
     return n, total_rows, shift + slip, full[1:, 1:] - n * np.outer(slip, slip)
 
 
-def _sum_cells(partials: DataFrame) -> np.ndarray:
+def _sum_cells(partials: DataFrame, tasks: int | None = None) -> np.ndarray:
     """Add up the per-task arrays cell by cell, in two levels.
 
     The first level spreads the tasks' arrays over MERGE_GROUPS sums, so that the last one
-    adds that many arrays at most, however many tasks there were.
+    adds that many arrays at most, however many tasks there were; it is left out for so few tasks.
     """
     vectors = partials.select(F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("g"),
                               array_to_vector("cells").alias("v"))
-    halfway = vectors.groupBy("g").agg(Summarizer.sum(F.col("v")).alias("v"))
-    total_ = halfway.agg(Summarizer.sum(F.col("v")).alias("v")).first()["v"]
+    if tasks is None or tasks > MERGE_GROUPS:
+        vectors = vectors.groupBy("g").agg(Summarizer.sum(F.col("v")).alias("v"))
+    total_ = vectors.agg(Summarizer.sum(F.col("v")).alias("v")).first()["v"]
     return total_.toArray() if total_ is not None else np.zeros(0)
 
 

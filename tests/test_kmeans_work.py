@@ -39,6 +39,8 @@ def test_updates_equal_plain_lloyd_with_fewer_distances(spark, monkeypatch, offs
     for passes, share in ((1, 0.1), (3, 0.5), (1000, 0.5)):
         monkeypatch.setattr(clustering, "MARGIN_PASSES", passes)
         monkeypatch.setattr(clustering, "OPEN_SHARE", share)
+        monkeypatch.setattr(clustering, "MARGIN_WORK", 0)
+        monkeypatch.setattr(clustering, "FEW_CENTRES", 64 if passes == 1 else 2)
         runs, n, work = clustering._fit_runs(frame(spark, x).repartition(4), ["p"], 3, [8, 8, 8], starts, 1, 60, 1e-9)
         assert n == 3000
         steps = 0
