@@ -77,6 +77,11 @@ class _Windows:
         # Sum of context and new turns before this one, plus this one, against the budget.
         if self.new and self.total + turn.tokens > self.budget:
             closed = self.close()
+        if not self.new:
+            # Repeated history gives way, the oldest turn first, until the first new turn fits.
+            first = 1 if self.system else 0
+            while len(self.context) > first and self.total + turn.tokens > self.budget:
+                self.total -= self.context.pop(first).tokens
         if self.seen == 0 and turn.role == "system":
             self.system = turn
         self.seen += 1
@@ -114,10 +119,11 @@ def format_chats(turns: DataFrame, budget: int = 2048, history: int = 512, vocab
     """Formatted windows of every conversation: columns of ``WINDOW_SCHEMA``.
 
     Turns in order of (turn, role, text) are added while the running sum of their tokens stays
-    within ``budget``; a window ends on a whole turn, and a turn longer than the budget stands in
-    a window without other new turns. Windows after the first begin with the system turn (the
-    first turn, if its role is "system") and with the last turns before them that fit into
-    ``history`` tokens: ``n_context`` turns in all, which are never targets again. ``loss_spans``
+    within ``budget``; a window ends on a whole turn. Windows after the first begin with the system
+    turn (the first turn, if its role is "system") and with the last turns before them that fit into
+    ``history`` tokens and leave room for the first new turn: ``n_context`` turns in all, which are
+    never targets again. A window is over the budget only if it has one new turn that is so together
+    with the system turn; no history stands in it. ``loss_spans``
     are code point ranges of ``text`` that hold the (escaped) texts of new assistant turns.
 
     NULL roles and texts are empty, NULL turns come first, NULL conv_ids form one conversation,
