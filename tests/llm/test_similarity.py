@@ -150,22 +150,83 @@ def test_bitmaps_bound_the_overlap():
 
 # Fingerprints
 
-def test_neighbours_equal_plain_loop(odd_docs, no_docs):
-    docs = odd_docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    lexicon = fingerprint.build_lexicon(docs, most_share=1.0)
-    rows = sorted(((r["doc_id"], r["text"] or "") for r in docs.collect()))
-    got = {r["doc_id"]: r for r in fingerprint.compare_neighbours(docs, lexicon).collect()}
-    assert len(got) == len(rows)
-    for k, (doc_id, text) in enumerate(rows):
-        new = fingerprint.edited(text, rows[(k + 1) % len(rows)][1])
-        assert got[doc_id]["n_chars"] == len(text)
-        assert got[doc_id]["edited_sha256"] == hashlib.sha256(new.encode()).hexdigest()
-        prints = lexicon.fingerprints(pa.array([text, new, rows[(k + 1) % len(rows)][1]]))
-        assert [got[doc_id]["fingerprint"], got[doc_id]["edited_fingerprint"]] == prints[:2]
-        assert got[doc_id]["near_edited"] == fingerprint.likeness(*prints[:2])
-        assert got[doc_id]["near_next"] == fingerprint.likeness(prints[0], prints[2])
-    assert fingerprint.compare_neighbours(odd_docs, lexicon).count() == odd_docs.count()
-    assert fingerprint.compare_neighbours(no_docs, fingerprint.build_lexicon(no_docs)).count() == 0
+M = 2**64
+
+
+def plain_mix(h):
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
+        h = (h ^ (h >> shift)) * factor % M
+    return h
+
+
+def plain_word(word):
+    if len(word) > 256:
+        return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+    h = plain_mix((len(word) + 0x9E3779B97F4A7C15) % M)
+    for k in range(0, len(word), 8):
+        h = plain_mix((h * 0x9E3779B97F4A7C15 + int.from_bytes(word[k:k + 8], "little")) % M)
+    return h
+
+
+def plain_terms(text):
+    return {plain_word(w) for w in re.findall(rb"[^\x20\x09-\x0D]+", text.translate(LOWER).encode())}
+
+
+def plain_fingerprint(text, lexicon):
+    """Hashes of the sums over a text's terms, subset by subset, with whole numbers."""
+    held, parts = plain_terms(text) & lexicon, []
+    for seed in range(fingerprint.SEEDS):
+        for level in fingerprint.LEVELS:
+            drawn = [plain_mix(t ^ ((seed + 1) * 0x9E3779B97F4A7C15 % M)) for t in held]
+            drawn = [d for d in drawn if d >> (64 - level) == 0]
+            parts.append(max(1, plain_mix(sum(plain_mix((d + level) % M) for d in drawn) % M)) if drawn else 0)
+    parts.append(0 if held else max(1, int(hashlib.sha256(text.encode()).hexdigest()[:16], 16)))
+    return parts
+
+
+def plain_likeness(a, b):
+    if a == b:
+        return 1.0
+    used = [(x, y) for x, y in zip(a[:-1], b[:-1]) if x or y]
+    return sum(x == y for x, y in used) / len(used) if used else 0.0
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 40])
+def test_neighbours_equal_plain_loop(spark, odd_docs, small_docs, no_docs, partitions):
+    for docs in (odd_docs, small_docs.limit(60)):
+        rows = sorted(((r["doc_id"], r["text"] or "") for r in docs.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+        lexicon = fingerprint.build_lexicon(docs, most_share=0.9)
+        counts = {}
+        for _, text in rows:
+            for t in plain_terms(text):
+                counts[t] = counts.get(t, 0) + 1
+        band = {t for t, n in counts.items() if 2 <= n <= 0.9 * len(rows)}
+        assert band == set(lexicon.terms.tolist()) and band
+        want = []
+        for k, (doc_id, text) in enumerate(rows):
+            following = rows[(k + 1) % len(rows)][1]
+            new = fingerprint.edited(text, following)
+            prints = [plain_fingerprint(t, band) for t in (text, new, following)]
+            want.append((doc_id, len(text), hashlib.sha256(new.encode()).hexdigest(), *["".join(f"{h:016x}" for h in p) for p in prints[:2]],
+                         plain_likeness(*prints[:2]), plain_likeness(prints[0], prints[2])))
+        got = [tuple(r) for r in fingerprint.compare_neighbours(docs, lexicon, partitions).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+        assert all(fingerprint.likeness(r[3], r[4]) == r[5] for r in got)
+    one = odd_docs.where("doc_id = 5").limit(1)
+    assert [r["near_next"] for r in fingerprint.compare_neighbours(one, lexicon).collect()] == [1.0]
+    assert fingerprint.compare_neighbours(no_docs, fingerprint.build_lexicon(no_docs), partitions).count() == 0
+
+
+def test_texts_are_shuffled_once_and_documents_keep_their_columns(spark, odd_docs, small_docs):
+    lexicon = fingerprint.build_lexicon(small_docs)
+    frame = fingerprint.compare_neighbours(small_docs, lexicon, 4)
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan
+    marked = fingerprint.fingerprint_documents(odd_docs, lexicon)
+    assert sorted(marked.columns) == sorted(odd_docs.columns) and marked.columns[-1] == "fingerprint"
+    for r in marked.collect():
+        assert r["fingerprint"] == lexicon.fingerprints(pa.array([r["text"]], pa.string()))[0] and r["score"] == "score"
 
 
 def test_lexicon_holds_the_band(spark):
