@@ -54,9 +54,10 @@ def _outside(text: str, spans: list[tuple[int, int, int]], least: int) -> Iterat
     for m in RUN.finditer(text):
         if m.end() - m.start() < least:
             continue
+        # The first span that ends after the run's start decides: later ones begin no earlier.
         while at < len(taken) and taken[at][1] <= m.start():
             at += 1
-        if not any(a < m.end() and b > m.start() for a, b in taken[at:]):
+        if at == len(taken) or taken[at][0] >= m.end():
             yield m
 
 
@@ -77,6 +78,11 @@ class MarkovModel:
         """Mean log-likelihood ratio of a run's transitions."""
         return float(self.ratio[_bigrams(run)].mean())
 
+    def score_value(self, value: str) -> float | None:
+        """The same over all runs of a pattern match's value; None if no two of its characters are in the alphabet."""
+        pairs = [_bigrams(run) for run in RUN.findall(value) if len(run) > 1]
+        return float(self.ratio[np.concatenate(pairs)].mean()) if pairs else None
+
 
 def train(docs: DataFrame, sample_rows: int = 20_000, least: int = 20, threshold: float = 0.5,
           uniform: float = 0.5) -> MarkovModel:
@@ -117,13 +123,15 @@ def train(docs: DataFrame, sample_rows: int = 20_000, least: int = 20, threshold
     return MarkovModel(np.log(random / ordinary).ravel(), least, threshold)
 
 
+def _value(text: str, start: int, kind: int, end: int) -> str:
+    """The secret itself in a pattern match: without the name it is assigned to."""
+    return ASSIGN.match(text[start:end])[1] if kind == 0 else text[start:end]
+
+
 def _strings(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, str]]:
     """Labelled strings of a text: 1 for random, 0 for ordinary."""
     for a, kind, b in spans:
-        value = text[a:b]
-        if kind == 0:
-            value = ASSIGN.match(value)[1]
-        for run in RUN.findall(value):
+        for run in RUN.findall(_value(text, a, kind, b)):
             if len(run) > 1:
                 yield 1, run
     for m in _outside(text, spans, 4):
@@ -144,7 +152,7 @@ def _found(column: pa.Array, model: MarkovModel | None) -> Iterator[tuple[str, l
             yield text, []
             continue
         spans = base_spans(text, *may[:3])
-        found = [(a, k, b, None) for a, k, b in spans]
+        found = [(a, k, b, model.score_value(_value(text, a, k, b)) if model is not None else None) for a, k, b in spans]
         if model is not None and may[3]:
             for m in _outside(text, spans, model.least):
                 score = model.score(m[0])
@@ -158,8 +166,10 @@ def find_secrets(docs: DataFrame, model: MarkovModel | None) -> DataFrame:
     """Each document's doc_id and its ``spans`` (start, end in code points; kind; score of the model).
 
     Pattern matches come first in importance: model spans never touch them and never replace
-    them. Spans are ordered by start, then by kind as in ``KINDS``. A NULL text is empty, rows
-    repeat as they are, NULL doc_ids stay, an empty table gives no rows. One narrow pass.
+    them. Every span has its score: that of the pattern matches tells how random their values look and
+    decides nothing. Spans are ordered by start, then by kind as in ``KINDS``. A NULL text is empty, rows
+    repeat as they are, NULL doc_ids stay, other columns are ignored, an empty table gives no rows. One
+    narrow pass, linear in a text's length and number of spans.
     """
     small_batches(docs.sparkSession)
     kinds = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()), ("score", pa.float64())]))

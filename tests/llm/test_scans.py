@@ -45,11 +45,66 @@ def test_markov_model_tells_random_from_ordinary(spark, small_docs):
     planted = spark.createDataFrame([(1, f"é see {random_strings[0]} and token={random_strings[1]} here"), (2, ordinary[0])], "doc_id long, text string")
     rows = {r["doc_id"]: r["spans"] for r in secret_scan.find_secrets(planted, model).collect()}
     assert [(s["kind"], s["start"], s["end"]) for s in rows[1]] == [("markov", 6, 38), ("assign", 43, 81)]
+    assert [s["score"] for s in rows[1]] == [model.score(t) for t in random_strings[:2]]
     assert rows[2] == []
     masked = {r["doc_id"]: r["text"] for r in secret_scan.mask_secrets(planted, model).collect()}
     assert masked == {1: "é see [SECRET] and [SECRET] here", 2: ordinary[0]}
 
 
+def test_pair_models_and_spans_equal_plain_counts(spark, small_docs):
+    """Both models counted pair by pair, and every span found by looking at each run by itself."""
+    rnd = random.Random(9)
+    letters = secret_scan.ALPHABET[:62]
+    texts = [r["text"] or "" for r in small_docs.collect()]
+    texts += [f"{texts[k]} {''.join(rnd.choice(letters) for _ in range(rnd.randint(18, 40)))} é {texts[k][:50]}" for k in range(80)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = secret_scan.train(docs, sample_rows=10**9)
+    size = len(secret_scan.ALPHABET)
+    counts = [[[1.0] * size for _ in range(size)] for _ in range(2)]
+    place = {c: i for i, c in enumerate(secret_scan.ALPHABET)}
+
+    def apart(run, spans):
+        return all(b <= run.start() or a >= run.end() for a, _, b in spans)
+
+    def value(text, a, kind, b):
+        return re.search(r"[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)$", text[a:b])[1] if kind == 0 else text[a:b]
+
+    for text in texts:
+        spans = brute_spans(text)
+        strings = [(1, r) for a, kind, b in spans for r in re.findall(r"[A-Za-z0-9+/_=-]+", value(text, a, kind, b))]
+        strings += [(0, m[0]) for m in re.finditer(r"[A-Za-z0-9+/_=-]+", text) if len(m[0]) >= 4 and apart(m, spans)]
+        for label, run in strings:
+            for x, y in zip(run, run[1:]):
+                counts[label][place[x]][place[y]] += 1
+    import math
+    ratio = [math.log((0.5 * r / sum(rows_r) + 0.5 / size) / (o / sum(rows_o)))
+             for rows_o, rows_r in zip(*counts) for o, r in zip(rows_o, rows_r)]
+    assert model.ratio.tolist() == pytest.approx(ratio, rel=1e-9, abs=1e-12)
+
+    def mean(run):
+        pairs = [ratio[place[x] * size + place[y]] for x, y in zip(run, run[1:])]
+        return sum(pairs) / len(pairs)
+
+    n_markov = 0
+    for r in secret_scan.find_secrets(docs, model).collect():
+        text = texts[r["doc_id"]]
+        spans = brute_spans(text)
+        want = [(a, kind, b) for a, kind, b in spans] + [(m.start(), 3, m.end()) for m in re.finditer(r"[A-Za-z0-9+/_=-]+", text)
+                                                          if len(m[0]) >= 20 and apart(m, spans) and mean(m[0]) > 0.5]
+        n_markov += sum(k == 3 for _, k, _ in want)
+        assert [(s["start"], secret_scan.KINDS.index(s["kind"]), s["end"]) for s in r["spans"]] == sorted(want)
+    assert n_markov > 40
+
+
+def test_many_spans_in_one_text_take_linear_time():
+    import time
+    text = " ".join("token=abcdefgh12345678 someordinarywordsthatarelong" for _ in range(100_000))
+    began = time.perf_counter()
+    model = secret_scan.MarkovModel(secret_scan.np.zeros(len(secret_scan.ALPHABET) ** 2))
+    found = next(secret_scan._found(pa.array([text]), model))[1]
+    assert len(found) == 100_000 and time.perf_counter() - began < 20
+
+
 def test_secret_edge_cases(odd_docs, no_docs):
     model = secret_scan.train(odd_docs)
     rows = secret_scan.find_secrets(odd_docs, model).collect()
@@ -76,6 +131,54 @@ def test_language_accuracy_and_edges(spark, odd_docs, no_docs):
     assert language.identify(no_docs, model).count() == 0
 
 
+def test_language_equals_sets_of_plain_ngrams(spark, small_docs):
+    """The same decision with n-grams cut from plain strings, counted in dictionaries and kept in sets."""
+    from collections import Counter
+    from unicodedata import category
+    M = 2**64
+
+    def mix(h):
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
+            h = (h ^ (h >> shift)) * factor % M
+        return h
+
+    def plain_grams(text):
+        letters = "".join((c.lower() if len(c.lower()) == 1 else c) if category(c)[0] == "L" else " " for c in text or "")
+        padded = " " + " ".join(letters.split()) + " " if letters.split() else " "
+        found = [padded[i:i + n] for n in language.SIZES for i in range(len(padded) - n + 1)]
+        return [g for g in found if " " not in g[1:-1] and not (g[0] == g[-1] == " ")]
+
+    def order(gram):
+        h = len(gram)
+        for c in gram:
+            h = (h * 0x9E3779B97F4A7C15 + ord(c)) % M
+        h = mix(h)
+        return h - M if h >= M // 2 else h
+
+    rows = small_docs.collect()
+    counts, sizes = {}, Counter()
+    for r in rows:
+        if r["lang"] is not None:
+            sizes[r["lang"]] += 1
+            counts.setdefault(r["lang"], Counter()).update(plain_grams(r["text"]))
+    names = sorted(sizes, key=lambda n: (-sizes[n], n))
+    held = {n: {g for g, _ in sorted(counts[n].items(), key=lambda x: (-x[1], order(x[0])))[:400]} for n in names}
+    model = language.train(small_docs, sample_rows=10**9, per_language=400)
+    assert list(model.languages) == names
+    odd = [(10**6 + k, t, None) for k, t in enumerate(("", None, "1234", "Ünïcode ß", "a", " b c "))]
+    frame = small_docs.select("doc_id", "text", "lang").union(spark.createDataFrame(odd, "doc_id long, text string, lang string"))
+    close = 0
+    for r in language.identify(frame, model).collect():
+        grams = plain_grams(r["text"])
+        shares = [sum(g in held[n] for g in grams) / max(1, len(grams)) for n in names]
+        if not any(category(c)[0] == "L" for c in r["text"] or ""):
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+        elif sorted(shares)[-1] - sorted(shares)[-2] > 0.02:
+            assert r["lang_pred"] == names[shares.index(max(shares))] and r["score"] == pytest.approx(max(shares), abs=0.01)
+            close += 1
+    assert close > 190
+
+
 def test_language_filter_answers_as_sets():
     model = language.build(["x", "y"], [("x", k * 977 - 5000) for k in range(300)] + [("y", k * 977 - 5000) for k in range(200, 500)], 3, 1 << 14)
     import numpy as np
@@ -132,6 +235,25 @@ def test_leaks_in_documents(spark, odd_docs, no_docs):
     assert len(list(dc.item_blocks(bench, 0.05, block_chars=10))) == 3
 
 
+def test_benchmarks_of_many_blocks_give_the_same(spark, odd_docs, no_docs):
+    """Blocks of one item each, written one after the other, against one block of all."""
+    rnd = random.Random(4)
+    items = [" ".join(rnd.choice("alpha beta gamma delta epsilon zeta eta theta".split()) + str(rnd.randint(0, 9)) for _ in range(rnd.randint(3, 30)))
+             for _ in range(12)]
+    bench = spark.createDataFrame([(k if k != 5 else None, t) for k, t in enumerate(items)] + [(90, None), (91, " ")], "item_id long, text string")
+    texts = [f"begin {rnd.choice(items)} and {rnd.choice(items).upper()} end" if k % 3 else "nothing here" for k in range(60)] + ["", None, items[0] * 500]
+    extra = ("__leak_1", "h1", "h2")
+    docs = spark.createDataFrame([(k % 50 if k % 7 else None, t, *extra) for k, t in enumerate(texts)], "doc_id long, text string, " + ", ".join(f"{c} string" for c in extra[1:] + ("key",)))
+    whole = sorted(map(str, dc.find_leaks(docs, bench).collect()))
+    assert len(whole) > 60 and sorted(map(str, dc.find_leaks(docs, bench, block_chars=1).collect())) == whole
+    kept = dc.without_leaks(docs, bench)
+    many = dc.without_leaks(docs, bench, block_chars=1)
+    assert many.columns == kept.columns == docs.columns
+    assert sorted(map(str, many.collect())) == sorted(map(str, kept.collect())) and kept.count() == 22
+    for frame in (odd_docs, no_docs):
+        assert sorted(map(str, dc.without_leaks(frame, bench, block_chars=1).collect())) == sorted(map(str, dc.without_leaks(frame, bench).collect()))
+
+
 # Licences
 
 def test_licenses_by_brute_force(spark, odd_docs, no_docs):
