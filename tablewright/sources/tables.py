@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import posixpath
 from collections.abc import Mapping
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,7 +49,7 @@ def read_delimited(spark: SparkSession, path: str, *, delimiter: str = ",",
     Fields are read as text, spellings of "missing" become NULL, and only then get their types.
     Pass ``schema`` in production: without one an aggregation over the table finds the types,
     so the data is read an extra time. Fields that are not of their declared type stop the
-    read (``bad_fields="fail"``), become NULL (``"null"``), or become NULL and are named in an array
+    read (``bad_fields="fail"``; also when nothing later uses their column, as in a count), become NULL (``"null"``), or become NULL and are named in an array
     column ``_bad_fields`` (``"column"``; see ``count_bad_fields``). ``multiline`` allows line breaks
     inside quoted fields, at the price that a file can no longer be split between tasks.
     """
@@ -101,10 +102,10 @@ def _declared(texts: DataFrame, types: Mapping[str, str], bad_fields: str) -> Da
     def bad(c: str) -> Column:
         return quoted(c).isNotNull() & F.trim(quoted(c)).try_cast(types[c]).isNull()
 
-    if bad_fields == "fail":
-        return texts.select(*[
-            F.when(bad(c), F.raise_error(F.concat(F.lit(f"column '{c}' of type {types[c]} has the field: "), quoted(c))))
-            .otherwise(F.trim(quoted(c)).try_cast(types[c])).alias(c) if c in types else quoted(c) for c in texts.columns])
+    if bad_fields == "fail" and types:
+        # A condition on the rows, which stays when later steps use none or some of the columns.
+        first = F.coalesce(*[F.when(bad(c), F.concat(F.lit(f"column '{c}' of type {types[c]} has the field: "), quoted(c))) for c in types])
+        texts = texts.where(F.when(reduce(lambda a, b: a | b, [bad(c) for c in types]), F.raise_error(first).cast("boolean")).otherwise(True))
     typed = [F.trim(quoted(c)).try_cast(types[c]).alias(c) if c in types else quoted(c) for c in texts.columns]
     if bad_fields == "column":
         typed.append(F.array_compact(F.array(*[F.when(bad(c), F.lit(c)) for c in types]).cast("array<string>")).alias(BAD_FIELDS))

@@ -165,3 +165,17 @@ def test_bad_fields_stop_become_null_or_are_named(spark, tmp_path):
     named = tables.read_delimited(spark, path, schema=schema, bad_fields="column")
     assert [r[tables.BAD_FIELDS] for r in named.collect()] == [[], ["a"], [], ["a"]]
     assert [tuple(r) for r in tables.count_bad_fields(named).collect()] == [("a", 2)]
+
+
+def test_a_bad_field_stops_whatever_is_read(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a,b\n1,2\noops,3\n")
+    schema = "a long, b long"
+    kinds = spark.createDataFrame([], schema).schema
+    table = tables.read_delimited(spark, str(tmp_path / "t.csv"), schema=kinds)
+    for use in (lambda: table.count(), lambda: table.select("b").collect(), lambda: table.where("b > 2").select("b").collect(),
+                lambda: table.agg({"b": "max"}).collect(), lambda: table.collect()):
+        with pytest.raises(Exception, match="column 'a' of type bigint has the field: oops"):
+            use()
+    (tmp_path / "t.csv").write_text("a,b\n1,2\nNA,3\n")
+    fine = tables.read_delimited(spark, str(tmp_path / "t.csv"), schema=kinds)
+    assert fine.count() == 2 and sorted(r["b"] for r in fine.select("b").collect()) == [2, 3]
