@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from contextlib import ExitStack
 from typing import NamedTuple
 
 import numpy as np
@@ -19,7 +20,7 @@ from pyspark.sql import types as T
 
 from ..functions.response import total
 from ..schema import number, quoted
-from ..session import materialize
+from ..session import written
 from .regression import _sum_cells
 
 #: Squared differences up to which nearest-centre assignment is a generated expression.
@@ -139,7 +140,14 @@ def _fit_runs(df: DataFrame, columns: Sequence[str], width: int, ks: Sequence[in
     """
     point = _point(df, columns)
     points = df.select(F.when(_complete(point, width), point).alias("p")).where("p IS NOT NULL")
-    points = materialize(points.select("p", F.xxhash64("p").alias("h")), "points")
+    # Written tables last as long as the fit, which returns nothing that reads them.
+    with ExitStack() as scratch:
+        points = scratch.enter_context(written(points.select("p", F.xxhash64("p").alias("h")), "points"))
+        return _runs_to_rest(points, width, ks, starts, seed, max_iter, tolerance, scratch)
+
+
+def _runs_to_rest(points: DataFrame, width: int, ks: Sequence[int], starts: Sequence[np.ndarray] | None, seed: int,
+                  max_iter: int, tolerance: float, scratch: ExitStack) -> tuple[list[_Run], int, _Work]:
     n, shift, spread = _moments(points, width)
     if n == 0:
         raise ValueError("No complete rows to cluster.")
@@ -173,7 +181,7 @@ def _fit_runs(df: DataFrame, columns: Sequence[str], width: int, ks: Sequence[in
         paying = sum(work) * width >= MARGIN_WORK and sum(work) > OPEN_SHARE * n * sum(ks[i] for i in active)
         if step < max_iter and since >= MARGIN_PASSES and paying:
             margins = _Margins(moving, [centres[i] for i in moving])
-            table = materialize(_with_margins(points.select("p"), margins, shift), "point-margins")
+            table = scratch.enter_context(written(_with_margins(points.select("p"), margins, shift), "point-margins"))
             tasks = table.rdd.getNumPartitions()
             tested, since = tested + n * sum(ks[i] for i in moving), 0
         active = moving
@@ -507,61 +515,57 @@ def silhouette_euclidean(df: DataFrame, key: str, columns: Sequence[str],
     The work is quadratic by definition: a table with more than ``max_pairs`` pairs of rows is
     refused with their number, to be allowed by that argument; ``silhouette`` is linear. Rows are
     spread over hash blocks of bounded size, and each pair of blocks is one small group that
-    returns, per row, its summed distance to every cluster; no task sees more than two blocks. ``key`` must be unique.
+    returns, per row and cluster of the other block, its summed distance; no task sees more than two
+    blocks. Clusters are rows throughout, however many there are. Rows without a cluster are left
+    out; ``key`` must be unique.
     """
     rows = df.select(quoted(key).alias("key"), quoted(cluster).cast("int").alias("c"),
-                     _point(df, columns).alias("p"))
-    sizes = {r["c"]: r["n"] for r in rows.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n = sum(sizes.values())
+                     _point(df, columns).alias("p")).where("c IS NOT NULL")
+    sizes = rows.groupBy("c").agg(F.count(F.lit(1)).alias("n"))
+    n = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     if n * (n - 1) // 2 > max_pairs:
         raise ValueError(f"{n * (n - 1) // 2} pairs of rows are more than max_pairs = {max_pairs}")
     blocks = max(1, math.ceil(n / block_rows))
-    labels = sorted(sizes)
     key_type = rows.schema["key"].dataType.simpleString()
 
     def pair_sums(pair: pd.DataFrame) -> pd.DataFrame:
         import numpy as np
         import pandas as pd
         x = np.stack(pair["p"].to_numpy())
-        c, block = pair["c"].to_numpy(), pair["block"].to_numpy()
+        c, block, key = (pair[name].to_numpy() for name in ("c", "block", "key"))
         low, high = pair["low"].iloc[0], pair["high"].iloc[0]
         x = x - x.mean(axis=0)
         own = (x ** 2).sum(axis=1)
-        out = np.zeros((len(x), len(labels)))
+        parts = []
         # Rows of one block against those of the other; a block paired with itself once.
         for mine, other in {(low, high), (high, low)}:
             a, b = np.flatnonzero(block == mine), np.flatnonzero(block == other)
-            member = (c[b][:, None] == np.array(labels)).astype(float)
+            labels, which = np.unique(c[b], return_inverse=True)
+            b = b[np.argsort(which, kind="stable")]
+            first = np.searchsorted(np.sort(which), np.arange(len(labels)))
             for at in range(0, len(a), 256):
                 part = a[at:at + 256]
                 gap = own[part, None] + own[None, b] - 2.0 * (x[part] @ x[b].T)
-                out[part] += np.sqrt(np.maximum(gap, 0.0)) @ member
-        return pd.DataFrame({"key": pair["key"], "c": c, "sums": list(out)})
+                sums = np.add.reduceat(np.sqrt(np.maximum(gap, 0.0)), first, axis=1)
+                parts.append(pd.DataFrame({"key": np.repeat(key[part], len(labels)), "c": np.repeat(c[part], len(labels)),
+                                           "other": np.tile(labels, len(part)), "total": sums.ravel()}))
+        return pd.concat(parts)
 
     block = F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int")
     paired = (rows.withColumn("block", block)
               .withColumn("with", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
               .withColumn("low", F.least("block", "with"))
               .withColumn("high", F.greatest("block", "with")).drop("with"))
-    partial = paired.groupBy("low", "high").applyInPandas(
-        pair_sums, f"key {key_type}, c int, sums array<double>")
-    summed = partial.groupBy("key", "c").agg(
-        *[F.sum(F.get("sums", F.lit(i))).alias(f"s{i}") for i in range(len(labels))])
-    own = _pick(labels, lambda i, label: F.when(
-        F.lit(sizes[label]) > 1, F.col(f"s{i}") / F.lit(max(sizes[label] - 1, 1))))
-    rest = F.array_min(F.array(*[
-        F.when(F.col("c") != label, F.col(f"s{i}") / F.lit(sizes[label]))
-        for i, label in enumerate(labels)]))
-    value = F.when(own.isNull(), F.lit(0.0)).otherwise(
-        F.coalesce(F.try_divide(rest - own, F.greatest(own, rest)), F.lit(0.0)))
-    return summed.agg(F.avg(value).alias("silhouette"))
-
-
-def _pick(labels: Sequence[int], make) -> Column:
-    chain = F.when(F.lit(False), F.lit(None).cast("double"))
-    for i, label in enumerate(labels):
-        chain = chain.when(F.col("c") == label, make(i, label))
-    return chain
+    partial = paired.groupBy("low", "high").applyInPandas(pair_sums, f"key {key_type}, c int, other int, total double")
+    summed = partial.groupBy("key", "c", "other").agg(F.sum("total").alias("total"))
+    # A row's own cluster has one partner less: itself.
+    partners = F.col("n") - F.when(F.col("c") == F.col("other"), 1).otherwise(0)
+    mean = F.when(partners > 0, F.col("total") / partners)
+    per_row = summed.join(sizes.withColumnRenamed("c", "other"), "other").groupBy("key", "c").agg(
+        F.max(F.when(F.col("c") == F.col("other"), mean)).alias("own"), F.min(F.when(F.col("c") != F.col("other"), mean)).alias("rest"))
+    value = F.when(F.col("own").isNull(), F.lit(0.0)).otherwise(
+        F.coalesce(F.try_divide(F.col("rest") - F.col("own"), F.greatest("own", "rest")), F.lit(0.0)))
+    return per_row.agg(F.avg(value).alias("silhouette"))
 
 
 def cluster_sizes(df: DataFrame, cluster: str = "cluster") -> DataFrame:

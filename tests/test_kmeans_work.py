@@ -83,6 +83,32 @@ def test_fewer_points_than_centres(spark):
     assert len({(tuple(r["p"]), r["cluster"]) for r in rows}) == 2
 
 
+def test_a_fit_leaves_no_written_table(spark, shared):
+    import os
+    _, x = groups(300, 3)
+    before = set(os.listdir(shared))
+    clustering.kmeans_fit(frame(spark, x), ["p"], 3, n_init=2)
+    assert set(os.listdir(shared)) == before
+
+
+def test_silhouette_of_many_clusters(spark):
+    """As many clusters as rows have room for, some of one row, and rows without one."""
+    rng = np.random.default_rng(5)
+    x, c = rng.normal(size=(120, 2)), np.concatenate([np.arange(30), rng.integers(0, 30, 80), [-7] * 10])
+    df = spark.createDataFrame(pd.DataFrame({"id": range(120), "p": list(x), "cluster": c})).selectExpr(
+        "id", "p", "CASE WHEN cluster >= 0 THEN cluster END AS cluster")
+    x, c = x[c >= 0], c[c >= 0]
+    gap = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    want = []
+    for i in range(len(x)):
+        size = (c == c[i]).sum()
+        rest = min(gap[i][c == k].mean() for k in set(c.tolist()) - {c[i]})
+        own = gap[i][c == c[i]].sum() / max(size - 1, 1)
+        want.append(0.0 if size == 1 else (rest - own) / max(rest, own))
+    for rows in (4_000, 17):
+        assert clustering.silhouette_euclidean(df, "id", ["p"], block_rows=rows).first()[0] == pytest.approx(np.mean(want))
+
+
 def test_far_from_zero(spark):
     _, x = groups(500, 3, spread=0.5)
     near, far = (clustering.kmeans_fit(frame(spark, x + o), ["p"], 3, n_init=2) for o in (0.0, 1e8))
