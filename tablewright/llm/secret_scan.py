@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,13 +48,16 @@ def base_spans(text: str, assign: bool = True, access: bool = True, hexes: bool
     return sorted(found)
 
 
+@lru_cache(maxsize=8)
+def _runs(least: int) -> re.Pattern:
+    return re.compile(f"[A-Za-z0-9+/_=-]{{{least},}}")
+
+
 def _outside(text: str, spans: list[tuple[int, int, int]], least: int) -> Iterator[re.Match]:
     """Runs of at least ``least`` characters that touch no span."""
     taken = sorted((a, b) for a, _, b in spans)
     at = 0
-    for m in RUN.finditer(text):
-        if m.end() - m.start() < least:
-            continue
+    for m in _runs(least).finditer(text):
         # The first span that ends after the run's start decides: later ones begin no earlier.
         while at < len(taken) and taken[at][1] <= m.start():
             at += 1
@@ -71,7 +75,7 @@ class MarkovModel:
     """Log-likelihood ratio of each character pair, random over ordinary."""
 
     ratio: np.ndarray
-    least: int = 20
+    least: int = 12
     threshold: float = 0.5
 
     def score(self, run: str) -> float:
@@ -84,7 +88,7 @@ class MarkovModel:
         return float(self.ratio[np.concatenate(pairs)].mean()) if pairs else None
 
 
-def train(docs: DataFrame, sample_rows: int = 20_000, least: int = 20, threshold: float = 0.5,
+def train(docs: DataFrame, sample_rows: int = 20_000, least: int = 12, threshold: float = 0.5,
           uniform: float = 0.5) -> MarkovModel:
     """Fit both models on labelled strings of about ``sample_rows`` documents.
 

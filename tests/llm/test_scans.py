@@ -56,7 +56,7 @@ def test_pair_models_and_spans_equal_plain_counts(spark, small_docs):
     rnd = random.Random(9)
     letters = secret_scan.ALPHABET[:62]
     texts = [r["text"] or "" for r in small_docs.collect()]
-    texts += [f"{texts[k]} {''.join(rnd.choice(letters) for _ in range(rnd.randint(18, 40)))} é {texts[k][:50]}" for k in range(80)]
+    texts += [f"{texts[k]} {''.join(rnd.choice(letters) for _ in range(rnd.randint(10, 40)))} é {texts[k][:50]}" for k in range(80)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     model = secret_scan.train(docs, sample_rows=10**9)
     size = len(secret_scan.ALPHABET)
@@ -90,7 +90,7 @@ def test_pair_models_and_spans_equal_plain_counts(spark, small_docs):
         text = texts[r["doc_id"]]
         spans = brute_spans(text)
         want = [(a, kind, b) for a, kind, b in spans] + [(m.start(), 3, m.end()) for m in re.finditer(r"[A-Za-z0-9+/_=-]+", text)
-                                                          if len(m[0]) >= 20 and apart(m, spans) and mean(m[0]) > 0.5]
+                                                          if len(m[0]) >= 12 and apart(m, spans) and mean(m[0]) > 0.5]
         n_markov += sum(k == 3 for _, k, _ in want)
         assert [(s["start"], secret_scan.KINDS.index(s["kind"]), s["end"]) for s in r["spans"]] == sorted(want)
     assert n_markov > 40
