@@ -63,3 +63,21 @@ def test_empty_tables_pass(spark, tmp_path):
     for name in ("documents", "benchmark"):
         spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_odd_rows_and_clashing_columns_pass_through_all_stages(spark, odd_docs, tmp_path):
+    """NULLs, repeated rows, long and empty texts, and columns of the names that stages use for themselves."""
+    base = [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").where("lang = 'en'").limit(40).collect()]
+    names = odd_docs.columns
+    extra = {c: c for c in names if c not in ("doc_id", "text", "lang", "n_chars")}
+    rows = [{**extra, "doc_id": 1000 + k, "text": t, "lang": "en", "n_chars": len(t)} for k, t in enumerate(base)]
+    rows += [{**rows[0], "doc_id": None}, {**rows[1]}, {**rows[2], "text": rows[2]["text"] + " token=abcdefgh12345678", "doc_id": 2000}]
+    docs = odd_docs.unionByName(spark.createDataFrame([tuple(r[c] for c in names) for r in rows], odd_docs.schema))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(str(tmp_path / "benchmark.parquet"))
+    done = corpus_pipeline.run(spark, str(tmp_path))
+    assert done.columns == [c for c in names if c != "ids"] + ["ids"]
+    found = done.collect()
+    assert all(r[c] == c for r in found for c in extra if c != "ids") and len(found) > 20
+    assert not any(r["text"] is None or "token=abcdefgh12345678" in r["text"] for r in found)
+    assert sum(r["doc_id"] is None for r in found) >= 1 and len({r["doc_id"] for r in found} - {None}) > 20
